@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, language_id, simhash
+from . import exact_dedup, language_id, mixing, simhash, url_filter
 from .common import table
 
 
@@ -15,18 +15,26 @@ def op4_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_groups(table(spark, sf_dir, "documents"))
 
 
+def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents"))
+
+
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     profiles = language_id.learn_profiles(language_id.training_rows(docs), "doc_id", "text", "lang")
     return language_id.identify(docs, profiles, keep=[F.col("doc_id"), language_id.held_out().alias("held_out")])
 
 
+def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge_urls(table(spark, sf_dir, "pages"))
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op4_simhash_dedup": op4_simhash_dedup, "op7_language_id": op7_language_id, "op9_exact_dedup": op9_exact_dedup}
+    return {"op4_simhash_dedup": op4_simhash_dedup, "op6_mixing": op6_mixing, "op7_language_id": op7_language_id, "op8_url_filter": op8_url_filter, "op9_exact_dedup": op9_exact_dedup}
 
 
 def oracle_sql() -> dict[str, str]:
