@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, language_id, mixing, simhash, token_records, url_filter
+from . import bpe, exact_dedup, language_id, mixing, pii, simhash, token_records, url_filter
 from .common import table
 
 
@@ -42,8 +42,12 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
 
 
+def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.digests(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_token_records": op1_token_records, "op2_bpe": op2_bpe, "op4_simhash_dedup": op4_simhash_dedup, "op6_mixing": op6_mixing, "op7_language_id": op7_language_id, "op8_url_filter": op8_url_filter, "op9_exact_dedup": op9_exact_dedup}
+    return {"op1_token_records": op1_token_records, "op2_bpe": op2_bpe, "op4_simhash_dedup": op4_simhash_dedup, "op6_mixing": op6_mixing, "op7_language_id": op7_language_id, "op8_url_filter": op8_url_filter, "op9_exact_dedup": op9_exact_dedup, "op10_pii": op10_pii}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -49,7 +49,7 @@ _MASK = 0xA282EAD8
 _LENGTH, _CHECK = struct.Struct("<Q"), struct.Struct("<I")
 _HEAD = struct.Struct("<qB")
 #: White space on which Python and the vocabulary's pattern might disagree, or that is rare.
-_ODD = re.compile(r"[\x1c-\x1f\x85\xa0 ᠎ -​    　﻿]")
+_ODD = re.compile("[" + "".join(map(chr, [*range(0x1C, 0x20), 0x85, 0xA0, 0x1680, 0x180E, *range(0x2000, 0x200C), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000, 0xFEFF])) + "]")
 _PIECES = re.compile(r"\s*\S+|\s+")
 
 
