@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, language_id, mixing, pii, simhash, token_records, url_filter
+from . import bpe, exact_dedup, language_id, mixing, pii, simhash, token_records, url_filter, winnowing
 from .common import table
 
 
@@ -20,6 +20,10 @@ def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_digests(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op3_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return winnowing.edited_pairs(table(spark, sf_dir, "documents"))
+
+
 def op4_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_groups(table(spark, sf_dir, "documents"))
 
@@ -47,7 +51,7 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_token_records": op1_token_records, "op2_bpe": op2_bpe, "op4_simhash_dedup": op4_simhash_dedup, "op6_mixing": op6_mixing, "op7_language_id": op7_language_id, "op8_url_filter": op8_url_filter, "op9_exact_dedup": op9_exact_dedup, "op10_pii": op10_pii}
+    return {"op1_token_records": op1_token_records, "op2_bpe": op2_bpe, "op3_winnowing": op3_winnowing, "op4_simhash_dedup": op4_simhash_dedup, "op6_mixing": op6_mixing, "op7_language_id": op7_language_id, "op8_url_filter": op8_url_filter, "op9_exact_dedup": op9_exact_dedup, "op10_pii": op10_pii}
 
 
 def oracle_sql() -> dict[str, str]:
