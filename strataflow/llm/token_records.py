@@ -32,6 +32,7 @@ import os
 import re
 import struct
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -51,6 +52,10 @@ _HEAD = struct.Struct("<qB")
 #: White space on which Python and the vocabulary's pattern might disagree, or that is rare.
 _ODD = re.compile("[" + "".join(map(chr, [*range(0x1C, 0x20), 0x85, 0xA0, 0x1680, 0x180E, *range(0x2000, 0x200C), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000, 0xFEFF])) + "]")
 _PIECES = re.compile(r"\s*\S+|\s+")
+#: Characters beyond ASCII, Latin letters and common signs: for the rest Python's classes are those of the pattern.
+_FOREIGN = re.compile(r"[^\x00-\x1b\x20-\x84\x86-\x9f\xa1-\xb1\xb4-\xb8\xba\xbb\xbf-\u024f\u2010-\u2027\u2030-\u205e\u20a0-\u20bf]")
+#: The vocabulary's word pattern, for such texts.
+_WORDS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?[^\W\d_]+| ?\d+| ?(?:[^\w\s]|_)+|\s+(?!\S)|\s+")
 
 
 def masked(data: bytes) -> int:
@@ -89,27 +94,46 @@ def unpack(payload: memoryview) -> tuple[int | None, np.ndarray]:
 
 
 class Encoder:
-    """Texts to ids through the tokenizers library, repeated pieces from a bounded cache."""
+    """Texts to ids through the tokenizers library, repeated pieces from a bounded cache.
+
+    Pieces are words of the vocabulary's own pattern where Python's character classes agree with it, else
+    space-led runs. The cache has two generations of `cache` pieces: a piece used again moves to the young one,
+    and the old one goes when that is full.
+    """
 
     def __init__(self, path: str, cache: int = CACHE) -> None:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # one task, one core
         from tokenizers import Tokenizer
 
         self._tool = Tokenizer.from_file(path)
-        self._cache, self._size = {}, cache
+        self._young, self._old, self._size = {}, {}, cache
+        self._special = [t.content for t in self._tool.get_added_tokens_decoder().values()]
+
+    def _pieces(self, text: str) -> list[str]:
+        special = any(s in text for s in self._special)
+        return (_PIECES if special or _FOREIGN.search(text) else _WORDS).findall(text)
+
+    def _learn(self, pieces: list[str]) -> dict[str, bytes]:
+        known, new = {}, []
+        for p in set(pieces):
+            ids = self._old.get(p)
+            known[p] = ids
+            if ids is None:
+                new.append(p)
+        known.update(zip(new, (array("I", e.ids).tobytes() for e in self._tool.encode_batch_fast(new, add_special_tokens=False)), strict=True))
+        if len(self._young) + len(known) > self._size:
+            self._old, self._young = self._young, {}
+        self._young.update((p, b) for p, b in known.items() if len(p) <= 64)
+        return known
 
     def ids(self, text: str) -> np.ndarray:
         if _ODD.search(text):
             return np.array(self._tool.encode(text, add_special_tokens=False).ids, dtype=np.uint32)
-        pieces = _PIECES.findall(text)
-        found = list(map(self._cache.get, pieces))
+        pieces = self._pieces(text)
+        found = list(map(self._young.get, pieces))
         if None in found:
-            new = list({p for p, f in zip(pieces, found, strict=True) if f is None})
-            made = {p: np.array(e.ids, dtype=np.uint32).tobytes() for p, e in zip(new, self._tool.encode_batch_fast(new, add_special_tokens=False), strict=True)}
+            made = self._learn([p for p, f in zip(pieces, found, strict=True) if f is None])
             found = [made[p] if f is None else f for p, f in zip(pieces, found, strict=True)]
-            if len(self._cache) + len(made) > self._size:
-                self._cache.clear()
-            self._cache.update((p, b) for p, b in made.items() if len(p) <= 64)
         return np.frombuffer(b"".join(found), dtype=np.uint32)
 
 
