@@ -190,9 +190,14 @@ def pillar_scores(rows: DataFrame) -> DataFrame:
     return out.withColumn("moat_score_s", reduce(lambda a, b: a + b, [F.lit(w) * F.col(f"{p}_s") for p, (w, _) in PILLARS.items()]))
 
 
-def moat_scores(base: DataFrame, recessions: DataFrame) -> DataFrame:
+def steady(rows: DataFrame, digits: int) -> DataFrame:
+    """rows with raw features rounded: among peers that agree, noise in the last place would be scaled up to a score."""
+    return rows.withColumns({f.raw: F.round(f.raw, digits) for f in FEATURES})
+
+
+def moat_scores(base: DataFrame, recessions: DataFrame, digits: int = 9) -> DataFrame:
     """All steps over base rows that carry market inputs, industry_sk and sector_sk."""
-    features = rolled(raw_ratios(base), recessions)
+    features = steady(rolled(raw_ratios(base), recessions), digits)
     scored = normalised(features)
     keys = ["industry_sk", "calendar_year"]
     ranked = scored.withColumns({"gross_margin_vs_industry_f": rank_within(scored, keys, "gross_margin_raw"), "operating_margin_vs_industry_f": rank_within(scored, keys, "operating_margin_raw")})

@@ -74,7 +74,7 @@ def annual(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = F.col
     return totals.select(
         "instrument_sk", "calendar_year", "revenue", (c("revenue") - c("hi") * 0.3).alias("gross_profit"), F.when(c("n") > 1, c("revenue") - c("hi")).alias("operating_income"),
-        (c("lo") - c("hi") * 0.1).alias("free_cash_flow"), (c("hi") * 0.01).alias("research_and_development_expenses"), (c("revenue") * 0.05).alias("selling_general_and_administrative_expenses"),
+        (c("lo") - c("hi") * 0.1).alias("free_cash_flow"), (c("hi") * 0.01).alias("research_and_development_expenses"), (c("revenue") * 0.05 + c("lo") * 0.01).alias("selling_general_and_administrative_expenses"),
         (c("hi") * 0.002).alias("interest_expense"), (c("revenue") - c("hi")).alias("income_before_tax"), (c("lo") * 0.2).alias("income_tax_expense"), (c("hi") * 2 + c("lo")).alias("total_assets"),
         F.when(c("instrument_sk") % 5 == 0, F.lit(0.0)).otherwise(c("hi")).alias("total_debt"), c("lo").alias("total_stockholders_equity"), (c("lo") * 0.02).alias("deferred_revenue"),
         (c("lo") * 0.1).alias("goodwill_and_intangible_assets"), F.when(c("instrument_sk") % 13 != 0, c("lo") / c("hi") * 0.3).alias("roic"), (c("hi") + c("lo")).alias("invested_capital"),
@@ -87,7 +87,7 @@ ANNUAL = """a0 AS (
   FROM orders GROUP BY ALL),
 annual AS (
   SELECT instrument_sk, calendar_year, revenue, revenue - hi * 0.3::DOUBLE AS gross_profit, CASE WHEN n > 1 THEN revenue - hi END AS operating_income,
-         lo - hi * 0.1::DOUBLE AS free_cash_flow, hi * 0.01::DOUBLE AS research_and_development_expenses, revenue * 0.05::DOUBLE AS selling_general_and_administrative_expenses,
+         lo - hi * 0.1::DOUBLE AS free_cash_flow, hi * 0.01::DOUBLE AS research_and_development_expenses, revenue * 0.05::DOUBLE + lo * 0.01::DOUBLE AS selling_general_and_administrative_expenses,
          hi * 0.002::DOUBLE AS interest_expense, revenue - hi AS income_before_tax, lo * 0.2::DOUBLE AS income_tax_expense, hi * 2 + lo AS total_assets,
          CASE WHEN instrument_sk % 5 = 0 THEN 0.0::DOUBLE ELSE hi END AS total_debt, lo AS total_stockholders_equity, lo * 0.02::DOUBLE AS deferred_revenue,
          lo * 0.1::DOUBLE AS goodwill_and_intangible_assets, CASE WHEN instrument_sk % 13 <> 0 THEN lo / hi * 0.3::DOUBLE END AS roic, hi + lo AS invested_capital
