@@ -196,8 +196,11 @@ def steady(rows: DataFrame, digits: int) -> DataFrame:
 
 
 def moat_scores(base: DataFrame, recessions: DataFrame, digits: int = 9) -> DataFrame:
-    """All steps over base rows that carry market inputs, industry_sk and sector_sk."""
-    features = steady(rolled(raw_ratios(base), recessions), digits)
+    """All steps over base rows that carry market inputs, industry_sk and sector_sk.
+
+    The rolled features feed both levels of statistics and the final join, so they are kept once they are made.
+    """
+    features = steady(rolled(raw_ratios(base), recessions), digits).persist()
     scored = normalised(features)
     keys = ["industry_sk", "calendar_year"]
     ranked = scored.withColumns({"gross_margin_vs_industry_f": rank_within(scored, keys, "gross_margin_raw"), "operating_margin_vs_industry_f": rank_within(scored, keys, "operating_margin_raw")})

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import gold, ops, silver, universe  # noqa: F401  they register themselves
+from . import composite, gold, ops, silver, universe  # noqa: F401  they register themselves
 from .registry import ORACLES, QUERIES, Query
 
 

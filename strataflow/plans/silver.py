@@ -150,15 +150,6 @@ query("P1_snake_aliases", f"WITH {I.PRICES} SELECT date, adj_close + 1 AS adj_cl
 )
 
 
-@query("P2_candidate_names", f"WITH {I.PRICES} SELECT CAST(date AS VARCHAR) AS date, CAST(adj_close AS VARCHAR) AS found, CAST(NULL AS VARCHAR) AS lost FROM prices WHERE FALSE UNION ALL SELECT 'x', 'adj_close', NULL")
-def candidate_names(spark, sf_dir):
-    """Which column a name resolves to, for one that is there under its vendor's name and one that isn't."""
-    df = vendor_prices(spark, sf_dir)
-    found, lost = P.resolve(df, "adj_close", None), P.resolve(df, "vwap", "volumeWeighted")
-    one = df.limit(1).select(F.lit("x").alias("date"), F.lit("adj_close" if found is not None else None).alias("found"), F.lit(None if lost is None else "vwap").cast("string").alias("lost"))
-    return one
-
-
 query("P2_map_keys", f"WITH {PAYLOAD} SELECT k, coalesce(close, '') AS adj_close FROM rows")(
     lambda s, d: B.payload_rows(envelopes(s, d)).select("k", coerce(P.resolve_in_map(F.col("row"), "adj_close", "close"), "str").alias("adj_close"))
 )

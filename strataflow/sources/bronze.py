@@ -15,9 +15,12 @@ ENVELOPE = (
 )
 
 
-def read_bronze(spark: SparkSession, path: str) -> DataFrame:
-    """One row per file under a folder, with its path; files that are no such document have _corrupt_record."""
-    return spark.read.schema(ENVELOPE).option("multiLine", True).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt_record").option("recursiveFileLookup", True).json(path).withColumn("bronze_filename", F.col("_metadata.file_path"))
+def read_bronze(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
+    """One row per document under a folder, with its path; what is no such document has _corrupt_record.
+
+    lines: files hold a document on each line, as write_bronze leaves them, else one document each.
+    """
+    return spark.read.schema(ENVELOPE).option("multiLine", not lines).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt_record").option("recursiveFileLookup", True).json(path).withColumn("bronze_filename", F.col("_metadata.file_path"))
 
 
 def payload_rows(files: DataFrame) -> DataFrame:
@@ -93,13 +96,13 @@ def bronze_manifest(files: DataFrame, today: Column | None = None) -> DataFrame:
     )
 
 
-def recover_manifest(spark: SparkSession, manifest: DataFrame, path: str) -> tuple[DataFrame, DataFrame]:
+def recover_manifest(spark: SparkSession, manifest: DataFrame, path: str, lines: bool = False, today: Column | None = None) -> tuple[DataFrame, DataFrame]:
     """(manifest, one row with the number of files that could not be read): rebuilt from all files if it is empty."""
     if not manifest.isEmpty():
         return manifest, spark.createDataFrame([(0,)], "unreadable bigint")
-    files = read_bronze(spark, path)
+    files = read_bronze(spark, path, lines)
     readable = F.col("_corrupt_record").isNull() & F.col("request").isNotNull()
-    return bronze_manifest(files.where(readable)), files.agg(F.count_if(~readable).alias("unreadable"))
+    return bronze_manifest(files.where(readable), today), files.agg(F.count_if(~readable).alias("unreadable"), F.count("now").alias("dated")).drop("dated")
 
 
 def write_bronze(files: DataFrame, path: str) -> None:

@@ -60,12 +60,12 @@ def _read(spark: SparkSession, path: str) -> DataFrame | None:
         return None
 
 
-def promote_stream(spark: SparkSession, landing: str, contract: Contract, target: str, checkpoint: str, max_files: int | None = None, **options) -> StreamingQuery:
+def promote_stream(spark: SparkSession, landing: str, contract: Contract, target: str, checkpoint: str, max_files: int | None = None, lines: bool = False, **options) -> StreamingQuery:
     """Starts a run over all files not yet seen, in batches of at most `max_files`, and ends when there are none.
 
     A file that can't be read, or may not be promoted, is left out of its batch and stops nothing.
     """
-    reader = spark.readStream.schema(ENVELOPE).option("multiLine", True).option("columnNameOfCorruptRecord", "_corrupt_record").option("recursiveFileLookup", True)
+    reader = spark.readStream.schema(ENVELOPE).option("multiLine", not lines).option("columnNameOfCorruptRecord", "_corrupt_record").option("recursiveFileLookup", True)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     return (
