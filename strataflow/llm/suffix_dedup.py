@@ -77,11 +77,12 @@ def pieces(data: bytes, match: int = MATCH, gram: int = GRAM, block: int = BLOCK
     return (np.concatenate(starts), np.concatenate(counts), np.concatenate(anchors)) if starts else (none, none, none.astype(np.uint64))
 
 
-def suffix_ranks(data: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
+def suffix_ranks(data: np.ndarray, depth: int, asked: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
     """(order, rank) of all suffixes by their first `depth` bytes: equal ranks where these are equal.
 
     Larsson-Sadakane: a suffix's rank is its group's first place in the order. A round at width h sorts the
-    members of groups that are still shared by the rank of the suffix h further on.
+    members of groups that are still shared by the rank of the suffix h further on. With `asked`, a flag for each
+    suffix, the last round leaves the other suffixes out: their ranks, and places among equals, stay rough.
     """
     n = len(data)
     padded = np.r_[data, np.zeros(depth + 8, np.uint8)]
@@ -104,15 +105,17 @@ def suffix_ranks(data: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
     while width < depth and len(places):
         ahead = min(width, depth - width)
         shared = np.r_[~fresh[1:], False] | ~fresh  # not alone in its group
-        places, fresh = places[shared], fresh[shared]
+        if asked is not None and width + ahead >= depth:
+            shared &= asked[order[places]]
+        places = places[shared]
         if not len(places):
             break
         members = order[places]
-        group, further = rank[members], rank[members + ahead]
-        sort = np.lexsort((further, group))
+        both = rank[members] * np.int64(len(rank) + 1) + rank[members + ahead]
+        sort = np.argsort(both)
         order[places] = members[sort]
-        group, further = group[sort], further[sort]
-        fresh = np.r_[True, (group[1:] != group[:-1]) | (further[1:] != further[:-1])]
+        both = both[sort]
+        fresh = np.r_[True, both[1:] != both[:-1]]
         regroup(places, fresh)
         width += ahead
     return order, rank[:n]
@@ -147,12 +150,12 @@ def common_prefixes(data: bytes, order: np.ndarray, wanted: np.ndarray, most: in
 def repeated_windows(chunks: list[bytes], match: int = MATCH) -> list[np.ndarray]:
     """For each piece: which of its windows also start elsewhere in these pieces."""
     data = b"".join(chunks)
-    order, rank = suffix_ranks(np.frombuffer(data, np.uint8), match)
     sizes = np.array([len(c) for c in chunks])
     ends = np.cumsum(sizes)
     is_window = np.zeros(len(data), bool)
     for end, size in zip(ends.tolist(), sizes.tolist(), strict=True):
         is_window[end - size : end - match + 1] = True
+    order, rank = suffix_ranks(np.frombuffer(data, np.uint8), match, is_window)
     windows = order[is_window[order]]  # bytes of a piece's tail that begin no window of it don't count
     same = np.flatnonzero(rank[windows[1:]] == rank[windows[:-1]])
     told = np.zeros(len(data), bool)
