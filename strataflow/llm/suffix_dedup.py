@@ -194,6 +194,14 @@ def _anchors(batches: Iterator[pa.RecordBatch], match: int, gram: int) -> Iterat
             )
 
 
+def _anchor_hashes(batches: Iterator[pa.RecordBatch], match: int, gram: int) -> Iterator[pa.RecordBatch]:
+    """The anchors alone, for counting."""
+    for batch in batches:
+        found = [pieces(raw.as_py(), match, gram)[2] for raw in batch.column("raw")]
+        hashes = np.concatenate(found) if found else np.zeros(0, np.uint64)
+        yield pa.RecordBatch.from_arrays([pa.array(hashes.view(np.int64))], names=["anchor"])
+
+
 _SHARD = [("anchor", pa.int64()), ("piece", pa.int64()), ("begin", pa.int32()), ("stop", pa.int32()), ("shard", pa.int32()), ("key", pa.int64())]
 
 
@@ -282,7 +290,8 @@ def repeated_spans(docs: DataFrame, match: int = MATCH, gram: int = GRAM, shard_
     """docs (id, tag, raw) -> (id, tag, spans): byte ranges, not yet merged, of each document that has any."""
     schema = "id long, tag int, start long, windows int, anchor long, piece long"
     found = docs.mapInArrow(lambda b: _anchors(b, match, gram), schema)
-    twice = stored(found.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("anchor"), "anchors")
+    counted = docs.select("raw").mapInArrow(lambda b: _anchor_hashes(b, match, gram), "anchor long")
+    twice = stored(counted.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("anchor"), "anchors")
     live = stored(found.join(twice, "anchor", "left_semi"), "pieces")
     where = F.struct("id", "tag", "start", "windows")
     kinds = stored(live.groupBy("anchor", "piece").agg(F.count(F.lit(1)).alias("n"), F.min(where).alias("at")), "kinds")
