@@ -317,6 +317,7 @@ def repeated_spans(docs: DataFrame, match: int = MATCH, gram: int = GRAM, shard_
     whole = kinds.where("n > 1").select("anchor", "piece", F.lit(0).alias("begin"), F.col("at.windows").alias("stop"))
     marks = whole.union(ranked.where("key IS NULL").select("anchor", "piece", "begin", "stop")).union(merged)
     ranges = marks.groupBy("anchor", "piece").agg(F.collect_set(F.struct("begin", "stop")).alias("ranges"))  # at most one for each window
+    ranges = stored(ranges, "ranges")  # so that the join below has exchanges of its own, whose large partitions can be split
     spots = live.join(ranges, ["anchor", "piece"]).select("id", "tag", F.explode("ranges").alias("r"), "start")
     return spots.groupBy("id", "tag").agg(F.collect_list(F.struct((F.col("start") + F.col("r.begin")).alias("a"), (F.col("start") + F.col("r.stop") + (match - 1)).alias("b"))).alias("spans"))
 
