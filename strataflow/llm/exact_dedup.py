@@ -132,7 +132,8 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     keyed = marks.join(collided, ["fp", "n_bytes"], "left").withColumn("told", F.when(F.col("collided"), F.col("sha")).otherwise(F.lit("")))
     key = ["fp", "n_bytes", "told"]
     best = F.struct((-F.col("n_points")).alias("p"), F.col("id").isNull().alias("z"), F.col("id").alias("i"))
-    groups = keyed.groupBy(*key).agg(F.count(F.lit(1)).alias("group_size"), F.min(best).alias("best"))
+    groups = stored(keyed.groupBy(*key).agg(F.count(F.lit(1)).alias("group_size"), F.min(best).alias("best")), "groups")
+    # stored, so that the join below has exchanges of its own, whose large partitions can be split
     return keyed.join(groups, key).select(
         F.col("id").alias(id_col),
         F.col("best.i").alias("keep_id"),
