@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources.storage import stored
 from .features import growth, ratio_of_changes, series, slope, trailing
 
 #: Country names of the risk-premium source and their ISO codes.
@@ -235,7 +236,8 @@ def quintiles(rows: DataFrame, score: str, tie: str, year: str = "calendar_year"
     """
     latest = rows.join(F.broadcast(rows.agg(F.max(year).alias(year))), year)
     order = [F.asc_nulls_last(score), F.asc(tie)]
-    parts = latest.repartitionByRange(8, F.col(score).asc_nulls_last(), F.col(tie)).withColumn("__part", F.spark_partition_id()).persist()
+    ranges = max(1, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")))
+    parts = stored(latest.repartitionByRange(ranges, F.col(score).asc_nulls_last(), F.col(tie)).withColumn("__part", F.spark_partition_id()), "ranks")
     sizes = parts.groupBy("__part").agg(F.count(F.lit(1)).alias("__n"))
     before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)  # a row for each range
     starts = sizes.select("__part", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__start"))

@@ -10,16 +10,6 @@ from pyspark.sql import functions as F
 from ..functions.dates import date_sk
 from .upsert import allocate_sk, fill_nulls, latest_per
 
-#: Lookups up to this many bytes, by Spark's own estimate, are broadcast; larger ones are joined by shuffle.
-LOOKUP_BYTES = 32 << 20
-
-
-def small(df: DataFrame) -> DataFrame:
-    """A broadcast hint if the optimizer's size estimate is under LOOKUP_BYTES, else df as it is."""
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    return F.broadcast(df) if size <= LOOKUP_BYTES else df
-
-
 def symbol_union(sources: list[tuple[DataFrame | None, dict[str, Column]]], columns: list[str], key: str = "symbol") -> DataFrame:
     """One row per symbol over all sources that are there; on a tie of symbols the earlier source counts.
 
@@ -39,7 +29,7 @@ def lookup_codes(df: DataFrame, lookups: dict[str, tuple[DataFrame, str, str]])
     """df with each surrogate key: {code column of df: (dimension, its code column, its key column)}; unknown codes give null."""
     for code, (dim, dim_code, sk) in lookups.items():
         side = dim.select(F.col(dim_code).alias(f"__{code}"), F.col(sk))
-        df = df.join(small(side), F.col(code) == F.col(f"__{code}"), "left").drop(f"__{code}")
+        df = df.join(side, F.col(code) == F.col(f"__{code}"), "left").drop(f"__{code}")
     return df
 
 
@@ -53,7 +43,7 @@ def build_dim(existing: DataFrame, sources: DataFrame, natural_key: list[str], s
 
 def fact_eod(prices: DataFrame, instruments: DataFrame, measures: list[str]) -> DataFrame:
     """Prices of known symbols by instrument and day."""
-    return prices.join(small(instruments.select("symbol", "instrument_sk")), "symbol").select("instrument_sk", date_sk(F.col("date")).alias("date_sk"), *measures)
+    return prices.join(instruments.select("symbol", "instrument_sk"), "symbol").select("instrument_sk", date_sk(F.col("date")).alias("date_sk"), *measures)
 
 
 def fact_from_statements(required: DataFrame, optional: list[tuple[DataFrame | None, list[tuple[str, str]]]], keys: list[str], instruments: DataFrame | None = None) -> DataFrame:
@@ -68,7 +58,7 @@ def fact_from_statements(required: DataFrame, optional: list[tuple[DataFrame | N
         else:
             out = out.join(df.select(*keys, *[F.col(c).cast(t).alias(c) for c, t in columns]), keys, "left")
     if instruments is not None:
-        out = out.join(small(instruments.select("symbol", "instrument_sk")), "symbol").drop("symbol")
+        out = out.join(instruments.select("symbol", "instrument_sk"), "symbol").drop("symbol")
     return out
 
 
@@ -80,7 +70,7 @@ def evolve(facts: DataFrame, add: dict[str, str] | None = None, drop: list[str]
 
 def resolve_instruments(symbols: DataFrame, instruments: DataFrame, types: DataFrame, kind: str) -> DataFrame:
     """(symbol, instrument_sk) of the symbols found, upper-cased, among instruments of a type."""
-    of_kind = instruments.join(small(types.where(F.col("instrument_type") == kind).select("instrument_type_sk")), "instrument_type_sk")
+    of_kind = instruments.join(types.where(F.col("instrument_type") == kind).select("instrument_type_sk"), "instrument_type_sk")
     wanted = symbols.select(F.upper(F.trim("symbol")).alias("symbol")).distinct()
     return of_kind.select(F.upper("symbol").alias("symbol"), "instrument_sk").join(wanted, "symbol")
 

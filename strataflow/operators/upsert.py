@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources.storage import stored
+
 
 def latest_per(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
     """The first row of each key in the given order, which must be total for a stable result."""
@@ -62,7 +64,7 @@ def allocate_sk(existing: DataFrame, candidates: DataFrame, natural_key: list[st
     """
     fresh = new_rows(candidates.select(*natural_key).distinct(), existing, natural_key)
     parts = max(1, int(fresh.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")))
-    ranges = fresh.repartitionByRange(parts, *natural_key).select(*natural_key, F.spark_partition_id().alias("__part")).persist()
+    ranges = stored(fresh.repartitionByRange(parts, *natural_key).select(*natural_key, F.spark_partition_id().alias("__part")), "keys")
     counts = ranges.groupBy("__part").agg(F.count(F.lit(1)).alias("__n"))
     earlier = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)  # a row for each range
     starts = counts.select("__part", F.coalesce(F.sum("__n").over(earlier), F.lit(0)).alias("__start"))

@@ -125,10 +125,10 @@ def optional(spark, sf_dir):
 def code_lookups(spark, sf_dir):
     """Country and region keys by code; blank codes find nothing."""
     n = T(spark, sf_dir, "nation").select("n_name", F.col("n_nationkey").alias("nation_sk"), "n_regionkey", "n_nationkey")
-    c = T(spark, sf_dir, "customer").join(F.broadcast(n.select(F.col("n_nationkey").alias("c_nationkey"), F.when(F.col("n_nationkey") % 5 != 2, F.col("n_name")).alias("nation"), F.col("n_regionkey").alias("region_sk"))), "c_nationkey")
+    c = T(spark, sf_dir, "customer").join(n.select(F.col("n_nationkey").alias("c_nationkey"), F.when(F.col("n_nationkey") % 5 != 2, F.col("n_name")).alias("nation"), F.col("n_regionkey").alias("region_sk")), "c_nationkey")
     named = S.lookup_codes(c, {"nation": (n, "n_name", "nation_sk")})
     r = T(spark, sf_dir, "region").select(F.col("r_regionkey").alias("region_sk"), "r_name")
-    return named.join(S.small(r), "region_sk").select("c_custkey", "nation", "region_sk", "nation_sk", F.when(F.col("nation").isNotNull(), F.col("r_name")).alias("region"))
+    return named.join(r, "region_sk").select("c_custkey", "nation", "region_sk", "nation_sk", F.when(F.col("nation").isNotNull(), F.col("r_name")).alias("region"))
 
 
 # Keys and upserts

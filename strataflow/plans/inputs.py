@@ -96,7 +96,7 @@ annual AS (
 
 def companies(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(instrument_sk, symbol, country_code, industry_sk, sector_sk, full_time_employees, beta)."""
-    c = table(spark, sf_dir, "customer").join(F.broadcast(table(spark, sf_dir, "nation")), F.col("c_nationkey") == F.col("n_nationkey"))
+    c = table(spark, sf_dir, "customer").join(table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
     k = F.col("c_custkey")
     return c.select(
         k.alias("instrument_sk"), F.col("c_name").alias("symbol"), F.when(k % 7 != 0, F.concat(F.lit("N"), F.col("c_nationkey").cast("string"))).alias("country_code"),
