@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from ..functions.dates import business_days, is_annual_season, is_earnings_season, last_quarter_end
+from ..functions.dates import business_days, federal_holidays, is_annual_season, is_earnings_season, last_quarter_end
 from ..operators import features as W
 from ..operators import moat as M
 from ..operators import star as S
@@ -39,7 +39,15 @@ def dates(spark, sf_dir):
     return T(spark, sf_dir, "orders").groupBy(d.alias("day"), last_quarter_end(d).alias("quarter_end"), is_annual_season(d).alias("annual_season"), is_earnings_season(d).alias("earnings_season")).agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("F2_next_business_day")
+_HOLIDAYS = ", ".join(f"(DATE '{d}')" for y in range(1994, 2004) for d in federal_holidays(y))
+
+
+@query(
+    "F2_next_business_day",
+    f"""WITH off(d) AS (VALUES {_HOLIDAYS}), days AS (SELECT DISTINCT CAST(o_orderdate AS DATE) AS date FROM orders), ahead AS (SELECT date, date + CAST(n AS INTEGER) AS day FROM days, generate_series(1, 7) t(n)),
+    nxt AS (SELECT date, min(day) AS next_business_day FROM ahead WHERE dayofweek(day) NOT IN (0, 6) AND day NOT IN (SELECT d FROM off) GROUP BY 1)
+    SELECT next_business_day, count(*) AS n FROM orders JOIN nxt ON date = CAST(o_orderdate AS DATE) GROUP BY 1""",
+)
 def next_business_day(spark, sf_dir):
     """Orders by the business day on which they would settle."""
     settled = T(spark, sf_dir, "orders").select(F.col("o_orderdate").cast("date").alias("date")).join(business_days(spark, 1994, 2002), "date")
