@@ -145,8 +145,9 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """docs with one row of each group of equal texts, all columns kept."""
-    stay = exact_groups(docs, id_col, text_col).where("kept").select(F.col(id_col).alias("__stay")).distinct()
-    return docs.join(stay, docs[id_col].eqNullSafe(stay["__stay"]), "left_semi").dropDuplicates([id_col])
+    key = lambda c: F.coalesce(F.concat(F.lit("="), c.cast("string")), F.lit(""))  # noqa: E731  never null: one shuffle serves the join and the last step
+    stay = exact_groups(docs, id_col, text_col).where("kept").select(key(F.col(id_col)).alias("__key")).distinct()
+    return docs.withColumn("__key", key(F.col(id_col))).join(stay, "__key", "left_semi").dropDuplicates(["__key"]).select(*docs.columns)
 
 
 #: The query's contract in DuckDB SQL.
