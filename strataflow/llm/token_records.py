@@ -34,6 +34,8 @@ import struct
 import zlib
 from array import array
 from collections.abc import Iterator
+from itertools import compress
+from operator import not_
 
 import numpy as np
 import pyarrow as pa
@@ -54,8 +56,9 @@ _ODD = re.compile("[" + "".join(map(chr, [*range(0x1C, 0x20), 0x85, 0xA0, 0x1680
 _PIECES = re.compile(r"\s*\S+|\s+")
 #: Characters beyond ASCII, Latin letters and common signs: for the rest Python's classes are those of the pattern.
 _FOREIGN = re.compile(r"[^\x00-\x1b\x20-\x84\x86-\x9f\xa1-\xb1\xb4-\xb8\xba\xbb\xbf-\u024f\u2010-\u2027\u2030-\u205e\u20a0-\u20bf]")
-#: The vocabulary's word pattern, for such texts.
-_WORDS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?[^\W\d_]+| ?\d+| ?(?:[^\w\s]|_)+|\s+(?!\S)|\s+")
+_LETTERS = r"A-Za-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-ɏ"
+#: The vocabulary's word pattern, for such texts: letters, contractions, digits, other signs, white space.
+_WORDS = re.compile(rf" ?[{_LETTERS}]+|'(?:[stmd]|re|ve|ll)| ?[0-9]+| ?[^ \t-\r0-9{_LETTERS}]+|[ \t-\r]+(?![^ \t-\r])|[ \t-\r]+")
 
 
 def masked(data: bytes) -> int:
@@ -109,9 +112,13 @@ class Encoder:
         self._young, self._old, self._size = {}, {}, cache
         self._special = [t.content for t in self._tool.get_added_tokens_decoder().values()]
 
-    def _pieces(self, text: str) -> list[str]:
+    def _pieces(self, text: str) -> list[str] | None:
+        """The text's pieces; None if it can only be encoded as a whole."""
+        plain = not _FOREIGN.search(text)
+        if not plain and _ODD.search(text):
+            return None
         special = any(s in text for s in self._special)
-        return (_PIECES if special or _FOREIGN.search(text) else _WORDS).findall(text)
+        return (_WORDS if plain and not special else _PIECES).findall(text)
 
     def _learn(self, pieces: list[str]) -> dict[str, bytes]:
         known, new = {}, []
@@ -127,13 +134,13 @@ class Encoder:
         return known
 
     def ids(self, text: str) -> np.ndarray:
-        if _ODD.search(text):
-            return np.array(self._tool.encode(text, add_special_tokens=False).ids, dtype=np.uint32)
         pieces = self._pieces(text)
+        if pieces is None:
+            return np.array(self._tool.encode(text, add_special_tokens=False).ids, dtype=np.uint32)
         found = list(map(self._young.get, pieces))
         if None in found:
-            made = self._learn([p for p, f in zip(pieces, found, strict=True) if f is None])
-            found = [made[p] if f is None else f for p, f in zip(pieces, found, strict=True)]
+            made = self._learn(list(compress(pieces, map(not_, found))))
+            found = [f or made[p] for p, f in zip(pieces, found, strict=True)]
         return np.frombuffer(b"".join(found), dtype=np.uint32)
 
 
