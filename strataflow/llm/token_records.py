@@ -14,9 +14,9 @@ adding 0xA282EAD8, so that a checksum stored inside checked data does not upset
 
 Files are written by Spark's own committer (a record is a row of bytes, the mark its line end), so lost tasks
 and executors leave nothing behind and any store works that Spark can write to. Documents are range-partitioned
-by id, so file order is id order. The index is a table built from the files: file, ordinal, byte offset,
-length, id, number of tokens and the ids before it in its file; a shuffled reader draws rows from it and reads
-byte ranges.
+by id, so file order is id order. The index is a table built from the files, all checksums verified: file,
+ordinal, byte offset, length, id, number of tokens, checksum of the ids and the ids before it in its file; a
+shuffled reader draws rows from it and reads byte ranges.
 
 Encoding goes through the tokenizers library. White space starts a new word in byte-level vocabularies, so a
 text's space-led pieces encode on their own, and repeated pieces come from a bounded cache; texts with white
@@ -72,7 +72,7 @@ def frame(payload: bytes) -> bytes:
     return b"".join((size, _CHECK.pack(masked(size)), payload, _CHECK.pack(masked(payload))))
 
 
-def unframe(data: bytes | memoryview, check: bool = True) -> Iterator[tuple[int, memoryview]]:
+def unframe(data: bytes | memoryview) -> Iterator[tuple[int, memoryview]]:
     """(offset, payload) of each record of a file; ValueError where a checksum or the mark is wrong."""
     data, at = memoryview(data), 0
     while at < len(data):
@@ -80,7 +80,7 @@ def unframe(data: bytes | memoryview, check: bool = True) -> Iterator[tuple[int,
         if _CHECK.unpack_from(data, at + 8)[0] != masked(data[at : at + 8]):
             raise ValueError(f"wrong length checksum at {at}")
         payload, end = data[at + 12 : at + 12 + n], at + 12 + n
-        if bytes(data[end + 4 : end + 5]) != MARK or check and _CHECK.unpack_from(data, end)[0] != masked(payload):
+        if bytes(data[end + 4 : end + 5]) != MARK or _CHECK.unpack_from(data, end)[0] != masked(payload):
             raise ValueError(f"wrong payload checksum at {at}")
         yield at, payload
         at = end + 5
@@ -139,8 +139,10 @@ class Encoder:
             return np.array(self._tool.encode(text, add_special_tokens=False).ids, dtype=np.uint32)
         found = list(map(self._young.get, pieces))
         if None in found:
-            made = self._learn(list(compress(pieces, map(not_, found))))
-            found = [f or made[p] for p, f in zip(pieces, found, strict=True)]
+            missing = list(compress(range(len(found)), map(not_, found)))
+            made = self._learn([pieces[i] for i in missing])
+            for i in missing:
+                found[i] = made[pieces[i]]
         return np.frombuffer(b"".join(found), dtype=np.uint32)
 
 
@@ -185,22 +187,28 @@ def _shard(path: Column) -> Column:
     return F.regexp_extract(path, r"part-(\d+)", 1).cast("long")
 
 
+_INDEX = {"shard": "long", "file": "string", "ordinal": "long", "offset": "long", "n_bytes": "long", "id": "long", "n_tokens": "long", "ids_crc32": "long", "before": "long"}
+
+
 def build_index(spark: SparkSession, path: str) -> DataFrame:
-    """One row per record: shard, file, ordinal, offset, n_bytes, id, n_tokens, before (ids before it in its file)."""
+    """One row per record, read from the files with all checksums verified: the columns of _INDEX.
+
+    ids_crc32 is the CRC-32 of the ids as four bytes each; before counts the ids of earlier records of the file.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for shard, file, content in zip(batch.column("shard").to_pylist(), batch.column("file").to_pylist(), batch.column("content"), strict=True):
                 rows, before = [], 0
-                for no, (at, payload) in enumerate(unframe(content.as_buffer(), check=False)):
+                for no, (at, payload) in enumerate(unframe(content.as_buffer())):
                     doc_id, ids = unpack(payload)
-                    rows.append((shard, file, no, at, len(payload), doc_id, len(ids), before))
+                    rows.append((shard, file, no, at, len(payload), doc_id, len(ids), zlib.crc32(ids.astype("<u4").tobytes()), before))
                     before += len(ids)
                 if rows:
-                    columns = [pa.array(c, pa.string() if i == 1 else pa.int64()) for i, c in enumerate(zip(*rows, strict=True))]
-                    yield pa.RecordBatch.from_arrays(columns, names=["shard", "file", "ordinal", "offset", "n_bytes", "id", "n_tokens", "before"])
+                    columns = [pa.array(c, pa.string() if kind == "string" else pa.int64()) for c, kind in zip(zip(*rows, strict=True), _INDEX.values(), strict=True)]
+                    yield pa.RecordBatch.from_arrays(columns, names=list(_INDEX))
 
-    return _files(spark, path).mapInArrow(run, "shard long, file string, ordinal long, offset long, n_bytes long, id long, n_tokens long, before long")
+    return _files(spark, path).mapInArrow(run, ", ".join(f"{name} {kind}" for name, kind in _INDEX.items()))
 
 
 def shard_starts(index: DataFrame, block: int = 1024) -> DataFrame:
@@ -212,23 +220,6 @@ def shard_starts(index: DataFrame, block: int = 1024) -> DataFrame:
     return totals.join(blocks, "block").select("shard", (F.col("base") + F.coalesce(F.sum("n").over(inside), F.lit(0))).alias("start"))
 
 
-def read_records(spark: SparkSession, path: str) -> DataFrame:
-    """One row per record, checksums verified: shard, ordinal, id, ids_crc32, n_tokens, before."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for shard, content in zip(batch.column("shard").to_pylist(), batch.column("content"), strict=True):
-                rows, before = [], 0
-                for no, (_, payload) in enumerate(unframe(content.as_buffer())):
-                    doc_id, ids = unpack(payload)
-                    rows.append((shard, no, doc_id, zlib.crc32(ids.astype("<u4").tobytes()), len(ids), before))
-                    before += len(ids)
-                if rows:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows, strict=True)], names=["shard", "ordinal", "id", "ids_crc32", "n_tokens", "before"])
-
-    return _files(spark, path).select("shard", "content").mapInArrow(run, "shard long, ordinal long, id long, ids_crc32 long, n_tokens long, before long")
-
-
 def read_ids(spark: SparkSession, path: str, wanted: DataFrame) -> DataFrame:
     """(id, ids) of the index rows in `wanted`, each cut from its file by offset and length."""
 
@@ -247,11 +238,11 @@ def read_ids(spark: SparkSession, path: str, wanted: DataFrame) -> DataFrame:
 
 
 def record_digests(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", to: str | None = None) -> DataFrame:
-    """Writes docs and reads the files back: id, start, n_tokens, ids_crc32, shard, offset for each record."""
+    """Writes docs, reads the files back into an index: id, start, n_tokens, ids_crc32, shard, ordinal for each record."""
     spark = docs.sparkSession
     path = to or new_path(spark, "records")
     write_records(docs, f"{path}/data", tokenizer, id_col, text_col)
     build_index(spark, f"{path}/data").write.parquet(f"{path}/index")
     index = spark.read.parquet(f"{path}/index")
     starts = stored(shard_starts(index), "starts")
-    return read_records(spark, f"{path}/data").join(starts, "shard").select(F.col("id").alias(id_col), (F.col("start") + F.col("before")).alias("start"), "n_tokens", "ids_crc32", "shard", "ordinal")
+    return index.join(starts, "shard").select(F.col("id").alias(id_col), (F.col("start") + F.col("before")).alias("start"), "n_tokens", "ids_crc32", "shard", "ordinal")
