@@ -8,8 +8,9 @@ the smallest and largest chunk of the candidates must agree, a partial aggregate
 Candidates that disagree anywhere (a collision) are told apart by the SHA-256 of their text.
 
 Edge cases: a null text counts as empty and all empty texts are one group; a null id is an id like any other;
-rows repeating an id are one document with one decision; columns besides id and text are ignored by
-:func:`exact_groups` and kept by :func:`drop_copies`; an empty table gives an empty result.
+rows repeating an id in one group share its decision; :func:`drop_copies` goes by id and text together, so that one
+row of each group stays whatever the ids are; columns besides id and text are ignored by :func:`exact_groups` and
+kept by :func:`drop_copies`; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import BLANKS, blank_if_null, stored
@@ -104,19 +105,15 @@ def _chunks(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordB
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(rows, types, strict=True)], names=names)
 
 
-def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", chunk: int = CHUNK) -> DataFrame:
-    """One row per row of docs: id, keep_id, group_size, kept, text_sha256.
-
-    Of equal normalised texts the row with the most code points in the original text stays, then the smallest
-    id (null ids last).
-    """
+def _decided(docs: DataFrame, id_col: str, text_col: str, chunk: int) -> DataFrame:
+    """One row per row of docs: id, said (SHA-256 of the text as it is), sha, group_size, best (that of the row that stays)."""
     kind = docs.schema[id_col].dataType.simpleString()
     rows = docs.select(F.col(id_col).alias("id"), blank_if_null(text_col).alias("text"))
     raw = F.col("text").cast("binary").alias("raw")
     marks = stored(
-        rows.select("id", F.length("text").cast("long").alias("n_points"), raw).mapInArrow(
-            lambda batches: _fingerprints(batches, chunk), f"id {kind}, n_points long, fp long, n_bytes long, sha string"
-        ),
+        rows.select(F.struct("id", F.sha2("text", 256).alias("said")).alias("id"), F.length("text").cast("long").alias("n_points"), raw)
+        .mapInArrow(lambda batches: _fingerprints(batches, chunk), f"id struct<id: {kind}, said: string>, n_points long, fp long, n_bytes long, sha string")
+        .select("id.id", "id.said", "n_points", "fp", "n_bytes", "sha"),
         "fingerprints",
     )
     several = marks.groupBy("fp", "n_bytes").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
@@ -131,10 +128,19 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     collided = compared.where("least <> most").select("fp", "n_bytes", F.lit(True).alias("collided")).distinct()
     keyed = marks.join(collided, ["fp", "n_bytes"], "left").withColumn("told", F.when(F.col("collided"), F.col("sha")).otherwise(F.lit("")))
     key = ["fp", "n_bytes", "told"]
-    best = F.struct((-F.col("n_points")).alias("p"), F.col("id").isNull().alias("z"), F.col("id").alias("i"))
+    best = F.struct((-F.col("n_points")).alias("p"), F.col("id").isNull().alias("z"), F.col("id").alias("i"), F.col("said").alias("s"))
     groups = stored(keyed.groupBy(*key).agg(F.count(F.lit(1)).alias("group_size"), F.min(best).alias("best")), "groups")
     # stored, so that the join below has exchanges of its own, whose large partitions can be split
-    return keyed.join(groups, key).select(
+    return keyed.join(groups, key).select("id", "said", "sha", "group_size", "best")
+
+
+def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", chunk: int = CHUNK) -> DataFrame:
+    """One row per row of docs: id, keep_id, group_size, kept, text_sha256.
+
+    Of equal normalised texts the row with the most code points in the original text stays, then the smallest
+    id (null ids last).
+    """
+    return _decided(docs, id_col, text_col, chunk).select(
         F.col("id").alias(id_col),
         F.col("best.i").alias("keep_id"),
         "group_size",
@@ -143,11 +149,17 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     )
 
 
+def row_key(id_: Column, said: Column) -> Column:
+    """A row's id and the SHA-256 of its text as one text, never null: one shuffle serves a join and a last step."""
+    return F.concat_ws("=", said, id_.cast("string"))
+
+
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """docs with one row of each group of equal texts, all columns kept."""
-    key = lambda c: F.coalesce(F.concat(F.lit("="), c.cast("string")), F.lit(""))  # noqa: E731  never null: one shuffle serves the join and the last step
-    stay = exact_groups(docs, id_col, text_col).where("kept").select(key(F.col(id_col)).alias("__key")).distinct()
-    return docs.withColumn("__key", key(F.col(id_col))).join(stay, "__key", "left_semi").dropDuplicates(["__key"]).select(*docs.columns)
+    chosen = F.col("id").eqNullSafe(F.col("best.i")) & (F.col("said") == F.col("best.s"))
+    stay = _decided(docs, id_col, text_col, CHUNK).where(chosen).select(row_key(F.col("id"), F.col("said")).alias("__key")).distinct()
+    own = row_key(F.col(id_col), F.sha2(blank_if_null(text_col), 256))
+    return docs.withColumn("__key", own).join(stay, "__key", "left_semi").dropDuplicates(["__key"]).select(*docs.columns)
 
 
 #: The query's contract in DuckDB SQL.

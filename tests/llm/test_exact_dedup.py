@@ -62,3 +62,10 @@ def test_empty_table_and_drop_copies_keep_columns(documents):
     left = X.drop_copies(frame)
     assert left.columns == frame.columns
     assert {r.doc_id for r in left.collect()} == {2, 3}
+
+
+def test_drop_copies_keeps_every_text_on_null_and_repeated_ids(documents):
+    """One row of each group of equal texts, whatever the ids: none lost, none twice."""
+    rows = [(None, "p q"), (None, "r"), (None, "pq"), (None, "s"), (7, "t"), (7, "u"), (7, "t "), (9, "t"), (9, "v"), (7, "u"), (8, "w  x"), (8, "w x"), (8, "wx"), (None, None)]
+    left = sorted([(r.doc_id, r.text) for r in X.drop_copies(documents(rows)).collect()], key=repr)
+    assert left == sorted([(None, "p q"), (None, "r"), (None, "s"), (7, "t "), (7, "u"), (9, "v"), (8, "w  x"), (None, None)], key=repr)
