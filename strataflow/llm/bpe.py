@@ -9,7 +9,9 @@ constant amount of text, however long a word is. Words shorter than that need no
 kept in a bounded cache.
 
 Decoding is a state machine over bytes: each token adds its surface bytes, complete characters leave at once,
-and at most three bytes of an unfinished one are held.
+and at most three bytes of an unfinished one are held. The digests of a text hash what this machine makes of the
+emitted ids, a run at a time; texts are cut at blanks into stretches, so that beside the text itself only one
+stretch's words are held.
 
 The normalisation and word rules are those of the vocabulary file's own pipeline: NFC, white space to blanks,
 lower case, contractions, letter runs, single digits, other runs; each word's last byte is marked as its end.
@@ -24,6 +26,7 @@ from __future__ import annotations
 import codecs
 import hashlib
 import heapq
+import itertools
 import json
 import re
 import unicodedata
@@ -43,6 +46,9 @@ WORDS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\p{White_Spac
 _CONTROLS = re.compile("[\x1c-\x1f]")
 CACHE = 400_000
 _LONG = 200
+#: Stretches of a text end at the first of these after so many characters: no normalisation or word goes beyond one.
+_BLANK = re.compile("[\t-\r ]")
+STRETCH = 1 << 16
 #: Lists up to this length are merged without a queue.
 _SHORT = 48
 _NONE = 1 << 62
@@ -70,6 +76,7 @@ class Merges:
         self.lookahead = self._reach()
         self.lengths = {i: len(s.removesuffix(END)) for i, s in self.tokens.items()}
         self.longest = max(self.lengths.values())
+        self.spelled = [self.tokens[i].encode() if i in self.tokens else b"" for i in range(max(self.tokens) + 1)]
 
     def _reach(self) -> int:
         length = {i: 1 for i in (*self.inner, *self.last)}
@@ -175,6 +182,7 @@ class Codec:
     def __init__(self, merges: Merges, cache: int = CACHE) -> None:
         self.merges = merges
         self._cache, self._words, self._parts = cache, {}, {}
+        self._same = list(range(len(merges.spelled)))  # one object for each id, shared by the cached words
         self._special = re.compile("(" + "|".join(re.escape(s) for s in sorted(merges.specials, key=len, reverse=True)) + ")") if merges.specials else None
 
     def words(self, text: str) -> list[str]:
@@ -197,12 +205,21 @@ class Codec:
             out += ids
         return out
 
-    def pieces(self, text: str, step: int = 4096) -> Iterator[list[tuple[int, str, str]]]:
-        """Runs of (number of ids, ids as text, tokens as text), one for each piece of the text, in order."""
-        sections = self._special.split(text) if self._special else [text]
-        for i, section in enumerate(sections):
-            if i % 2:
-                yield [(1, str(self.merges.specials[section]), section)]
+    def sections(self, text: str) -> Iterator[tuple[bool, str]]:
+        """(whether it is a special token, text) of the stretches and special tokens of a text, in order."""
+        at = 0
+        for found in self._special.finditer(text) if self._special else ():
+            yield from ((False, x) for x in _stretches(text, at, found.start()))
+            yield True, found[0]
+            at = found.end()
+        yield from ((False, x) for x in _stretches(text, at, len(text)))
+
+    def pieces(self, text: str, step: int = 4096) -> Iterator[list[tuple[int, str, tuple[int, ...]]]]:
+        """Runs of (number of ids, ids as text, ids), one for each piece of the text, in order."""
+        for special, section in self.sections(text):
+            if special:
+                made = self.merges.specials[section]
+                yield [(1, str(made), (made,))]
                 continue
             words = self.words(section)
             for at in range(0, len(words), step):
@@ -212,21 +229,19 @@ class Codec:
                     said = [s or self._learn(w) for s, w in zip(said, run, strict=True)]
                 yield said
 
-    def _learn(self, piece: str) -> tuple[int, str, str]:
+    def _learn(self, piece: str) -> tuple[int, str, tuple[int, ...]]:
         said = self._words.get(piece)
         if said is None:
-            said = self._said(self._piece(piece))
+            ids = self._piece(piece)
+            said = len(ids), " ".join(map(str, ids)), tuple(map(self._same.__getitem__, ids))
             if len(piece) <= _LONG:
                 if len(self._words) >= self._cache:
                     self._words.clear()
                 self._words[piece] = said
         return said
 
-    def _said(self, ids: list[int]) -> tuple[int, str, str]:
-        return len(ids), " ".join(map(str, ids)), " ".join([self.merges.tokens[i] for i in ids])
-
     def encode(self, text: str | None) -> list[int]:
-        return [int(i) for run in self.pieces(text or "") for _, ids, _ in run for i in ids.split(" ")]
+        return [i for run in self.pieces(text or "") for _, _, ids in run for i in ids]
 
     def decode(self, ids: Iterable[int]) -> Iterator[str]:
         """The text of the tokens' surfaces, piece by piece: bytes of each token, blanks at word ends."""
@@ -243,22 +258,43 @@ class Codec:
 
     def decode_tokens(self, ids: Iterable[int]) -> Iterator[str]:
         """The vocabulary's own spelling of the tokens, a blank between two, as a file without a decoder gives."""
-        machine, first = TextMachine(), True
-        for i in ids:
-            yield machine.feed(b" " * (not first) + self.merges.tokens[i].encode())
-            first = False
+        return self.decode_runs(itertools.batched(ids, 4096))
+
+    def decode_runs(self, runs: Iterable[Iterable[int]]) -> Iterator[str]:
+        """The same from ids in runs: one piece of text for each run, then what the machine still holds."""
+        machine, blank, spelled = TextMachine(), b"", self.merges.spelled.__getitem__
+        for run in runs:
+            if data := b" ".join(map(spelled, run)):
+                yield machine.feed(blank + data)
+                blank = b" "
         yield machine.finish()
 
     def digests(self, text: str) -> tuple[int, str, str]:
-        """(number of tokens, SHA-256 of the ids, SHA-256 of the decoded text), a run of pieces at a time."""
-        n, all_ids, spelled, blank = 0, hashlib.sha256(), hashlib.sha256(), ""
-        for run in self.pieces(text):
-            counts, ids, tokens = zip(*run, strict=True)
-            n += sum(counts)
-            all_ids.update((blank + " ".join(ids)).encode())
-            spelled.update((blank + " ".join(tokens)).encode())
-            blank = " "
-        return n, all_ids.hexdigest(), spelled.hexdigest()
+        """(number of tokens, SHA-256 of the ids, SHA-256 of the text decoded from them), a run of pieces at a time."""
+        n, all_ids, decoded = 0, hashlib.sha256(), hashlib.sha256()
+
+        def emitted() -> Iterator[Iterable[int]]:
+            nonlocal n
+            blank = ""
+            for run in self.pieces(text):
+                counts, said, ids = zip(*run, strict=True)
+                n += sum(counts)
+                all_ids.update((blank + " ".join(said)).encode())
+                blank = " "
+                yield itertools.chain.from_iterable(ids)
+
+        for part in self.decode_runs(emitted()):
+            decoded.update(part.encode())
+        return n, all_ids.hexdigest(), decoded.hexdigest()
+
+
+def _stretches(text: str, at: int, end: int) -> Iterator[str]:
+    """text[at:end] in stretches that begin at a blank."""
+    while at < end:
+        cut = _BLANK.search(text, at + STRETCH, end) if at + STRETCH < end else None
+        stop = cut.start() if cut else end
+        yield text[at:stop]
+        at = stop
 
 
 _CODECS: dict[str, Codec] = {}

@@ -77,3 +77,23 @@ def test_ids_as_a_column_keep_the_rest(documents, library):
     frame = documents([(1, "two words"), (2, None)])
     out = bpe.encode_column(frame, PATH, out="ids").orderBy("doc_id").collect()
     assert out[0].ids == library.encode("two words", add_special_tokens=False).ids and out[1].ids == [] and out[0].text == "two words"
+
+
+def test_digests_decode_the_emitted_ids(library, monkeypatch):
+    """The decoded digest comes out of the byte machine, from ids, in runs; stretches change nothing."""
+    fed = []
+    real = bpe.TextMachine.feed
+    monkeypatch.setattr(bpe.TextMachine, "feed", lambda self, data: (fed.append(len(data)), real(self, data))[1])
+    tool = bpe.Codec(bpe.load(PATH))
+    rng = random.Random(3)
+    long = " ".join("".join(rng.choices("abcdefgé日 \u0301Σ\x1c\n", k=12)) for _ in range(9000))
+    for text in ("two words", long, long[:300] + "<|endoftext|>" + long):
+        fed.clear()
+        ids = library.encode(text, add_special_tokens=False).ids
+        assert tool.digests(text) == digests(library, text)
+        assert sum(fed) == len(library.decode(ids, skip_special_tokens=False).encode())
+        assert "".join(tool.decode_tokens(ids)) == library.decode(ids, skip_special_tokens=False)
+    assert len(fed) > 5 and max(fed) < sum(fed) / 3
+    for size in (1, 7, 50):
+        monkeypatch.setattr(bpe, "STRETCH", size)
+        assert all(tool.digests(t) == digests(library, t) for t in (*texts(), long[:2000]))
