@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strataflow.llm import bpe, exact_dedup, language_id, mixing, simhash
+from strataflow.llm import bpe, exact_dedup, language_id, mixing, near_copies
 from strataflow.llm.common import stored, table
 
 #: Documents below this score, or without letters, are in none of the languages known.
@@ -30,8 +30,8 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one document of each near-copy group."""
-    return simhash.drop_near_copies(docs)
+    """Keeps one document of each group linked by five-word shingle similarity of 0.8 or more."""
+    return near_copies.drop_near_copies(docs)
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
