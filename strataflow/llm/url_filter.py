@@ -3,7 +3,8 @@
 A host graph has an edge from a page's host to every host its HTML links to, weighted by the links, and edges
 both ways between a host and the domain above it. Trust is a personalised PageRank from hosts whose pages a
 rule allows; distrust is the same on the reversed edges from hosts whose pages a rule blocks, so that whoever
-links to blocked hosts is doubted. A host is blocked if its distrust is over its trust.
+links to blocked hosts is doubted. A host is blocked if its distrust is over its trust by more than rounding noise.
+Ranks are propagated until none changes by more than a small share of itself, so every host that can be reached has one.
 
 Edge cases: a null url, or one without ``://``, has empty host and path, no rule, and the method's verdict on
 the empty host, which is ``allow``; so is that of a host that nothing reaches, and a tie. Null HTML has no
@@ -23,7 +24,13 @@ from .common import stored
 #: The rules of the registered query, as (action, host and path).
 RULES = (("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/"))
 DAMPING = 0.85
-ROUNDS = 8
+#: Ranks have settled when the largest change of a round is below this share of the rank.
+TOLERANCE = 1e-10
+#: Scores closer than this share of each other are a tie: well over what rounds and the order of sums leave open.
+TIE = 1e-8
+#: Rounds between two tests of change, each of which stores the ranks; and rounds after which it is an error not to have settled.
+STRIDE = 8
+ROUNDS = 10_000
 _URL = r"(?s)^.*?://([^/?#]*)([^?#]*)"
 _LINK = r"""(?i)href\s*=\s*["']?[a-z][a-z0-9+.-]*://([^/?#"'\s<>]*)"""
 
@@ -74,19 +81,24 @@ def host_edges(pages: DataFrame) -> DataFrame:
     return links.union(both.withColumn("n", F.lit(1).cast("long"))).groupBy("src", "dst").agg(F.sum("n").alias("n"))
 
 
-def propagate(edges: DataFrame, seeds: DataFrame, damping: float = DAMPING, rounds: int = ROUNDS) -> DataFrame:
+def propagate(edges: DataFrame, seeds: DataFrame, damping: float = DAMPING, rounds: int = ROUNDS, tolerance: float = TOLERANCE) -> DataFrame:
     """Personalised PageRank in several kinds at once: edges (kind, src, dst, n), seeds (kind, host, seed) -> (kind, host, rank)."""
     out = edges.groupBy("kind", "src").agg(F.sum("n").alias("all"))
     weighted = stored(edges.join(out, ["kind", "src"]).select("kind", "src", "dst", (F.col("n") / F.col("all")).alias("w")), "hosts")
     seeds = stored(seeds, "seeds")
     rank = seeds.withColumnRenamed("seed", "rank")
-    start = seeds.select("kind", "host", (F.col("seed") * (1 - damping)).alias("part"))
-    for i in range(rounds):
-        moved = rank.join(weighted, (rank["kind"] == weighted["kind"]) & (rank["host"] == weighted["src"])).select(rank["kind"], F.col("dst").alias("host"), (F.col("rank") * F.col("w") * damping).alias("part"))
-        rank = moved.union(start).groupBy("kind", "host").agg(F.sum("part").alias("rank"))
-        if i % 4 == 3 or i == rounds - 1:
-            rank = stored(rank, "ranks")
-    return rank
+    start = seeds.select("kind", "host", (F.col("seed") * (1 - damping)).alias("part"), F.lit(0.0).alias("old"))
+    for i in range(1, rounds + 1):
+        moved = rank.join(weighted, (rank["kind"] == weighted["kind"]) & (rank["host"] == weighted["src"])).select(rank["kind"], F.col("dst").alias("host"), (F.col("rank") * F.col("w") * damping).alias("part"), F.lit(0.0).alias("old"))
+        if i % STRIDE:
+            rank = moved.union(start).groupBy("kind", "host").agg(F.sum("part").alias("rank"))
+            continue
+        held = rank.select("kind", "host", F.lit(0.0).alias("part"), F.col("rank").alias("old"))
+        both = stored(moved.union(start).union(held).groupBy("kind", "host").agg(F.sum("part").alias("rank"), F.sum("old").alias("old")), "ranks")
+        rank = both.select("kind", "host", "rank")
+        if both.where(F.abs(F.col("rank") - F.col("old")) > tolerance * F.col("rank")).isEmpty():
+            return rank
+    raise RuntimeError(f"ranks did not settle in {rounds} rounds")
 
 
 def judge_urls(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", rules: tuple[tuple[str, str], ...] = RULES) -> DataFrame:
@@ -101,9 +113,9 @@ def judge_urls(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
     edges = stored(host_edges(read.select("host", "html")), "edges")
     back = edges.select(F.lit("distrust").alias("kind"), F.col("dst").alias("src"), F.col("src").alias("dst"), "n")
     ranks = propagate(edges.select(F.lit("trust").alias("kind"), "src", "dst", "n").union(back), seeds)
-    score = lambda kind: F.round(F.coalesce(F.sum(F.when(F.col("kind") == kind, F.col("rank"))), F.lit(0.0)), 9).alias(kind)
+    score = lambda kind: F.coalesce(F.sum(F.when(F.col("kind") == kind, F.col("rank"))), F.lit(0.0)).alias(kind)
     hosts = ranks.groupBy("host").agg(score("trust"), score("distrust"))
-    own = F.when(F.coalesce("distrust", F.lit(0.0)) > F.coalesce("trust", F.lit(0.0)), "block").otherwise("allow")
+    own = F.when(F.coalesce("distrust", F.lit(0.0)) > F.coalesce("trust", F.lit(0.0)) * (1 + TIE), "block").otherwise("allow")
     return (
         ruled.drop("html")
         .join(hosts, "host", "left")

@@ -88,3 +88,16 @@ def test_matches_brute_force(spark):
 
 def test_empty_table(spark):
     assert U.judge_urls(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
+
+
+def test_long_chains_and_hubs_reach_a_verdict(spark):
+    """Distrust goes back over 30 links, and through two hubs that divide it below any fixed number of decimals."""
+    blocked = "http://bad.net/x"
+    link = lambda to: f'<a href="http://{to}/">y</a>'
+    chain = [(i, f"http://c{i}/", link(f"c{i - 1}") if i else link("bad.net")) for i in range(30)]
+    hubs = [(100, "http://hub1/", link("bad.net")), (101, "http://hub2/", link("mid")), (102, "http://mid/", link("hub1")), (103, "http://far/", link("hub2")), (104, "http://alone/", "")]
+    crowd = [(1000 + 2 * i + k, f"http://{h}x{i}/", link(h)) for i in range(20_000) for k, h in enumerate(("hub1", "hub2"))]
+    pages = spark.createDataFrame([(99, blocked, ""), *chain, *hubs, *crowd], "page_id long, url string, html string")
+    said = {r.page_id: r for r in U.judge_urls(pages).collect()}
+    assert all(said[i].verdict == "block" and said[i].distrust > 0 for i in (*range(30), 100, 101, 102, 103))
+    assert 0 < said[103].distrust < 5e-10 and said[104].verdict == "allow" and said[104].distrust == 0
