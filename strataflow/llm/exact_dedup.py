@@ -5,12 +5,14 @@ two prime moduli; hashes of neighbouring chunks combine by length-shifted arithm
 ``H(AB) = H(A) * B^|B| + H(B)``, so the chunks of one huge text can be hashed apart and in any grouping.
 Rows of equal fingerprint and length are candidates. They are then compared chunk by chunk: per chunk number
 the smallest and largest chunk of the candidates must agree, a partial aggregate that never gathers a group.
-Candidates that disagree anywhere (a collision) are told apart by the SHA-256 of their text.
+Candidates that disagree anywhere (a collision) are told apart by the SHA-256 of their text. Tables of groups are stored
+before rows meet them, so that a join's large partitions (a group of copies with a third of the rows) can be split.
 
 Edge cases: a null text counts as empty and all empty texts are one group; a null id is an id like any other;
 rows repeating an id in one group share its decision; :func:`drop_copies` goes by id and text together, so that one
-row of each group stays whatever the ids are; columns besides id and text are ignored by :func:`exact_groups` and
-kept by :func:`drop_copies`; an empty table gives an empty result.
+row of each group stays whatever the ids are: the one with the most code points, then the smallest id (null last), then
+the smaller SHA-256 of its text; columns besides id and text are ignored by :func:`exact_groups` and kept by
+:func:`drop_copies`, whatever their names; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -23,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import BLANKS, blank_if_null, stored
+from .common import BLANKS, blank_if_null, named, stored, unused
 
 #: Two primes below 2^31, so that a byte times a power stays far below 2^64 when summed over a chunk.
 MODULI = (2147483647, 2147483629)
@@ -108,7 +110,7 @@ def _chunks(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordB
 def _decided(docs: DataFrame, id_col: str, text_col: str, chunk: int) -> DataFrame:
     """One row per row of docs: id, said (SHA-256 of the text as it is), sha, group_size, best (that of the row that stays)."""
     kind = docs.schema[id_col].dataType.simpleString()
-    rows = docs.select(F.col(id_col).alias("id"), blank_if_null(text_col).alias("text"))
+    rows = docs.select(named(id_col).alias("id"), blank_if_null(text_col).alias("text"))
     raw = F.col("text").cast("binary").alias("raw")
     marks = stored(
         rows.select(F.struct("id", F.sha2("text", 256).alias("said")).alias("id"), F.length("text").cast("long").alias("n_points"), raw)
@@ -116,21 +118,24 @@ def _decided(docs: DataFrame, id_col: str, text_col: str, chunk: int) -> DataFra
         .select("id.id", "id.said", "n_points", "fp", "n_bytes", "sha"),
         "fingerprints",
     )
-    several = marks.groupBy("fp", "n_bytes").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    candidates = marks.join(several, ["fp", "n_bytes"], "left_semi").select("id", "fp", "n_bytes").distinct()
+    several = stored(marks.groupBy("fp", "n_bytes").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("fp", "n_bytes"), "several")
+    candidates = marks.join(several, ["fp", "n_bytes"]).select(row_key(F.col("id"), F.col("said")).alias("key"), "fp", "n_bytes").distinct()
     compared = (
-        rows.join(candidates.withColumnRenamed("id", "cid"), F.col("id").eqNullSafe(F.col("cid")))
+        rows.withColumn("key", row_key(F.col("id"), F.sha2("text", 256)))
+        .join(stored(candidates, "candidates"), "key")  # by id and text: each row meets one candidate, null and repeated ids too
         .select("fp", "n_bytes", raw)
         .mapInArrow(lambda batches: _chunks(batches, chunk), "fp long, n_bytes long, chunk_no long, chunk binary")
         .groupBy("fp", "n_bytes", "chunk_no")
         .agg(F.min("chunk").alias("least"), F.max("chunk").alias("most"))
     )
-    collided = compared.where("least <> most").select("fp", "n_bytes", F.lit(True).alias("collided")).distinct()
-    keyed = marks.join(collided, ["fp", "n_bytes"], "left").withColumn("told", F.when(F.col("collided"), F.col("sha")).otherwise(F.lit("")))
+    collided = stored(compared.where("least <> most").select("fp", "n_bytes", F.lit(True).alias("collided")).distinct(), "collided")
+    if collided.isEmpty():
+        keyed = marks.withColumn("told", F.lit(""))
+    else:
+        keyed = marks.join(collided, ["fp", "n_bytes"], "left").withColumn("told", F.when(F.col("collided"), F.col("sha")).otherwise(F.lit("")))
     key = ["fp", "n_bytes", "told"]
     best = F.struct((-F.col("n_points")).alias("p"), F.col("id").isNull().alias("z"), F.col("id").alias("i"), F.col("said").alias("s"))
     groups = stored(keyed.groupBy(*key).agg(F.count(F.lit(1)).alias("group_size"), F.min(best).alias("best")), "groups")
-    # stored, so that the join below has exchanges of its own, whose large partitions can be split
     return keyed.join(groups, key).select("id", "said", "sha", "group_size", "best")
 
 
@@ -157,9 +162,14 @@ def row_key(id_: Column, said: Column) -> Column:
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """docs with one row of each group of equal texts, all columns kept."""
     chosen = F.col("id").eqNullSafe(F.col("best.i")) & (F.col("said") == F.col("best.s"))
-    stay = _decided(docs, id_col, text_col, CHUNK).where(chosen).select(row_key(F.col("id"), F.col("said")).alias("__key")).distinct()
-    own = row_key(F.col(id_col), F.sha2(blank_if_null(text_col), 256))
-    return docs.withColumn("__key", own).join(stay, "__key", "left_semi").dropDuplicates(["__key"]).select(*docs.columns)
+    stay = _decided(docs, id_col, text_col, CHUNK).where(chosen).select(row_key(F.col("id"), F.col("said")).alias("key"))
+    return keep_keys(docs, row_key(named(id_col), F.sha2(blank_if_null(text_col), 256)), stay)
+
+
+def keep_keys(docs: DataFrame, own: Column, stay: DataFrame) -> DataFrame:
+    """docs with one row of each key of `stay` (one column), all columns kept; own: a row's key."""
+    (key,) = unused("key", taken=docs.columns)
+    return docs.withColumn(key, own).join(stay.toDF(key).distinct(), key, "left_semi").dropDuplicates([key]).select(*[named(c) for c in docs.columns])
 
 
 #: The query's contract in DuckDB SQL.

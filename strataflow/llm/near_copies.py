@@ -28,9 +28,9 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import blank_if_null, stored
+from .common import blank_if_null, named, stored
 from .components import connected_components
-from .exact_dedup import row_key
+from .exact_dedup import keep_keys, row_key
 from .simhash import BUDGET, SEED, hamming_links
 
 SHINGLE = 5
@@ -115,7 +115,7 @@ def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     """docs with one row of each group of texts linked by a similarity of `least` or more, all columns kept."""
     kind = docs.schema[id_col].dataType.simpleString()
     raw, said = blank_if_null(text_col).cast("binary").alias("raw"), F.sha2(blank_if_null(text_col), 256)
-    rows = docs.select(F.col(id_col).alias("id"), said.alias("said"), raw)
+    rows = docs.select(named(id_col).alias("id"), said.alias("said"), raw)
     marks = stored(rows.mapInArrow(lambda batches: _marks(batches, shingle), f"id {kind}, said string, node binary, fp long, keys array<long>"), "near_marks")
 
     keyed = stored(marks.where(F.size("keys") > 0).select("node", F.explode("keys").alias("key")).distinct(), "near_keys")
@@ -148,9 +148,7 @@ def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     roots = connected_components(edges)
     placed = marks.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     best = placed.groupBy("root").agg(F.min(F.struct(F.col("id").isNull().alias("z"), "id", "said")).alias("best"))
-    stay = best.select(row_key(F.col("best.id"), F.col("best.said")).alias("__key"))
-    own = docs.withColumn("__key", row_key(F.col(id_col), said))
-    return own.join(stay, "__key", "left_semi").dropDuplicates(["__key"]).select(*docs.columns)
+    return keep_keys(docs, row_key(named(id_col), said), best.select(row_key(F.col("best.id"), F.col("best.said"))))
 
 
 def _pairs(links: DataFrame) -> DataFrame:

@@ -69,3 +69,27 @@ def test_drop_copies_keeps_every_text_on_null_and_repeated_ids(documents):
     rows = [(None, "p q"), (None, "r"), (None, "pq"), (None, "s"), (7, "t"), (7, "u"), (7, "t "), (9, "t"), (9, "v"), (7, "u"), (8, "w  x"), (8, "w x"), (8, "wx"), (None, None)]
     left = sorted([(r.doc_id, r.text) for r in X.drop_copies(documents(rows)).collect()], key=repr)
     assert left == sorted([(None, "p q"), (None, "r"), (None, "s"), (7, "t "), (7, "u"), (9, "v"), (8, "w  x"), (None, None)], key=repr)
+
+
+def test_null_ids_send_each_text_once(documents, spark, monkeypatch):
+    """Two thousand rows without an id, in forty groups of equal texts: as many chunk rows as rows."""
+    sent = spark.sparkContext.accumulator(0)
+    original = X._chunks
+
+    def counted(batches, size):
+        for batch in original(batches, size):
+            sent.add(batch.num_rows)
+            yield batch
+
+    monkeypatch.setattr(X, "_chunks", counted)
+    rows = [(None if i % 2 else 7, f"text {i % 40} {' ' * (i % 50)}") for i in range(4000)]
+    assert sorted([tuple(r) for r in X.exact_groups(documents(rows)).collect()], key=repr) == brute(rows)
+    assert 0 < sent.value <= len(rows)
+
+
+def test_any_column_names(documents):
+    frame = documents([(1, "a"), (2, " a"), (3, None)]).withColumns({"key": F.lit(1), "__key": F.lit(2), "a.b": F.lit(3), "KEY_": F.lit(4)})
+    left = X.drop_copies(frame)
+    assert left.columns == frame.columns and sorted(r[0] for r in left.collect()) == [2, 3]
+    dotted = frame.withColumnsRenamed({"doc_id": "doc.id", "text": "the.text"})
+    assert sorted(r[0] for r in X.drop_copies(dotted, "doc.id", "the.text").collect()) == [2, 3]
