@@ -24,11 +24,12 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import blank_if_null, stored
+from .common import blank_if_null, named, stored
 from .components import connected_components
+from .exact_dedup import keep_keys, row_key
 
 SHINGLE = 3
 BUDGET = 2
@@ -64,15 +65,16 @@ def _majority(rows: np.ndarray) -> np.uint64:
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, fp): fp as a signed long."""
+    """(id, said, fp): said is the SHA-256 of the text, fp a signed long."""
     kind = docs.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = np.array([simhash(x.as_py()) for x in batch.column("raw")], dtype=np.uint64)
-            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(found.view(np.int64))], names=["id", "fp"])
+            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("said"), pa.array(found.view(np.int64))], names=["id", "said", "fp"])
 
-    return docs.select(F.col(id_col).alias("id"), blank_if_null(text_col).cast("binary").alias("raw")).mapInArrow(run, f"id {kind}, fp long")
+    text = blank_if_null(text_col)
+    return docs.select(named(id_col).alias("id"), F.sha2(text, 256).alias("said"), text.cast("binary").alias("raw")).mapInArrow(run, f"id {kind}, said string, fp long")
 
 
 def trie_pairs(left: np.ndarray, right: np.ndarray | None, bits: int, spent: np.ndarray | int, budget: int, nodes: tuple[np.ndarray, ...] | None = None, most: int = 1 << 19) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -235,17 +237,24 @@ def _open(rows: DataFrame, blocks: list[tuple[int, int]], budget: int) -> DataFr
 
 def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", budget: int = BUDGET, node_cap: int = NODE_CAP) -> DataFrame:
     """One row per row of docs: id, fingerprint (16 hex digits), component_id (the smallest id reachable)."""
-    prints = stored(fingerprints(docs, id_col, text_col), "simhash")
-    distinct = prints.groupBy("fp").agg(F.min("id").alias("least"))
+    prints = stored(fingerprints(docs, id_col, text_col).drop("said"), "simhash")
+    classes = _classes(prints, F.min("id"), budget, node_cap)
+    return prints.join(classes, "fp").select(F.col("id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), F.col("best").alias("component_id"))
+
+
+def _classes(prints: DataFrame, least: Column, budget: int, node_cap: int) -> DataFrame:
+    """(fp, best): a component's smallest value of the aggregate `least`, for each of its fingerprints."""
+    distinct = prints.groupBy("fp").agg(least.alias("least"))
     links = connected_components(hamming_links(prints, budget, node_cap)).select(F.col("node").alias("fp"), "root")
     rooted = distinct.join(links, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    smallest = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    classes = rooted.join(smallest, "root").select("fp", "component_id")
-    return prints.join(classes, "fp").select(F.col("id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    smallest = rooted.groupBy("root").agg(F.min("least").alias("best"))
+    return stored(rooted.join(smallest, "root").select("fp", "best"), "classes")
 
 
-def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """docs with the smallest id of each near-copy group, all columns kept."""
-    found = near_groups(docs, id_col, text_col)
-    stay = found.where(F.col(id_col).eqNullSafe(F.col("component_id"))).select(F.col(id_col).alias("__stay")).distinct()
-    return docs.join(stay, docs[id_col].eqNullSafe(stay["__stay"]), "left_semi")
+def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", budget: int = BUDGET, node_cap: int = NODE_CAP) -> DataFrame:
+    """docs with one row of each near-copy group, all columns kept: that of the smallest id (null last), then of the
+    smaller SHA-256 of its text; of rows that repeat an id only the one of its group that this picks stays.
+    """
+    prints = stored(fingerprints(docs, id_col, text_col), "simhash")
+    best = _classes(prints, F.min(F.struct(F.col("id").isNull().alias("z"), "id", "said")), budget, node_cap)
+    return keep_keys(docs, row_key(named(id_col), F.sha2(blank_if_null(text_col), 256)), best.select(row_key(F.col("best.id"), F.col("best.said"))))

@@ -83,3 +83,11 @@ def test_empty_and_clashing_columns(documents):
     frame = documents([(1, "a b c d e"), (2, "a b c d e"), (3, "w")]).withColumn("fp", F.lit("x")).withColumn("component_id", F.lit(9))
     left = S.drop_near_copies(frame)
     assert left.columns == frame.columns and {r.doc_id for r in left.collect()} == {1, 3}
+
+
+def test_repeated_ids_keep_only_the_row_their_group_picks(documents):
+    rows = [(7, "a b c d e"), (7, "p q r s t"), (7, "a b c d e"), (3, "a  b c d e"), (None, "p q r s t"), (None, "u v w x y z")]
+    frame = documents(rows).withColumns({"key": F.lit(1), "a.b": F.lit(2)})
+    left = S.drop_near_copies(frame)
+    assert left.columns == frame.columns
+    assert sorted([(r.doc_id, r.text) for r in left.collect()], key=repr) == sorted([(3, "a  b c d e"), (7, "p q r s t"), (None, "u v w x y z")], key=repr)
