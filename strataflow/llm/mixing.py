@@ -16,8 +16,9 @@ and seed, so reruns agree.
 DataFrame functions only. The table of sources is small (a row for each source) and is ranked in one window.
 
 Edge cases: a null text has size 0 and is never taken; a null source is a source of its own, last in order;
-rows that repeat an id, source and size are one unit, taken or left together; a null id is an id; an empty
-table gives an empty result; other columns are kept by :func:`mix_documents`.
+rows that repeat an id, source and text are one unit, taken or left together; rows that share only their id, null or
+not, are units of their own; an empty table gives an empty result; other columns are kept by :func:`mix_documents`,
+whatever their names.
 """
 
 from __future__ import annotations
@@ -25,7 +26,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD_CLASS, blank_if_null, stored
+from .common import WORD_CLASS, blank_if_null, named, stored, unused
 
 WEIGHTS = (5.0, 2.0, 1.0)
 MOST = 3
@@ -136,17 +137,31 @@ def plan_mix(sized: DataFrame, weights: tuple[float, ...] = WEIGHTS, most: float
     return wanted.join(taken, same, "left").select("id", "source", "size", "source_size", "target", (F.col("whole") + F.col("z2").isNotNull().cast("long")).alias("copies"))
 
 
+def _unit(id_col: str, text_col: str) -> Column:
+    """What tells documents apart: a digest of id and text."""
+    return F.unhex(F.md5(F.concat(F.coalesce(named(id_col).cast("string"), F.lit("")), F.when(named(id_col).isNull(), "-").otherwise("+"), blank_if_null(text_col))))
+
+
+def _planned(docs: DataFrame, id_col: str, text_col: str, source_col: str, weights: tuple[float, ...], most: float, seed: int) -> tuple[DataFrame, DataFrame]:
+    """(sizes of all rows, plan of all units)."""
+    sized = docs.select(_unit(id_col, text_col).alias("id"), named(source_col).alias("source"), n_words(text_col).alias("size"), named(id_col).alias("doc"))
+    sized = stored(sized, "sizes")
+    return sized, plan_mix(sized.drop("doc"), weights, most, seed)
+
+
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights: tuple[float, ...] = WEIGHTS, most: float = MOST, seed: int = SEED) -> DataFrame:
     """One row per row of docs: id, size, source_size, target, taken (words, repeats counted), copies."""
-    sized = stored(docs.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"), n_words(text_col).alias("size")), "sizes")
-    plan = plan_mix(sized, weights, most, seed).select(F.col("id").alias("i"), F.col("source").alias("s"), F.col("size").alias("z"), "source_size", "target", "copies")
-    same = F.col("id").eqNullSafe(F.col("i")) & F.col("source").eqNullSafe(F.col("s")) & (F.col("size") == F.col("z"))
-    return sized.join(plan, same).select(F.col("id").alias(id_col), "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"), "copies")
+    sized, plan = _planned(docs, id_col, text_col, source_col, weights, most, seed)
+    plan = plan.select(F.col("id").alias("i"), F.col("source").alias("s"), "source_size", "target", "copies")
+    joined = sized.join(plan, (F.col("id") == F.col("i")) & F.col("source").eqNullSafe(F.col("s")))
+    return joined.select(F.col("doc").alias(id_col), "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"), "copies")
 
 
 def mix_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights: tuple[float, ...] = WEIGHTS, most: float = MOST, seed: int = SEED) -> DataFrame:
     """docs with every row repeated as often as the mix takes it; rows taken no time go."""
-    taken = mix(docs, id_col, text_col, source_col, weights, most, seed).where("copies > 0")
-    copies = taken.groupBy(F.col(id_col).alias("__id"), F.col("size").alias("__size")).agg(F.max("copies").cast("int").alias("__copies"))
-    joined = docs.withColumn("__words", n_words(text_col)).join(copies, F.col(id_col).eqNullSafe(F.col("__id")) & (F.col("__words") == F.col("__size")))
-    return joined.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies")))).select(*docs.columns)
+    _, plan = _planned(docs, id_col, text_col, source_col, weights, most, seed)
+    unit, of, n, copy = unused("unit", "of", "copies", "copy", taken=docs.columns)
+    taken = plan.where("copies > 0").select(F.col("id").alias(unit), F.col("source").alias(of), F.col("copies").cast("int").alias(n))
+    own = docs.withColumn(unit, _unit(id_col, text_col))
+    joined = own.join(taken, (own[unit] == taken[unit]) & named(source_col).eqNullSafe(F.col(of)))
+    return joined.withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(n)))).select(*[named(c) for c in docs.columns])

@@ -77,3 +77,14 @@ def test_copies_of_rows_keep_columns(documents):
     out = M.mix_documents(frame)
     want = M.mix(frame).agg(F.sum("taken")).first()[0]
     assert out.columns == frame.columns and out.agg(F.sum(M.n_words("text"))).first()[0] == want
+
+
+def test_same_id_in_two_sources_and_any_column_names(spark):
+    """Rows that share an id, null or not, are taken by their own source's rate."""
+    rows = [(i % 3 or None, f"w{i} x y z", s) for s, n in (("a", 40), ("b", 400), ("c", 40)) for i in range(n)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, source string").withColumns({"unit": F.lit(1), "of": F.lit(2), "copies": F.lit(3), "copy": F.lit(4), "__size": F.lit(5), "a.b": F.lit(6)})
+    out = M.mix_documents(frame)
+    assert out.columns == frame.columns
+    want = slow_targets({"a": 160, "b": 1600, "c": 160})
+    took = {r["source"]: r["n"] for r in out.groupBy("source").agg(F.sum(M.n_words("text")).alias("n")).collect()}
+    assert all(abs(took[s] - want[s]) <= 8 for s in want)
