@@ -5,8 +5,8 @@ reaching further left than the one before: the rule (u, v) can be set off by a c
 begins with the left part of an earlier rule of the chain. The longest such chain, measured by the lengths of
 its left parts, is computed from the merge list once (:attr:`Merges.lookahead`). A token that ends that far
 before the end of what has been read can no longer change, so it is emitted and forgotten; what is held is a
-constant amount of text, however long a word is. Words shorter than that need no stream, and their tokens are
-kept in a bounded cache.
+constant amount of text, however long a word is. Every word goes through this stream; the tokens that a word of up to
+REMEMBERED characters has emitted are kept in a bounded cache, so that the next one like it is looked up.
 
 Decoding is a state machine over bytes: each token adds its surface bytes, complete characters leave at once,
 and at most three bytes of an unfinished one are held. The digests of a text hash what this machine makes of the
@@ -36,8 +36,9 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from .common import blank_if_null
+from .common import blank_if_null, named
 
 END = "</w>"
 #: The vocabulary's word pattern.
@@ -45,7 +46,7 @@ WORDS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\p{White_Spac
 #: Characters on which str.split and the vocabulary's white space disagree.
 _CONTROLS = re.compile("[\x1c-\x1f]")
 CACHE = 400_000
-_LONG = 200
+REMEMBERED = 200
 #: Stretches of a text end at the first of these after so many characters: no normalisation or word goes beyond one.
 _BLANK = re.compile("[\t-\r ]")
 STRETCH = 1 << 16
@@ -149,12 +150,10 @@ class Merges:
         yield from self.merge(held)
 
     def word(self, text: str) -> list[int]:
-        """Tokens of one word."""
+        """Tokens of one word, as the stream emits them."""
         data = text.encode("utf-8", "surrogatepass")
-        inner, n = self.inner, len(data)
-        if n <= _LONG:
-            return self.merge([inner[b] for b in data[:-1]] + [self.last[data[-1]]])
-        return list(self.stream(self.last[b] if i == n - 1 else inner[b] for i, b in enumerate(data)))
+        inner = self.inner
+        return list(self.stream(itertools.chain((inner[b] for b in data[:-1]), (self.last[data[-1]],))))
 
 
 def load(path: str) -> Merges:
@@ -198,7 +197,7 @@ class Codec:
             ids = self._parts.get(word)
             if ids is None:
                 ids = self.merges.word(word)
-                if len(word) <= _LONG:
+                if len(word) <= REMEMBERED:
                     if len(self._parts) >= self._cache:
                         self._parts.clear()
                     self._parts[word] = ids
@@ -234,7 +233,7 @@ class Codec:
         if said is None:
             ids = self._piece(piece)
             said = len(ids), " ".join(map(str, ids)), tuple(map(self._same.__getitem__, ids))
-            if len(piece) <= _LONG:
+            if len(piece) <= REMEMBERED:
                 if len(self._words) >= self._cache:
                     self._words.clear()
                 self._words[piece] = said
@@ -318,20 +317,19 @@ def encode_digests(docs: DataFrame, path: str, id_col: str = "doc_id", text_col:
             columns = [pa.array(list(c), t) for c, t in zip(zip(*found, strict=True), (pa.int64(), pa.string(), pa.string()), strict=True)] if found else [pa.array([], t) for t in (pa.int64(), pa.string(), pa.string())]
             yield pa.RecordBatch.from_arrays([batch.column("id"), *columns], names=["id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
-    rows = docs.select(F.col(id_col).alias("id"), blank_if_null(text_col).alias("text"))
+    rows = docs.select(named(id_col).alias("id"), blank_if_null(text_col).alias("text"))
     return rows.mapInArrow(run, f"id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string").withColumnRenamed("id", id_col)
 
 
 def encode_column(docs: DataFrame, path: str, text_col: str = "text", out: str = "token_ids") -> DataFrame:
-    """docs with its texts' ids as an array column `out`."""
-    schema = docs.select("*").schema
-    ddl = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in schema if f.name != out), f"`{out}` array<int>"])
-    names = [f.name for f in schema if f.name != out]
+    """docs with its texts' ids as an array column `out`, which replaces one of that name."""
+    kept = [c for c in docs.columns if c != out]
+    schema = T.StructType([*(docs.schema[c] for c in kept), T.StructField(out, T.ArrayType(T.IntegerType()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tool = codec(path)
         for batch in batches:
-            ids = pa.array([tool.encode(x.as_py()) for x in batch.column(batch.schema.names.index(text_col))], pa.list_(pa.int32()))
-            yield pa.RecordBatch.from_arrays([*(batch.column(batch.schema.names.index(n)) for n in names), ids], names=[*names, out])
+            ids = pa.array([tool.encode(x.as_py()) for x in batch.column(len(kept))], pa.list_(pa.int32()))
+            yield pa.RecordBatch.from_arrays([*batch.columns[: len(kept)], ids], names=schema.names)
 
-    return docs.select(*[F.col(f"`{n}`") for n in names]).mapInArrow(run, ddl)
+    return docs.select(*map(named, kept), named(text_col)).toDF(*[f"c{i}" for i in range(len(kept) + 1)]).mapInArrow(run, schema)

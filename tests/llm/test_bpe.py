@@ -3,6 +3,7 @@ import random
 
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from strataflow.llm import bpe
@@ -97,3 +98,29 @@ def test_digests_decode_the_emitted_ids(library, monkeypatch):
     for size in (1, 7, 50):
         monkeypatch.setattr(bpe, "STRETCH", size)
         assert all(tool.digests(t) == digests(library, t) for t in (*texts(), long[:2000]))
+
+
+def test_every_token_comes_out_of_the_stream(library, monkeypatch):
+    """Without a cache the stream emits exactly the tokens of the digests; with one, each distinct word's once."""
+    emitted = []
+    real = bpe.Merges.stream
+    monkeypatch.setattr(bpe.Merges, "stream", lambda self, *a, **k: (emitted.append(t) or t for t in real(self, *a, **k)))
+    bare = bpe.Codec(bpe.load(PATH))
+    for text in (t for t in texts() if "<|" not in t):
+        emitted.clear()
+        bare._words.clear(), bare._parts.clear()
+        seen = bare.encode(text)
+        assert seen == library.encode(text, add_special_tokens=False).ids
+        assert set(seen) <= set(emitted)
+    tool = bpe.Codec(bpe.load(PATH))
+    emitted.clear()
+    assert tool.digests("one two one two three")[0] == len(library.encode("one two one two three", add_special_tokens=False).ids)
+    assert emitted == library.encode("one two three", add_special_tokens=False).ids
+
+
+def test_column_of_ids_beside_any_columns(documents, library):
+    frame = documents([(1, "Hello there"), (2, None)]).withColumns({"token_ids": F.lit("old"), "a.b": F.lit(1), "id": F.lit(2), "n_tokens": F.lit(3)})
+    got = bpe.encode_column(frame, PATH)
+    assert got.columns == ["doc_id", "text", "lang", "source", "n_chars", "a.b", "id", "n_tokens", "token_ids"]
+    assert [r.token_ids for r in got.orderBy("doc_id").collect()] == [library.encode("Hello there", add_special_tokens=False).ids, []]
+    assert bpe.encode_digests(frame, PATH).columns == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
