@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strataflow.llm import bpe, exact_dedup, language_id, mixing, near_copies
-from strataflow.llm.common import stored, table
+from strataflow.llm.common import named, stored, table, unused
 
 #: Documents below this score, or without letters, are in none of the languages known.
 MIN_SCORE = 0.02
@@ -20,8 +20,9 @@ MIN_SCORE = 0.02
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the documents whose language is recognised."""
     profiles = language_id.learn_profiles(language_id.training_rows(docs), "doc_id", "text", "lang")
-    judged = language_id.identify(docs, profiles)
-    return judged.where((F.col("lang_pred") != language_id.UNKNOWN) & (F.col("score") >= MIN_SCORE)).select(*docs.columns)
+    lang, score = unused("lang_pred", "score", taken=docs.columns)
+    judged = language_id.identify(docs, profiles, names=(lang, score))
+    return judged.where((F.col(lang) != language_id.UNKNOWN) & (F.col(score) >= MIN_SCORE)).select(*[named(c) for c in docs.columns])
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

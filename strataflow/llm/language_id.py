@@ -11,7 +11,8 @@ of the id, so reruns agree. Prediction covers every row and whole texts.
 
 Edge cases: a null text, or one without letters, is ``und`` with score 0; ties between languages go to the
 first in code-point order; with no labelled rows every text is ``und``; null ids are not learned from; other
-columns are ignored; an empty table gives an empty result.
+columns are kept by :func:`identify`, whatever their names, but for one named like a result, which the result replaces
+(`names` gives the results other names); an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -25,6 +26,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from .common import named
 
 UNKNOWN = "und"
 #: n-grams kept of a profile, and of a document.
@@ -85,18 +89,18 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def learn_profiles(labelled: DataFrame, id_col: str, text_col: str, lang_col: str, sample_rows: int = SAMPLE_ROWS, size: int = PROFILE_SIZE) -> dict[str, np.ndarray]:
     """{language: n-grams in rank order}, from about sample_rows rows of each language."""
-    rows = labelled.where(F.col(id_col).isNotNull() & F.col(text_col).isNotNull() & F.col(lang_col).isNotNull())
-    totals = rows.groupBy(F.col(lang_col).alias("lang")).agg(F.count(F.lit(1)).alias("n_rows"))
-    draw = F.pmod(F.xxhash64(F.col(id_col).cast("string")), F.lit(1 << 20)) / float(1 << 20)
+    rows = labelled.select(named(id_col).alias("id"), named(text_col).alias("text"), named(lang_col).alias("lang")).dropna()
+    totals = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n_rows"))
+    draw = F.pmod(F.xxhash64(F.col("id").cast("string")), F.lit(1 << 20)) / float(1 << 20)
     kept = {r["lang"]: min(1.0, sample_rows / r["n_rows"]) for r in totals.collect()}  # a row for each language
     if not kept:
         return {}
     wanted = F.lit(False)
     for lang, part in kept.items():
-        wanted = wanted | ((F.col(lang_col) == lang) & (draw < part))
+        wanted = wanted | ((F.col("lang") == lang) & (draw < part))
     counts = (
         rows.where(wanted)
-        .select(F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))
+        .select("text", "lang")
         .mapInArrow(_count, "lang string, gram long, n long")
         .groupBy("lang", "gram")
         .agg(F.sum("n").alias("n"))
@@ -135,12 +139,12 @@ class Profiles:
         return self.langs[best], float(1 - total[best] / (self.size * len(own)))
 
 
-def identify(docs: DataFrame, profiles: dict[str, np.ndarray], text_col: str = "text", keep: list[Column] | None = None) -> DataFrame:
-    """The columns `keep` of docs (all if None), with lang_pred and score."""
+def identify(docs: DataFrame, profiles: dict[str, np.ndarray], text_col: str = "text", keep: list[Column] | None = None, names: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
+    """The columns `keep` of docs (all but those in `names` if None), with the language and the score under `names`."""
     spark: SparkSession = docs.sparkSession
-    columns = keep if keep is not None else [F.col(c) for c in docs.columns]
+    columns = keep if keep is not None else [named(c) for c in docs.columns if c.lower() not in names]
     shape = docs.select(*columns)
-    schema = f"{', '.join(f'`{f.name}` {f.dataType.simpleString()}' for f in shape.schema)}{', ' * bool(shape.columns)}lang_pred string, score double"
+    schema = T.StructType([*shape.schema, T.StructField(names[0], T.StringType()), T.StructField(names[1], T.DoubleType())])
     model = spark.sparkContext.broadcast(profiles)  # PROFILE_SIZE n-grams for each language
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -149,16 +153,16 @@ def identify(docs: DataFrame, profiles: dict[str, np.ndarray], text_col: str = "
             said = [judge.predict(x.as_py()) for x in batch.column(batch.num_columns - 1)]
             own = [batch.column(i) for i in range(batch.num_columns - 1)]
             yield pa.RecordBatch.from_arrays(
-                [*own, pa.array([x for x, _ in said], pa.string()), pa.array([x for _, x in said], pa.float64())], names=[*batch.schema.names[:-1], "lang_pred", "score"]
+                [*own, pa.array([x for x, _ in said], pa.string()), pa.array([x for _, x in said], pa.float64())], names=schema.names
             )
 
-    return docs.select(*columns, F.col(text_col).alias("__text")).mapInArrow(run, schema)
+    return docs.select(*columns, named(text_col)).toDF(*[f"c{i}" for i in range(len(schema.names) - 1)]).mapInArrow(run, schema)
 
 
 def training_rows(docs: DataFrame, id_col: str = "doc_id", lang_col: str = "lang") -> DataFrame:
     """Rows that may be learned from: crc32 of the id as text is no multiple of 5, and the label is known."""
-    return docs.where((F.crc32(F.col(id_col).cast("string").cast("binary")) % 5 != 0) & F.col(lang_col).isNotNull())
+    return docs.where((F.crc32(named(id_col).cast("string").cast("binary")) % 5 != 0) & named(lang_col).isNotNull())
 
 
 def held_out(id_col: str = "doc_id") -> Column:
-    return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % 5 == 0, F.lit(False))
+    return F.coalesce(F.crc32(named(id_col).cast("string").cast("binary")) % 5 == 0, F.lit(False))

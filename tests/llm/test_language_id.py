@@ -42,3 +42,10 @@ def test_out_of_place_distance_by_hand():
     ranks = {"a": {pack("a"): 0, pack(" a"): 1}, "b": {pack("b"): 0, pack("a"): 1}}
     apart = {k: sum(abs(v[g] - i) if g in v else 2 for i, g in enumerate(own)) for k, v in ranks.items()}
     assert lang == min(apart, key=apart.get) and score == pytest.approx(1 - min(apart.values()) / 6)
+
+
+def test_columns_named_like_results_and_dotted(documents, profiles):
+    frame = documents([(1, "der die das und"), (2, None)]).withColumns({"score": F.lit("mine"), "a.b": F.lit(1), "text_": F.lit(2)})
+    kept = L.identify(frame, profiles, names=("said", "sure"))
+    assert kept.columns == [*frame.columns, "said", "sure"] and [(r.score, r.said) for r in kept.orderBy("doc_id").collect()] == [("mine", "de"), ("mine", "und")]
+    assert L.identify(frame, profiles).columns == ["doc_id", "text", "lang", "source", "n_chars", "a.b", "text_", "lang_pred", "score"]
