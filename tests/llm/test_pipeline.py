@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from strataflow.llm import language_id
 
 from .test_exact_dedup import brute
-from .test_simhash import slow_components, slow_print
+from .test_near_copies import brute as near_groups
 
 
 @pytest.fixture(scope="module")
@@ -42,12 +42,10 @@ def test_language_drops_what_has_none(spark, sf, documents):
 
 
 def test_exact_and_near(steps):
+    """Near copies by brute force over all pairs: five-word shingles, similarity of 0.8 or more, the rule for stages."""
     before = texts(steps[1])
     assert sorted(i for i, _ in texts(steps[2])) == sorted(r[0] for r in brute(before) if r[3])
-    prints = [(i, slow_print(t)) for i, t in texts(steps[2])]
-    groups = slow_components([p for _, p in prints])
-    least = {p: min(i for i, q in prints if q in groups[p]) for _, p in prints}
-    assert sorted(i for i, _ in texts(steps[3])) == sorted({least[p] for _, p in prints})
+    assert sorted(i for i, _ in texts(steps[3])) == sorted(min(i for i, _ in g) for g in near_groups(texts(steps[2])))
 
 
 def test_mixing_and_tokens(spark, sf, steps):
@@ -65,3 +63,13 @@ def test_nulls_ties_and_empty(spark, sf, documents):
             frame = stage(spark, frame, sf).persist()
         assert frame.count() in (0, 1, 2, 3)
     assert language_id.UNKNOWN == "und"
+
+
+def test_any_column_names_reach_the_end(spark, sf, documents):
+    rows = [(1, "the of and to in is that for it"), (2, "the of and to in  is that for it"), (None, "der die das und ist in nicht ein zu"), (7, "que la de el en los por una"), (7, "the and of is to for that in it")]
+    names = ("score", "lang_pred", "key", "unit", "copies", "a.b", "__size", "node", "text_")
+    frame = documents(rows).withColumn("lang", F.lit("en")).withColumns({n: F.lit("mine") for n in names})
+    for name, stage in corpus_pipeline.STAGES:
+        before, frame = frame, stage(spark, frame, sf).persist()
+        assert name == "BPE" or (frame.columns == before.columns and all(r[n] == "mine" for r in frame.collect() for n in names))
+    assert frame.count() > 0
