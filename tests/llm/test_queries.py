@@ -1,6 +1,7 @@
 """The registered queries on the smallest tables, against plain versions."""
 
 import collections
+import unicodedata
 import zlib
 
 import duckdb
@@ -9,7 +10,7 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
-from strataflow.llm import exact_dedup, queries
+from strataflow.llm import exact_dedup, language_id, queries
 
 from .test_bpe import digests
 from .test_exact_dedup import brute
@@ -98,6 +99,36 @@ def test_op7(spark, sf, docs):
     assert sum(r.lang_pred == lang[r.doc_id] for r in held) >= 0.9 * len(held)
 
 
+def slow_grams(text):
+    """1- to 3-grams of a text's letter runs, padded by a blank, packed by code points."""
+    runs = "".join(c if unicodedata.category(c)[0] == "L" else " " for c in (text or "").lower()).split()
+    pack = lambda s: sum(ord(c) << 21 * i for i, c in enumerate(s))
+    out = collections.Counter()
+    for w in runs:
+        padded = f" {w} "
+        out.update(pack(c) for c in w)
+        out.update(pack(padded[i : i + 2]) for i in range(len(padded) - 1))
+        out.update(pack(padded[i : i + 3]) for i in range(len(padded) - 2))
+    return out
+
+
+def test_op7_against_a_plain_version(spark, sf, docs):
+    """Profiles and out-of-place distances by counting in plain Python; every language is under the sample bound here."""
+    totals = collections.defaultdict(collections.Counter)
+    for i, t, lang, _ in docs:
+        if zlib.crc32(str(i).encode()) % 5 and lang is not None and t is not None:
+            totals[lang] += slow_grams(t)
+    ranked = lambda c, n: [g for g, _ in sorted(c.items(), key=lambda x: (-x[1], x[0]))[:n]]
+    ranks = {lang: {g: k for k, g in enumerate(ranked(c, language_id.PROFILE_SIZE))} for lang, c in totals.items()}
+    size = max(map(len, ranks.values()))
+    got = {r.doc_id: (r.lang_pred, r.score) for r in Q["op7_language_id"](spark, sf).collect()}
+    for i, t, *_ in docs:
+        own = ranked(slow_grams(t), language_id.DOC_SIZE)
+        apart = {lang: sum(abs(r[g] - k) if g in r else size for k, g in enumerate(own)) for lang, r in sorted(ranks.items())}
+        lang = min(apart, key=apart.get) if own else "und"
+        assert got[i][0] == lang and got[i][1] == pytest.approx(1 - apart[lang] / (size * len(own)) if own else 0.0)
+
+
 def test_op8(spark, sf):
     pages = duckdb.sql(f"SELECT page_id, url, html FROM '{sf}/pages.parquet'").fetchall()
     assert [r[:5] for r in rows(Q["op8_url_filter"](spark, sf))] == [w[:5] for w in sorted(slow_verdicts(pages), key=repr)]
