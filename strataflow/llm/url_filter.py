@@ -1,10 +1,16 @@
 """URL filtering: host and path rules, then link-graph propagation for the urls that no rule covers.
 
-A host graph has an edge from a page's host to every host its HTML links to, weighted by the links, and edges
-both ways between a host and the domain above it. Trust is a personalised PageRank from hosts whose pages a
-rule allows; distrust is the same on the reversed edges from hosts whose pages a rule blocks, so that whoever
-links to blocked hosts is doubted. A host is blocked if its distrust is over its trust by more than rounding noise.
-Ranks are propagated until none changes by more than a small share of itself, so every host that can be reached has one.
+A host graph has an edge from a page's host to every host its HTML links to, weighted by the links, and edges both ways
+between a host and the domain above it. Trust is a personalised PageRank from hosts whose pages a rule allows; distrust
+is the same on the reversed edges from hosts whose pages a rule blocks, so that whoever links to blocked hosts is doubted.
+Both seeds, and so both ranks, have a mass of one. Links carry a host's rank but for a small share, ``FAMILY``, that goes
+over its edges to the domains above and below; what a host has no edges for returns to the seeds. Returned mass only
+scales all ranks of a kind alike, so ranks are propagated without it and divided by their sum at the end. A host is blocked
+if its distrust is over its trust by more than rounding noise. Ranks are propagated until none changes by more than a small
+share of itself, so every host that can be reached has one.
+
+A host with more than ``HUB`` edges has them dealt to slices, and its rank is sent to each slice, so that no task has all
+of a hub's edges.
 
 Edge cases: a null url, or one without ``://``, has empty host and path, no rule, and the method's verdict on
 the empty host, which is ``allow``; so is that of a host that nothing reaches, and a tie. Null HTML has no
@@ -19,11 +25,15 @@ import string
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import named, stored
 
 #: The rules of the registered query, as (action, host and path).
 RULES = (("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/"))
 DAMPING = 0.85
+#: The share of a host's rank that goes to the domains above and below it.
+FAMILY = 0.05
+#: Edges of a host in one slice.
+HUB = 1 << 16
 #: Ranks have settled when the largest change of a round is below this share of the rank.
 TOLERANCE = 1e-10
 #: Scores closer than this share of each other are a tie: well over what rounds and the order of sums leave open.
@@ -67,29 +77,51 @@ def _parents(hosts: DataFrame) -> DataFrame:
 
 
 def host_edges(pages: DataFrame) -> DataFrame:
-    """(src, dst, n): links between different hosts, and both ways between a host and the domain above it."""
+    """(src, dst, family, n): links between different hosts, and both ways between a host and the domain above it."""
     links = (
         pages.select(F.col("host").alias("src"), F.explode(F.regexp_extract_all(F.coalesce("html", F.lit("")), F.lit(_LINK), F.lit(1))).alias("dst"))
         .select("src", _ascii_lower(F.col("dst")).alias("dst"))
         .where("src <> dst AND src <> '' AND dst <> ''")
         .groupBy("src", "dst")
         .agg(F.count(F.lit(1)).alias("n"))
+        .select("src", "dst", F.lit(False).alias("family"), "n")
     )
     hosts = pages.select("host").union(links.select(F.col("dst").alias("host"))).distinct()
-    above = _parents(hosts)
+    above = stored(_parents(hosts), "parents")
     both = above.select(F.col("host").alias("src"), F.col("parent").alias("dst")).union(above.select(F.col("parent").alias("src"), F.col("host").alias("dst")))
-    return links.union(both.withColumn("n", F.lit(1).cast("long"))).groupBy("src", "dst").agg(F.sum("n").alias("n"))
+    return links.union(both.select("src", "dst", F.lit(True).alias("family"), F.lit(1).cast("long").alias("n")))
 
 
-def propagate(edges: DataFrame, seeds: DataFrame, damping: float = DAMPING, rounds: int = ROUNDS, tolerance: float = TOLERANCE) -> DataFrame:
-    """Personalised PageRank in several kinds at once: edges (kind, src, dst, n), seeds (kind, host, seed) -> (kind, host, rank)."""
-    out = edges.groupBy("kind", "src").agg(F.sum("n").alias("all"))
-    weighted = stored(edges.join(out, ["kind", "src"]).select("kind", "src", "dst", (F.col("n") / F.col("all")).alias("w")), "hosts")
+def _weighted(edges: DataFrame, family: float, hub: int) -> tuple[DataFrame, DataFrame | None]:
+    """(kind, src, dst, slice, w) of edges, and (kind, host, slices) of hubs, None if there are none."""
+    out = stored(edges.groupBy("kind", "src", "family").agg(F.sum("n").alias("all"), F.count(F.lit(1)).alias("edges")), "degrees")
+    share = F.when(F.col("family"), family).otherwise(1 - family)
+    joined = edges.join(out, ["kind", "src", "family"]).withColumn("w", share * F.col("n") / F.col("all"))
+    hubs = out.groupBy("kind", F.col("src").alias("host")).agg(F.sum("edges").alias("edges")).where(F.col("edges") > hub)
+    hubs = stored(hubs.select("kind", "host", F.ceil(F.col("edges") / hub).cast("int").alias("slices")), "hubs")
+    if hubs.isEmpty():
+        return stored(joined.select("kind", "src", "dst", F.lit(0).alias("slice"), "w"), "hosts"), None
+    dealt = joined.join(hubs.select("kind", F.col("host").alias("src"), "slices"), ["kind", "src"], "left")
+    part = F.coalesce(F.pmod(F.xxhash64("dst"), F.col("slices")), F.lit(0)).cast("int")
+    return stored(dealt.select("kind", "src", "dst", part.alias("slice"), "w"), "hosts"), hubs
+
+
+def propagate(edges: DataFrame, seeds: DataFrame, damping: float = DAMPING, rounds: int = ROUNDS, tolerance: float = TOLERANCE, family: float = FAMILY, hub: int = HUB) -> DataFrame:
+    """Personalised PageRank in several kinds at once.
+
+    edges (kind, src, dst, family, n), seeds (kind, host, seed) -> (kind, host, rank); the ranks of a kind sum to one.
+    """
+    weighted, hubs = _weighted(edges, family, hub)
     seeds = stored(seeds, "seeds")
     rank = seeds.withColumnRenamed("seed", "rank")
     start = seeds.select("kind", "host", (F.col("seed") * (1 - damping)).alias("part"), F.lit(0.0).alias("old"))
     for i in range(1, rounds + 1):
-        moved = rank.join(weighted, (rank["kind"] == weighted["kind"]) & (rank["host"] == weighted["src"])).select(rank["kind"], F.col("dst").alias("host"), (F.col("rank") * F.col("w") * damping).alias("part"), F.lit(0.0).alias("old"))
+        if hubs is None:
+            sent = rank.withColumn("slice", F.lit(0))
+        else:
+            sent = rank.join(hubs, ["kind", "host"], "left").withColumn("slice", F.explode(F.sequence(F.lit(0), F.coalesce("slices", F.lit(1)) - 1)))
+        over = (sent["kind"] == weighted["kind"]) & (sent["host"] == weighted["src"]) & (sent["slice"] == weighted["slice"])
+        moved = sent.join(weighted, over).select(sent["kind"], F.col("dst").alias("host"), (F.col("rank") * F.col("w") * damping).alias("part"), F.lit(0.0).alias("old"))
         if i % STRIDE:
             rank = moved.union(start).groupBy("kind", "host").agg(F.sum("part").alias("rank"))
             continue
@@ -97,24 +129,25 @@ def propagate(edges: DataFrame, seeds: DataFrame, damping: float = DAMPING, roun
         both = stored(moved.union(start).union(held).groupBy("kind", "host").agg(F.sum("part").alias("rank"), F.sum("old").alias("old")), "ranks")
         rank = both.select("kind", "host", "rank")
         if both.where(F.abs(F.col("rank") - F.col("old")) > tolerance * F.col("rank")).isEmpty():
-            return rank
+            mass = rank.groupBy("kind").agg(F.sum("rank").alias("mass"))  # a row for each kind
+            return rank.join(F.broadcast(mass), "kind").select("kind", "host", (F.col("rank") / F.col("mass")).alias("rank"))
     raise RuntimeError(f"ranks did not settle in {rounds} rounds")
 
 
-def judge_urls(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", rules: tuple[tuple[str, str], ...] = RULES) -> DataFrame:
+def judge_urls(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", rules: tuple[tuple[str, str], ...] = RULES, family: float = FAMILY, hub: int = HUB) -> DataFrame:
     """One row per row of pages: id, host, path, rule, verdict, trust, distrust."""
-    url = F.col(url_col)
-    read = pages.select(F.col(id_col).alias("id"), host_of(url).alias("host"), path_of(url).alias("path"), F.col(html_col).alias("html"))
+    url = named(url_col)
+    read = pages.select(named(id_col).alias("id"), host_of(url).alias("host"), path_of(url).alias("path"), named(html_col).alias("html"))
     action = F.coalesce(*[F.when(F.col("rule") == rule, F.lit(said)) for said, rule in rules]) if rules else F.lit(None).cast("string")
     ruled = read.withColumn("rule", rule_of(F.col("host"), F.col("path"), rules)).withColumn("action", action)
     tally = ruled.groupBy("host").agg(F.count_if(F.col("action") == "allow").alias("good"), F.count_if(F.col("action") == "block").alias("bad"), F.count(F.lit(1)).alias("n"))
     shares = F.array(F.struct(F.lit("trust").alias("kind"), (F.col("good") / F.col("n")).alias("seed")), F.struct(F.lit("distrust").alias("kind"), (F.col("bad") / F.col("n")).alias("seed")))
     seeds = tally.where("host <> ''").select("host", F.explode(shares).alias("s")).select("s.kind", "host", "s.seed").where("seed > 0")
     edges = stored(host_edges(read.select("host", "html")), "edges")
-    back = edges.select(F.lit("distrust").alias("kind"), F.col("dst").alias("src"), F.col("src").alias("dst"), "n")
-    ranks = propagate(edges.select(F.lit("trust").alias("kind"), "src", "dst", "n").union(back), seeds)
+    back = edges.select(F.lit("distrust").alias("kind"), F.col("dst").alias("src"), F.col("src").alias("dst"), "family", "n")
+    ranks = propagate(edges.select(F.lit("trust").alias("kind"), "src", "dst", "family", "n").union(back), seeds, family=family, hub=hub)
     score = lambda kind: F.coalesce(F.sum(F.when(F.col("kind") == kind, F.col("rank"))), F.lit(0.0)).alias(kind)
-    hosts = ranks.groupBy("host").agg(score("trust"), score("distrust"))
+    hosts = stored(ranks.groupBy("host").agg(score("trust"), score("distrust")), "scores")  # so that a hub host's pages can be split
     own = F.when(F.coalesce("distrust", F.lit(0.0)) > F.coalesce("trust", F.lit(0.0)) * (1 + TIE), "block").otherwise("allow")
     return (
         ruled.drop("html")

@@ -20,16 +20,23 @@ def slow_rule(host, path):
     return max(fits, key=len, default=None)
 
 
-def slow_ranks(edges, seeds, rounds=U.ROUNDS, damping=U.DAMPING):
-    out = {}
-    for (s, _), n in edges.items():
-        out[s] = out.get(s, 0) + n
+def slow_ranks(links, family, seeds, rounds=1000, damping=U.DAMPING, share=U.FAMILY):
+    """By the definition: seeds of mass one, dangling mass returned to them in each round."""
+    total = sum(seeds.values())
+    seeds = {h: v / total for h, v in seeds.items()}
     rank = dict(seeds)
     for _ in range(rounds):
-        now = {h: v * (1 - damping) for h, v in seeds.items()}
-        for (s, d), n in edges.items():
-            if s in rank:
-                now[d] = now.get(d, 0) + rank[s] * n / out[s] * damping
+        now, kept = {}, 0.0
+        for edges, part in ((links, 1 - share), (family, share)):
+            out = {}
+            for (s, _), n in edges.items():
+                out[s] = out.get(s, 0) + n
+            kept += sum(v * part for h, v in rank.items() if h in out)
+            for (s, d), n in edges.items():
+                if s in rank:
+                    now[d] = now.get(d, 0) + rank[s] * part * n / out[s] * damping
+        for h, v in seeds.items():
+            now[h] = now.get(h, 0) + v * ((1 - damping) + damping * (1 - kept))
         rank = now
     return rank
 
@@ -54,16 +61,14 @@ def slow_verdicts(rows):
         while h.count(".") >= 2:
             above.add((h, h.split(".", 1)[1]))
             h = h.split(".", 1)[1]
-    for a, b in above:
-        edges[a, b] = edges.get((a, b), 0) + 1
-        edges[b, a] = edges.get((b, a), 0) + 1
-    trust = slow_ranks(edges, {h: g / n for h, (g, _, n) in tally.items() if h and g})
-    doubt = slow_ranks({(b, a): n for (a, b), n in edges.items()}, {h: d / n for h, (_, d, n) in tally.items() if h and d})
+    family = {pair: 1 for a, b in above for pair in ((a, b), (b, a))}
+    trust = slow_ranks(edges, family, {h: g / n for h, (g, _, n) in tally.items() if h and g})
+    doubt = slow_ranks({(b, a): n for (a, b), n in edges.items()}, family, {h: d / n for h, (_, d, n) in tally.items() if h and d})
     out = []
     for i, url, _ in rows:
         host, path = slow_split(url)
         rule = slow_rule(host, path)
-        t, d = round(trust.get(host, 0), 9), round(doubt.get(host, 0), 9)
+        t, d = (round(x.get(host, 0), 12) for x in (trust, doubt))
         out.append((i, host, path, rule, dict((r, a) for a, r in U.RULES)[rule] if rule else "block" if d > t else "allow", t, d))
     return out
 
@@ -101,3 +106,21 @@ def test_long_chains_and_hubs_reach_a_verdict(spark):
     said = {r.page_id: r for r in U.judge_urls(pages).collect()}
     assert all(said[i].verdict == "block" and said[i].distrust > 0 for i in (*range(30), 100, 101, 102, 103))
     assert 0 < said[103].distrust < 5e-10 and said[104].verdict == "allow" and said[104].distrust == 0
+
+
+def test_slices_of_hubs_change_nothing_and_ranks_have_mass_one(spark):
+    frame = spark.createDataFrame(pages_of(150), "page_id long, url string, html string")
+    plain, sliced = (sorted([tuple(r) for r in U.judge_urls(frame, hub=h).collect()], key=repr) for h in (U.HUB, 2))
+    assert [r[:5] for r in plain] == [r[:5] for r in sliced]
+    assert [x for r in plain for x in r[5:]] == pytest.approx([x for r in sliced for x in r[5:]], rel=1e-6, abs=1e-15)
+    edges = spark.createDataFrame([("t", "a", "b", False, 3), ("t", "b", "c", False, 1), ("t", "b", "a", True, 1)], "kind string, src string, dst string, family boolean, n long")
+    seeds = spark.createDataFrame([("t", "a", 5.0), ("t", "z", 2.5)], "kind string, host string, seed double")
+    ranks = {r.host: r["rank"] for r in U.propagate(edges, seeds).collect()}
+    assert sum(ranks.values()) == pytest.approx(1) and ranks == pytest.approx(slow_ranks({("a", "b"): 3, ("b", "c"): 1}, {("b", "a"): 1}, {"a": 5.0, "z": 2.5}))
+
+
+def test_links_outweigh_the_domain_above(spark):
+    """Two hosts under one trusted domain; the one that links to a blocked host is blocked all the same."""
+    pages = [(1, "http://good.org/fr/x", ""), (2, "http://bad.net/x", ""), (3, "http://a.good.org/x", '<a href="http://bad.net/">y</a>'), (4, "http://b.good.org/x", "")]
+    said = {r.page_id: r.verdict for r in U.judge_urls(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()}
+    assert said == {1: "allow", 2: "block", 3: "block", 4: "allow"}
