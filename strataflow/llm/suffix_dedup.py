@@ -5,13 +5,17 @@ leftmost of its GRAM-byte strings with the smallest hash, and runs of windows wi
 most 2 * MATCH bytes. Equal windows have equal anchors at equal places, so only pieces whose anchor occurs
 twice can hold a repeated window, and they are dealt to shards by their anchor: a small row for each piece
 is shuffled, and bytes only for pieces that a shard must look at. Pieces that occur twice as they are repeat
-as a whole; each is kept once.
+as a whole; each is kept once. Anchors only bring pieces together, so that colliding ones cost time; what counts as equal
+is told by bytes within a shard, and between shards and rows by 128 bits of BLAKE2, which no known texts share.
 
 Each shard builds a suffix array over its pieces by Larsson-Sadakane refinement in numpy (ranks of the first
-eight bytes, doubled on the groups that are still unsorted until MATCH bytes are ranked) and common prefixes of
-neighbours in text order by Kasai's carry; a window whose neighbour shares MATCH bytes repeats. An anchor with
-more than ``shard_pieces`` distinct pieces is spread over several shards; these hand on their windows' hashes
-in sorted runs, which meet by hash range and are merged by binary search. Nothing is capped or dropped.
+eight bytes, doubled on the groups that are still unsorted) and common prefixes of neighbours in text order by
+Kasai's carry. The last round sorts by MATCH bytes but leaves the ranks at those of the round before, so it is the
+common prefix that decides: a window repeats if its neighbour shares MATCH bytes. An anchor with more than
+``shard_pieces`` distinct pieces is spread over several shards; these hand on the digests of their windows in sorted
+runs, which meet by digest and are merged by binary search. Nothing is capped or dropped.
+
+A document's cuts and spans are lists in its row, of a few dozen bytes for each piece: they grow with the text beside them.
 
 Edge cases: a null text counts as empty; texts under MATCH bytes lose nothing; matches may overlap, touch or
 lie in one document, and never cross documents; rows that repeat an id and text are copies of each other; a
@@ -25,15 +29,16 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import blank_if_null, stored
+from .common import blank_if_null, named, stored
 
 MATCH = 200
 GRAM = 32
+#: Bytes of the digests by which pieces and windows of different tasks are told apart.
+DIGEST = 16
 SHARD_PIECES = 8192
 CHUNK_BYTES = 1 << 20
 BLOCK = 1 << 20
@@ -41,6 +46,16 @@ _RANDOM = np.random.default_rng(20240229).integers(1, 2**63, 256, dtype=np.uint6
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
+def _digest(data: bytes) -> bytes:
+    return hashlib.blake2b(data, digest_size=DIGEST).digest()
+
+
+def _binary(joined: bytes, n: int) -> pa.Array:
+    """n digests in a row as an array of binaries."""
+    offsets = np.arange(n + 1, dtype=np.int32) * DIGEST
+    return pa.Array.from_buffers(pa.binary(), n, [None, pa.py_buffer(offsets), pa.py_buffer(joined)])
+
+
 def _gram_hashes(data: np.ndarray, gram: int) -> np.ndarray:
     """Hashes of all strings of `gram` bytes (a power of two), by doubling."""
     h, width = _RANDOM[data], 1
@@ -82,7 +97,8 @@ def suffix_ranks(data: np.ndarray, depth: int, asked: np.ndarray | None = None)
 
     Larsson-Sadakane: a suffix's rank is its group's first place in the order. A round at width h sorts the
     members of groups that are still shared by the rank of the suffix h further on. With `asked`, a flag for each
-    suffix, the last round leaves the other suffixes out: their ranks, and places among equals, stay rough.
+    suffix, the last round puts only those in order, and all ranks stay those of the round before: groups that may be
+    equal to `depth`, for common prefixes to tell.
     """
     n = len(data)
     padded = np.r_[data, np.zeros(depth + 8, np.uint8)]
@@ -114,10 +130,11 @@ def suffix_ranks(data: np.ndarray, depth: int, asked: np.ndarray | None = None)
         both = rank[members] * np.int64(len(rank) + 1) + rank[members + ahead]
         sort = np.argsort(both)
         order[places] = members[sort]
-        both = both[sort]
-        fresh = np.r_[True, both[1:] != both[:-1]]
-        regroup(places, fresh)
         width += ahead
+        if asked is None or width < depth:
+            both = both[sort]
+            fresh = np.r_[True, both[1:] != both[:-1]]
+            regroup(places, fresh)
     return order, rank[:n]
 
 
@@ -157,7 +174,7 @@ def repeated_windows(chunks: list[bytes], match: int = MATCH) -> list[np.ndarray
         is_window[end - size : end - match + 1] = True
     order, rank = suffix_ranks(np.frombuffer(data, np.uint8), match, is_window)
     windows = order[is_window[order]]  # bytes of a piece's tail that begin no window of it don't count
-    same = np.flatnonzero(rank[windows[1:]] == rank[windows[:-1]])
+    same = np.flatnonzero(rank[windows[1:]] == rank[windows[:-1]])  # candidates: the bytes they share beyond the last ranks decide
     told = np.zeros(len(data), bool)
     if len(same):
         wanted = np.sort(windows[same + 1])
@@ -185,11 +202,10 @@ def _anchors(batches: Iterator[pa.RecordBatch], match: int, gram: int) -> Iterat
             start, count, anchor = pieces(data, match, gram)
             if not len(start):
                 continue
-            digest = xxhash.xxh3_64_intdigest
-            prints = np.array([digest(data[a:b]) for a, b in zip(start.tolist(), (start + count + (match - 1)).tolist(), strict=True)], dtype=np.uint64)
+            prints = b"".join([_digest(data[a:b]) for a, b in zip(start.tolist(), (start + count + (match - 1)).tolist(), strict=True)])
             n = len(start)
             yield pa.RecordBatch.from_arrays(
-                [pa.array([doc] * n, pa.int64()), pa.array(np.full(n, tag, np.int32)), pa.array(start), pa.array(count.astype(np.int32)), pa.array(anchor.view(np.int64)), pa.array(prints.view(np.int64))],
+                [pa.array([doc] * n, pa.int64()), pa.array(np.full(n, tag, np.int64)), pa.array(start), pa.array(count.astype(np.int32)), pa.array(anchor.view(np.int64)), _binary(prints, n)],
                 names=["id", "tag", "start", "windows", "anchor", "piece"],
             )
 
@@ -202,23 +218,21 @@ def _anchor_hashes(batches: Iterator[pa.RecordBatch], match: int, gram: int) ->
         yield pa.RecordBatch.from_arrays([pa.array(hashes.view(np.int64))], names=["anchor"])
 
 
-_SHARD = [("anchor", pa.int64()), ("piece", pa.int64()), ("begin", pa.int32()), ("stop", pa.int32()), ("shard", pa.int32()), ("key", pa.int64())]
+_SHARD = [("anchor", pa.int64()), ("piece", pa.binary()), ("begin", pa.int32()), ("stop", pa.int32()), ("shard", pa.int32()), ("key", pa.binary())]
 
 
 def _shards(batches: Iterator[pa.RecordBatch], match: int, chunk_bytes: int) -> Iterator[pa.RecordBatch]:
     """Rows (anchor, shard, shards, piece, raw) sorted by anchor and shard: marks, and keys of shared anchors' windows."""
-    held: list[tuple[int, int, int, int, bytes]] = []
+    held: list[tuple[int, int, int, bytes, bytes]] = []
     size = 0
 
-    def solve(rows: list[tuple[int, int, int, int, bytes]]) -> pa.RecordBatch:
+    def solve(rows: list[tuple[int, int, int, bytes, bytes]]) -> pa.RecordBatch:
         unique = list({(a, p): r for r in rows for a, p in [(r[0], r[3])]}.values())
         out: list[tuple] = []
         for (anchor, shard, shards, piece, raw), flags in zip(unique, repeated_windows([r[4] for r in unique], match), strict=True):
             out += [(anchor, piece, a, b, shard, None) for a, b in _ranges(flags)]
             if shards > 1:
-                digest = xxhash.xxh3_64_intdigest
-                keys = np.array([digest(raw[i : i + match]) for i in range(len(flags))], np.uint64).view(np.int64).tolist()
-                out += [(anchor, piece, i, i + 1, shard, k) for i, k in enumerate(keys)]
+                out += [(anchor, piece, i, i + 1, shard, _digest(raw[i : i + match])) for i in range(len(flags))]
         return _batch(out, _SHARD)
 
     for batch in batches:
@@ -243,7 +257,7 @@ def _merge_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cut = np.flatnonzero(np.r_[True, (np.diff(anchor) != 0) | (np.diff(part) != 0)])
         for a, b in zip(cut.tolist(), [*cut[1:].tolist(), len(key)], strict=True):
             runs = np.flatnonzero(np.r_[True, np.diff(shard[a:b]) != 0]) + a
-            merged, owner = np.zeros(0, np.int64), np.zeros(0, np.int64)
+            merged, owner = np.zeros(0, key.dtype), np.zeros(0, np.int64)
             for c, d in zip(runs.tolist(), [*runs[1:].tolist(), b], strict=True):
                 own, at = np.unique(key[c:d], return_index=True)
                 place = np.searchsorted(merged, own)
@@ -254,11 +268,13 @@ def _merge_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 owner = np.insert(owner, place[~found], (at + c)[~found])
             hot = np.unique(key[a:b][hit[a:b]])
             hit[a:b] |= np.isin(key[a:b], hot)
-        rows = [(x, p, s, s + 1) for x, p, s in zip(anchor[hit].tolist(), piece[hit].tolist(), begin[hit].tolist(), strict=True)]
-        yield _batch(rows, [("anchor", pa.int64()), ("piece", pa.int64()), ("begin", pa.int32()), ("stop", pa.int32())])
+        whole = (p.ljust(DIGEST, b"\0") for p in piece[hit].tolist())  # numpy leaves out trailing zeros
+        rows = [(x, p, s, s + 1) for x, p, s in zip(anchor[hit].tolist(), whole, begin[hit].tolist(), strict=True)]
+        yield _batch(rows, [("anchor", pa.int64()), ("piece", pa.binary()), ("begin", pa.int32()), ("stop", pa.int32())])
 
     for batch in batches:
         now = [batch.column(f).to_numpy(zero_copy_only=False) for f in fields]
+        now = [x.astype(f"S{DIGEST}") if f in ("key", "piece") else x for x, f in zip(now, fields, strict=True)]
         held = now if held is None else [np.concatenate(x) for x in zip(held, now, strict=True)]
         last = np.flatnonzero((np.diff(held[0]) != 0) | (np.diff(held[1]) != 0)) if len(held[0]) > 1 << 17 else []
         if len(last):
@@ -288,36 +304,37 @@ def merge_spans(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
 
 def repeated_spans(docs: DataFrame, match: int = MATCH, gram: int = GRAM, shard_pieces: int = SHARD_PIECES, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
     """docs (id, tag, raw) -> (id, tag, spans): byte ranges, not yet merged, of each document that has any."""
-    schema = "id long, tag int, start long, windows int, anchor long, piece long"
+    schema = "id long, tag long, start long, windows int, anchor long, piece binary"
     found = docs.mapInArrow(lambda b: _anchors(b, match, gram), schema)
     counted = docs.select("raw").mapInArrow(lambda b: _anchor_hashes(b, match, gram), "anchor long")
     twice = stored(counted.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("anchor"), "anchors")
     live = stored(found.join(twice, "anchor", "left_semi"), "pieces")
     where = F.struct("id", "tag", "start", "windows")
     kinds = stored(live.groupBy("anchor", "piece").agg(F.count(F.lit(1)).alias("n"), F.min(where).alias("at")), "kinds")
-    several = kinds.groupBy("anchor").agg(F.count(F.lit(1)).alias("kinds"), F.min("n").alias("fewest")).where("kinds > 1 AND fewest = 1")
+    # tables of anchors and ranges are stored, so that the joins with them have exchanges of their own, whose large partitions can be split
+    several = stored(kinds.groupBy("anchor").agg(F.count(F.lit(1)).alias("kinds"), F.min("n").alias("fewest")).where("kinds > 1 AND fewest = 1"), "several")
     shards = F.ceil(F.col("kinds") / shard_pieces).cast("int")
-    cut = F.struct("anchor", F.pmod("piece", "shards").cast("int").alias("shard"), "shards", "piece", F.col("at.start").alias("start"), F.col("at.windows").alias("windows"))
+    cut = F.struct("anchor", F.pmod(F.xxhash64("piece"), F.col("shards")).cast("int").alias("shard"), "shards", "piece", F.col("at.start").alias("start"), F.col("at.windows").alias("windows"))
     wanted = kinds.join(several.withColumn("shards", shards), "anchor").groupBy(F.col("at.id").alias("i"), F.col("at.tag").alias("t")).agg(F.collect_list(cut).alias("cuts"))
-    packed = docs.mapInArrow(_compress, "id long, tag int, packed binary")
+    packed = docs.mapInArrow(_compress, "id long, tag long, packed binary")
 
     def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tool = zstandard.ZstdDecompressor()
-        names = [("anchor", pa.int64()), ("shard", pa.int32()), ("shards", pa.int32()), ("piece", pa.int64()), ("raw", pa.binary())]
+        names = [("anchor", pa.int64()), ("shard", pa.int32()), ("shards", pa.int32()), ("piece", pa.binary()), ("raw", pa.binary())]
         for batch in batches:
             for z, cuts in zip(batch.column("packed"), batch.column("cuts").to_pylist(), strict=True):
                 data = tool.decompress(z.as_py())
                 yield _batch([(c["anchor"], c["shard"], c["shards"], c["piece"], data[c["start"] : c["start"] + c["windows"] + match - 1]) for c in cuts], names)
 
-    bytes_of = packed.join(wanted, F.col("id").eqNullSafe(F.col("i")) & (F.col("tag") == F.col("t"))).select("packed", "cuts").mapInArrow(slices, "anchor long, shard int, shards int, piece long, raw binary")
-    ranked = bytes_of.repartition("anchor", "shard").sortWithinPartitions("anchor", "shard").mapInArrow(lambda b: _shards(b, match, chunk_bytes), "anchor long, piece long, begin int, stop int, shard int, key long")
+    bytes_of = packed.join(wanted, F.col("id").eqNullSafe(F.col("i")) & (F.col("tag") == F.col("t"))).select("packed", "cuts").mapInArrow(slices, "anchor long, shard int, shards int, piece binary, raw binary")
+    ranked = bytes_of.repartition("anchor", "shard").sortWithinPartitions("anchor", "shard").mapInArrow(lambda b: _shards(b, match, chunk_bytes), "anchor long, piece binary, begin int, stop int, shard int, key binary")
     ranked = stored(ranked, "shards")
-    runs = ranked.where("key IS NOT NULL").withColumn("part", F.pmod("key", F.lit(64)).cast("int"))
-    merged = runs.repartition("anchor", "part").sortWithinPartitions("anchor", "part", "shard", "key").select("anchor", "part", "shard", "key", "piece", "begin").mapInArrow(_merge_runs, "anchor long, piece long, begin int, stop int")
+    runs = ranked.where("key IS NOT NULL").withColumn("part", F.pmod(F.xxhash64("key"), F.lit(64)).cast("int"))
+    merged = runs.repartition("anchor", "part").sortWithinPartitions("anchor", "part", "shard", "key").select("anchor", "part", "shard", "key", "piece", "begin").mapInArrow(_merge_runs, "anchor long, piece binary, begin int, stop int")
     whole = kinds.where("n > 1").select("anchor", "piece", F.lit(0).alias("begin"), F.col("at.windows").alias("stop"))
     marks = whole.union(ranked.where("key IS NULL").select("anchor", "piece", "begin", "stop")).union(merged)
     ranges = marks.groupBy("anchor", "piece").agg(F.collect_set(F.struct("begin", "stop")).alias("ranges"))  # at most one for each window
-    ranges = stored(ranges, "ranges")  # so that the join below has exchanges of its own, whose large partitions can be split
+    ranges = stored(ranges, "ranges")
     spots = live.join(ranges, ["anchor", "piece"]).select("id", "tag", F.explode("ranges").alias("r"), "start")
     return spots.groupBy("id", "tag").agg(F.collect_list(F.struct((F.col("start") + F.col("r.begin")).alias("a"), (F.col("start") + F.col("r.stop") + (match - 1)).alias("b"))).alias("spans"))
 
@@ -325,9 +342,9 @@ def repeated_spans(docs: DataFrame, match: int = MATCH, gram: int = GRAM, shard_
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", match: int = MATCH, gram: int = GRAM, shard_pieces: int = SHARD_PIECES, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
     """One row per row of docs: id, n_bytes, n_removed, n_spans, kept_sha256, spans (array of byte ranges)."""
     raw = blank_if_null(text_col).cast("binary")
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.hash(blank_if_null(text_col)).alias("tag"), raw.alias("raw"))
+    rows = docs.select(named(id_col).cast("long").alias("id"), F.xxhash64(blank_if_null(text_col)).alias("tag"), raw.alias("raw"))
     spans = repeated_spans(rows, match, gram, shard_pieces, chunk_bytes).select(F.col("id").alias("i"), F.col("tag").alias("t"), "spans")
-    joined = rows.mapInArrow(_compress, "id long, tag int, packed binary").join(spans, F.col("id").eqNullSafe(F.col("i")) & (F.col("tag") == F.col("t")), "left")
+    joined = rows.mapInArrow(_compress, "id long, tag long, packed binary").join(spans, F.col("id").eqNullSafe(F.col("i")) & (F.col("tag") == F.col("t")), "left")
     names = [("id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept_sha256", pa.string()), ("spans", pa.list_(pa.list_(pa.int64())))]
 
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

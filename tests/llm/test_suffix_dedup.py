@@ -73,3 +73,36 @@ def test_long_texts_go_in_blocks():
 
 def test_empty_table(documents):
     assert S.remove_repeats(documents([])).count() == 0
+
+
+def test_colliding_anchors_change_nothing(documents, monkeypatch):
+    """All pieces of all texts under two anchors: only bytes and digests tell them apart."""
+    import pyarrow as pa
+
+    def coarse(original):
+        def run(batches, *a):
+            for b in original(batches, *a):
+                at = b.schema.names.index("anchor")
+                columns = [pa.array(c.to_numpy() & 1) if i == at else c for i, c in enumerate(b.columns)]
+                yield pa.RecordBatch.from_arrays(columns, names=b.schema.names)
+
+        return run
+
+    for name in ("_anchors", "_anchor_hashes"):
+        monkeypatch.setattr(S, name, coarse(getattr(S, name)))
+    for seed, pieces in ((5, 8192), (6, 7)):
+        rows = make_rows(seed, n=25, match=24)
+        assert got(documents(rows), match=24, gram=8, shard_pieces=pieces, chunk_bytes=2000) == slow(rows, 24)
+
+
+def test_common_prefixes_decide(monkeypatch):
+    """Windows that agree in 128 to 199 bytes reach Kasai and are refused by it; those of 200 pass."""
+    asked = []
+    real = S.common_prefixes
+    monkeypatch.setattr(S, "common_prefixes", lambda *a: asked.append(real(*a)) or asked[-1])
+    base = bytes(np.random.default_rng(3).integers(97, 123, 400, dtype=np.uint8))
+    chunks = [base[:210], base[:199] + b"!" * 60, base[:150] + b"?" * 60, base[100:400], base[:205] + b"#" * 30]
+    flags = S.repeated_windows(chunks)
+    assert (asked[0] < 200).any() and (asked[0] == 200).any()
+    seen = Counter(c[i : i + 200] for c in chunks for i in range(len(c) - 199))
+    assert [f.tolist() for f in flags] == [[seen[c[i : i + 200]] > 1 for i in range(len(c) - 199)] for c in chunks]
