@@ -1,15 +1,19 @@
 """Document fingerprints by winnowing.
 
 A text's words (at most CUT characters each, so that text without white space is cut too) are hashed; a
-cyclic-polynomial hash rolls over every k words, and of every w neighbouring k-gram hashes the smallest is
-chosen, the rightmost on a tie. Chosen hashes keep their positions. Any run of ``w + k - 1`` words that two
-texts share leaves a common fingerprint entry, and none shorter than k words can.
+cyclic-polynomial hash rolls over them, each k-gram's from the one before by the word that enters and the word that
+leaves, and of every w neighbouring k-gram hashes the smallest is chosen, the rightmost on a tie. Chosen hashes keep
+their positions. Any run of ``w + k - 1`` words that two texts share leaves a common fingerprint entry, and none
+shorter than k words can. The hash starts anew every STRETCH grams, with the same values, so that a long text's array
+isn't copied for each of its words.
 
 A fingerprint is spelled as ``hash:position`` entries in text order; the likeness of two is the Jaccard
 similarity of their sets of hashes.
 
-DataFrame functions only. A document and the next one in descending id order meet in a window over ranges of
-ids, whose bounds come from approximate percentiles; each range also gets the first row of the range after it.
+DataFrame functions only. A document and the next one in descending id order meet in a window over ranges of the
+order (id, then the beginning of the text, so that a null or often repeated id has many ranges too). The ranges are those of
+Spark's own range partitioner over these keys; their bounds are a table that stays on the executors, searched by halves,
+and each range also gets the first row of the range after it.
 
 Edge cases: a null text counts as empty; a text without words has an empty fingerprint, alike to another empty
 one (1) and to nothing else (0); a text with fewer than k words has one entry; null ids come last; rows that
@@ -24,22 +28,21 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import blank_if_null
+from .common import blank_if_null, let, named, stored
 
 GRAM = 4
 WINDOW = 10
 CUT = 24
-#: Bytes of text that a range of ids should hold, and the most ranges there are.
+#: Bytes of text that a range should hold where there are few, and once every core has several: rows are sorted in a range, and may spill.
 RANGE_BYTES = 8 << 20
-MOST_RANGES = 10_000
+LARGE_BYTES = 1 << 30
+RANGES_PER_CORE = 64
+STRETCH = 64
+#: Characters of the text in a range's bound.
+HEAD = 64
 _LOW = (1 << 32) - 1
 
 
-def _let(value: Column, use: Callable[[Column], Column]) -> Column:
-    """use(value), with value computed once however often it is used."""
-    return F.get(F.transform(F.array(value), use), F.lit(0))
-
-
 def _turn(c: Column, by: int) -> Column:
     return F.shiftleft(c, by).bitwiseOR(F.shiftrightunsigned(c, 64 - by)) if by else c
 
@@ -50,21 +53,32 @@ def winnow(text: Column, gram: int = GRAM, window: int = WINDOW) -> Column:
     hashed = F.transform(words, lambda w: F.xxhash64(w))
 
     def rolled(h: Column) -> Column:
-        def at(i: Column) -> Column:
-            parts = [_turn(F.coalesce(F.get(h, i + j), F.lit(0)), gram - 1 - j) for j in range(gram)]
-            mixed = parts[0]
-            for p in parts[1:]:
-                mixed = mixed.bitwiseXOR(p)
-            return F.shiftleft(F.shiftrightunsigned(F.xxhash64(mixed), 33), 32).bitwiseOR(F.lit(_LOW) - i)
+        word = lambda i: F.coalesce(F.get(h, i), F.lit(0))
+        said = lambda g, i: F.shiftleft(F.shiftrightunsigned(F.xxhash64(g), 33), 32).bitwiseOR(F.lit(_LOW) - i)
+        last = F.greatest(F.size(h) - gram, F.lit(0))
+
+        def stretch(s: Column) -> Column:
+            first = word(s)
+            for j in range(1, gram):
+                first = _turn(first, 1).bitwiseXOR(word(s + j))
+
+            def step(acc: Column, i: Column) -> Column:
+                g = _turn(acc["g"], 1).bitwiseXOR(_turn(word(i - 1), gram)).bitwiseXOR(word(i + (gram - 1)))
+                return let(g, lambda x: F.struct(x.alias("g"), F.concat(acc["out"], F.array(said(x, i))).alias("out")))
 
-        return F.transform(F.sequence(F.lit(0), F.greatest(F.size(h) - gram, F.lit(0))), at)
+            ends = F.least(s + (STRETCH - 1), last)
+            begin = let(first, lambda g: F.struct(g.alias("g"), F.array(said(g, s)).alias("out")))
+            rest = F.when(ends > s, F.sequence(s + 1, ends)).otherwise(F.array().cast("array<int>"))
+            return F.aggregate(rest, begin, step, lambda acc: acc["out"])
+
+        return F.flatten(F.transform(F.sequence(F.lit(0), last, F.lit(STRETCH)), stretch))
 
     def chosen(g: Column) -> Column:
         starts = F.sequence(F.lit(1), F.greatest(F.size(g) - window + 1, F.lit(1)))
         return F.array_distinct(F.transform(starts, lambda i: F.array_min(F.slice(g, i, window))))
 
     none = F.array().cast("array<bigint>")
-    return _let(hashed, lambda h: F.when(F.size(h) > 0, _let(rolled(h), chosen)).otherwise(none))
+    return let(hashed, lambda h: F.when(F.size(h) > 0, let(rolled(h), chosen)).otherwise(none))
 
 
 def hashes(entries: Column) -> Column:
@@ -84,29 +98,30 @@ def likeness(a: Column, b: Column) -> Column:
 
 def fingerprint_table(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", gram: int = GRAM, window: int = WINDOW) -> DataFrame:
     """(id, fingerprint, n_words of entries): the plain fingerprint of each row."""
-    rows = docs.select(F.col(id_col).alias("id"), winnow(blank_if_null(text_col), gram, window).alias("entries"))
+    rows = docs.select(named(id_col).alias("id"), winnow(blank_if_null(text_col), gram, window).alias("entries"))
     return rows.select(F.col("id").alias(id_col), spelled(F.col("entries")).alias("fingerprint"), F.size("entries").cast("long").alias("n_entries"))
 
 
-def _ranges(rows: DataFrame) -> list[int]:
-    """Upper bounds, ascending, of all ranges of ids but the last."""
+def _order() -> Column:
+    """A row's key in the order of documents: ids descending, null last, then the beginning of the text."""
+    return F.struct(F.col("id").isNull().alias("z"), F.bitwise_not("id").alias("i"), F.left("text", F.lit(HEAD)).alias("t"))
+
+
+def _bounds(rows: DataFrame) -> tuple[DataFrame, int]:
+    """(one row with the array `bounds` of the last keys, ascending, of all ranges but the last; number of ranges)."""
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    n = int(min(MOST_RANGES, max(1, size // RANGE_BYTES)))
-    if n == 1:
-        return []
-    return sorted(set(rows.agg(F.percentile_approx("id", [i / n for i in range(1, n)], 10 * n)).first()[0] or []))
+    few = min(size // RANGE_BYTES, RANGES_PER_CORE * rows.sparkSession.sparkContext.defaultParallelism)
+    n = int(max(1, few, size // LARGE_BYTES))
+    keys = rows.select(_order().alias("key")).repartitionByRange(n, "key")
+    last = keys.groupBy(F.spark_partition_id().alias("range")).agg(F.max("key").alias("key"))
+    gathered = last.agg(F.sort_array(F.collect_list("key")).alias("every"))  # a key for each range
+    return stored(gathered.select(F.slice("every", 1, F.greatest(F.size("every") - 1, F.lit(0))).alias("bounds")), "bounds"), n
 
 
-def _range_of(c: Column, bounds: list[int]) -> Column:
-    """How many bounds lie below an id, found in two steps of about the square root of their number."""
-    if not bounds:
-        return F.lit(0)
-    step = max(1, int(len(bounds) ** 0.5))
-    blocks = [bounds[i : i + step] for i in range(0, len(bounds), step)]
-    below = lambda array: F.size(F.filter(array, lambda b: b < c))
-    coarse = below(F.array(*[F.lit(b[-1]) for b in blocks]))
-    fine = F.array(*[F.array(*[F.lit(x) for x in b]) for b in blocks])
-    return (coarse * step + F.coalesce(F.greatest(below(F.get(fine, coarse)), F.lit(0)), F.lit(0))).cast("int")
+def _range_of(key: Column, bounds: Column, n: int) -> Column:
+    """How many bounds lie below a key, by halves."""
+    steps = F.array(*[F.lit(1 << k) for k in range(n.bit_length(), -1, -1)])
+    return F.aggregate(steps, F.lit(0), lambda at, s: F.when(F.coalesce(F.get(bounds, at + s - 1) < key, F.lit(False)), at + s).otherwise(at))
 
 
 def edited_pairs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", gram: int = GRAM, window: int = WINDOW) -> DataFrame:
@@ -115,17 +130,19 @@ def edited_pairs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     The edited text has its last half replaced by as much of the next document's beginning, in descending id
     order; the first document follows the last.
     """
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), blank_if_null(text_col).alias("text"))
-    bounds = _ranges(rows)
-    part = F.when(F.col("id").isNull(), F.lit(-1)).otherwise(_range_of(F.col("id"), bounds))
-    dealt = rows.withColumn("part", part)
-    heads = dealt.groupBy("part").agg(F.max("id").alias("head"))  # a row for each range
-    order = Window.orderBy(F.desc("part"))
+    rows = docs.select(named(id_col).cast("long").alias("id"), blank_if_null(text_col).alias("text"))
+    bounds, n_ranges = _bounds(rows)
+    if n_ranges == 1:
+        dealt = rows.withColumn("part", F.lit(0))
+    else:
+        dealt = rows.crossJoin(F.broadcast(bounds)).withColumn("part", _range_of(_order(), F.col("bounds"), n_ranges)).drop("bounds")  # with one row
+    heads = dealt.groupBy("part").agg(F.min(_order()).alias("head"))  # a row for each range
+    order = Window.orderBy("part")
     before = F.coalesce(F.lag("part").over(order), F.last("part").over(order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)))
-    heads = F.broadcast(heads.withColumn("to", before).withColumnRenamed("part", "of"))
-    firsts = dealt.join(heads, (F.col("part") == F.col("of")) & F.col("id").eqNullSafe(F.col("head"))).groupBy("to").agg(F.min("text").alias("text"))
+    heads = F.broadcast(heads.select(F.col("part").alias("of"), "head", before.alias("to")))
+    firsts = dealt.join(heads, (F.col("part") == F.col("of")) & (_order() == F.col("head"))).groupBy("to").agg(F.min("text").alias("text"))
     ghosts = firsts.select(F.lit(None).cast("long").alias("id"), "text", F.col("to").alias("part"), F.lit(True).alias("ghost"))
-    every = dealt.withColumn("ghost", F.lit(False)).union(ghosts).repartition(len(bounds) + 2, "part")
+    every = dealt.withColumn("ghost", F.lit(False)).union(ghosts).repartition(n_ranges, "part")
     marked = every.withColumn("entries", winnow(F.col("text"), gram, window)).withColumn("own", hashes(F.col("entries")))
     follow = Window.partitionBy("part").orderBy("ghost", F.desc_nulls_last("id"), "text")
     paired = marked.withColumn("next_text", F.lead("text").over(follow)).withColumn("next_own", F.lead("own").over(follow)).where(~F.col("ghost"))

@@ -101,3 +101,16 @@ def test_a_shared_run_is_always_found(documents):
 def test_one_row_and_none(documents):
     only = W.edited_pairs(documents([(1, "one two three four five six")])).first()
     assert only.near_next == 1.0 and W.edited_pairs(documents([])).count() == 0
+
+
+def test_null_and_repeated_ids_have_many_ranges(documents, monkeypatch):
+    """A third of the rows has no id, a third one id: every range gives the same rows, and no range has a third of them."""
+    rows = [(None if i % 3 == 0 else 7 if i % 3 == 1 else i, f"{i * 7919 % 1000} {'word ' * (i % 9)}") for i in range(600)]
+    frame = documents(rows)
+    one = sorted([tuple(r) for r in W.edited_pairs(frame).collect()], key=repr)
+    monkeypatch.setattr(W, "RANGE_BYTES", 400)
+    plain = frame.select(F.col("doc_id").alias("id"), "text")
+    bounds, n = W._bounds(plain)
+    parts = plain.crossJoin(bounds).select(W._range_of(W._order(), F.col("bounds"), n).alias("part")).groupBy("part").count().collect()
+    assert len(parts) > 20 and max(r["count"] for r in parts) < 80
+    assert sorted([tuple(r) for r in W.edited_pairs(frame).collect()], key=repr) == one
