@@ -35,11 +35,11 @@ WINDOW = 10
 CUT = 24
 #: Bytes of text that a range should hold where there are few, and once every core has several: rows are sorted in a range, and may spill.
 RANGE_BYTES = 8 << 20
-LARGE_BYTES = 1 << 30
-RANGES_PER_CORE = 64
-STRETCH = 64
+LARGE_BYTES = 4 << 30
+RANGES_PER_CORE = 8
+STRETCH = 32
 #: Characters of the text in a range's bound.
-HEAD = 64
+HEAD = 32
 _LOW = (1 << 32) - 1
 
 
@@ -54,24 +54,18 @@ def winnow(text: Column, gram: int = GRAM, window: int = WINDOW) -> Column:
 
     def rolled(h: Column) -> Column:
         word = lambda i: F.coalesce(F.get(h, i), F.lit(0))
-        said = lambda g, i: F.shiftleft(F.shiftrightunsigned(F.xxhash64(g), 33), 32).bitwiseOR(F.lit(_LOW) - i)
         last = F.greatest(F.size(h) - gram, F.lit(0))
 
         def stretch(s: Column) -> Column:
             first = word(s)
             for j in range(1, gram):
                 first = _turn(first, 1).bitwiseXOR(word(s + j))
-
-            def step(acc: Column, i: Column) -> Column:
-                g = _turn(acc["g"], 1).bitwiseXOR(_turn(word(i - 1), gram)).bitwiseXOR(word(i + (gram - 1)))
-                return let(g, lambda x: F.struct(x.alias("g"), F.concat(acc["out"], F.array(said(x, i))).alias("out")))
-
+            step = lambda acc, i: F.concat(acc, F.array(_turn(F.element_at(acc, -1), 1).bitwiseXOR(_turn(F.get(h, i - 1), gram)).bitwiseXOR(word(i + (gram - 1)))))
             ends = F.least(s + (STRETCH - 1), last)
-            begin = let(first, lambda g: F.struct(g.alias("g"), F.array(said(g, s)).alias("out")))
-            rest = F.when(ends > s, F.sequence(s + 1, ends)).otherwise(F.array().cast("array<int>"))
-            return F.aggregate(rest, begin, step, lambda acc: acc["out"])
+            return F.aggregate(F.when(ends > s, F.sequence(s + 1, ends)).otherwise(F.array().cast("array<int>")), F.array(first), step)
 
-        return F.flatten(F.transform(F.sequence(F.lit(0), last, F.lit(STRETCH)), stretch))
+        every = F.flatten(F.transform(F.sequence(F.lit(0), last, F.lit(STRETCH)), stretch))
+        return F.transform(every, lambda g, i: F.shiftleft(F.shiftrightunsigned(F.xxhash64(g), 33), 32).bitwiseOR(F.lit(_LOW) - i))
 
     def chosen(g: Column) -> Column:
         starts = F.sequence(F.lit(1), F.greatest(F.size(g) - window + 1, F.lit(1)))
@@ -115,11 +109,12 @@ def _bounds(rows: DataFrame) -> tuple[DataFrame, int]:
     keys = rows.select(_order().alias("key")).repartitionByRange(n, "key")
     last = keys.groupBy(F.spark_partition_id().alias("range")).agg(F.max("key").alias("key"))
     gathered = last.agg(F.sort_array(F.collect_list("key")).alias("every"))  # a key for each range
-    return stored(gathered.select(F.slice("every", 1, F.greatest(F.size("every") - 1, F.lit(0))).alias("bounds")), "bounds"), n
+    bounds = stored(gathered.select(F.slice("every", 1, F.greatest(F.size("every") - 1, F.lit(0))).alias("bounds")), "bounds")
+    return bounds, bounds.select(F.size("bounds")).first()[0] + 1
 
 
 def _range_of(key: Column, bounds: Column, n: int) -> Column:
-    """How many bounds lie below a key, by halves."""
+    """How many of the n - 1 bounds lie below a key, by halves."""
     steps = F.array(*[F.lit(1 << k) for k in range(n.bit_length(), -1, -1)])
     return F.aggregate(steps, F.lit(0), lambda at, s: F.when(F.coalesce(F.get(bounds, at + s - 1) < key, F.lit(False)), at + s).otherwise(at))
 
