@@ -38,8 +38,27 @@ class Feature:
         return f"{self.name}_raw"
 
 
-FEATURES = tuple(Feature(n) for n in ("roic", "roic_spread", "roic_spread_5y_mean", "roic_spread_trend", "gross_margin", "operating_margin", "fcf_margin", "recession_resilience", "revenue_growth", "deferred_rev_pct", "asset_turnover", "rev_per_employee", "rd_pct", "intangibles_pct", "incremental_roic")) + tuple(
-    Feature(n, True) for n in ("margin_volatility", "sm_pct", "cogs_ratio", "sga_ratio")
+#: The features that are scaled against peers, and whether less of them is better.
+FEATURES = (
+    Feature("roic"),
+    Feature("roic_spread"),
+    Feature("roic_spread_5y_mean"),
+    Feature("roic_spread_trend"),
+    Feature("gross_margin"),
+    Feature("operating_margin"),
+    Feature("fcf_margin"),
+    Feature("margin_volatility", True),
+    Feature("recession_resilience"),
+    Feature("revenue_growth"),
+    Feature("deferred_rev_pct"),
+    Feature("sm_pct", True),
+    Feature("cogs_ratio", True),
+    Feature("sga_ratio", True),
+    Feature("asset_turnover"),
+    Feature("rev_per_employee"),
+    Feature("rd_pct"),
+    Feature("intangibles_pct"),
+    Feature("incremental_roic"),
 )
 #: Each pillar's features and weight.
 PILLARS = {
@@ -144,35 +163,46 @@ def peer_stats(rows: DataFrame, keys: list[str], features: list[str], prefix: st
     return rows.where(known).groupBy(*keys).agg(*out)
 
 
-def scaled(raw: Column, p01: Column, p99: Column, mean: Column, std: Column, lower_is_better: bool = False, neutral_on_degenerate: bool = False) -> Column:
+def scaled(raw: Column, p01: Column, p99: Column, mean: Column, std: Column, lower_is_better: bool | Column = False, neutral_on_degenerate: bool = False, reflect_mean: bool = False) -> Column:
     """Winsorised z-score, three deviations either side mapped to 0 and 1.
 
     Without deviation there is no z-score: the smallest and largest of what is left is then 1, or the neutral
-    value if asked for.
+    value if asked for. Where lower is better, the default turns round the held value but not the mean, as the source system
+    does, so that peers with a positive mean and a small deviation all come to 0; `reflect_mean` turns round the z-score as a whole.
     """
+    low = lower_is_better if isinstance(lower_is_better, Column) else F.lit(lower_is_better)
     held = F.greatest(F.coalesce(p01, raw), F.least(F.coalesce(p99, raw), raw))
-    z = ((-held if lower_is_better else held) - F.coalesce(mean, raw)) / F.nullif(std, F.lit(0.0))
+    mean, sign = F.coalesce(mean, raw), F.when(low, -1.0).otherwise(1.0)
+    z = (sign * (held - mean) if reflect_mean else sign * held - mean) / F.nullif(std, F.lit(0.0))
     score = F.greatest(F.lit(0.0), F.least(F.lit(1.0), (z + 3.0) / 6.0))
     return F.when(z.isNull(), F.lit(NEUTRAL)).otherwise(score) if neutral_on_degenerate else score
 
 
-def normalised(rows: DataFrame, features: tuple[Feature, ...] = FEATURES, levels: tuple[tuple[str, str, int], ...] = LEVELS, year: str = "calendar_year", neutral_on_degenerate: bool = False) -> DataFrame:
-    """rows with `name`_f for each feature, against the first level with enough peers, else neutral; null stays null."""
+def normalised(rows: DataFrame, features: tuple[Feature, ...] = FEATURES, levels: tuple[tuple[str, str, int], ...] = LEVELS, year: str = "calendar_year", neutral_on_degenerate: bool = False, reflect_mean: bool = False) -> DataFrame:
+    """rows with `name`_f for each feature, against the first level with enough peers, else neutral; null stays null.
+
+    A group's statistics travel as one array, and one expression over the features serves them all: a column for each
+    statistic and level would make a generated method too large for the JVM to compile.
+    """
     raws = [f.raw for f in features]
     out = rows
     for level, key, _ in levels:
-        out = out.join(peer_stats(rows, [key, year], raws, f"__{level}_"), [key, year], "left")
-    scores = {}
-    for f in features:
-        value = F.when(F.col(f.raw).isNull(), F.lit(None).cast("double"))
-        for level, _, fewest in levels:
-            stat = lambda s, level=level, f=f: F.col(f"__{level}_{f.raw}_{s}")
-            value = value.when(F.col(f"__{level}_peer_n") >= fewest, scaled(F.col(f.raw), stat("p01"), stat("p99"), stat("mean"), stat("std"), f.lower_is_better, neutral_on_degenerate))
-        scores[f"{f.name}_f"] = value.otherwise(F.lit(NEUTRAL))
+        packed = F.array(*[F.struct(*[F.col(f"{raw}_{s}").alias(s) for s in ("p01", "p99", "mean", "std")]) for raw in raws])
+        stats = peer_stats(rows, [key, year], raws).select(key, year, F.col("peer_n").alias(f"__{level}_n"), packed.alias(f"__{level}"))
+        out = out.join(stats, [key, year], "left")
     first, _, fewest = levels[0]
-    peers = F.coalesce(F.col(f"__{first}_peer_n"), F.lit(0)).cast("int")
-    scores |= {"industry_peer_n": peers, "benchmark_level": F.when(peers >= fewest, first).otherwise(levels[-1][0])}
-    return out.withColumns(scores).drop(*[c for c in out.columns if c.startswith("__")])
+    n = F.coalesce(F.col(f"__{first}_n"), F.lit(0)).cast("int")
+    enough = F.coalesce(*[F.when(F.col(f"__{level}_n") >= least, F.col(f"__{level}")) for level, _, least in levels])
+    out = out.withColumns({"__peers": enough, "industry_peer_n": n, "benchmark_level": F.when(n >= fewest, first).otherwise(levels[-1][0])})
+    own = F.array(*[F.struct(F.col(f.raw).alias("raw"), F.lit(f.lower_is_better).alias("low")) for f in features])
+
+    def score(x: Column, i: Column) -> Column:
+        s = F.get(F.col("__peers"), i)
+        value = scaled(x["raw"], s["p01"], s["p99"], s["mean"], s["std"], x["low"], neutral_on_degenerate, reflect_mean)
+        return F.when(x["raw"].isNull(), F.lit(None).cast("double")).when(F.col("__peers").isNull(), F.lit(NEUTRAL)).otherwise(value)
+
+    out = out.withColumn("__scores", F.transform(own, score))
+    return out.withColumns({f"{f.name}_f": F.get("__scores", i) for i, f in enumerate(features)}).drop(*[c for c in out.columns if c.startswith("__")])
 
 
 def rank_within(rows: DataFrame, keys: list[str], value: str) -> Column:
@@ -199,13 +229,13 @@ def steady(rows: DataFrame, digits: int) -> DataFrame:
 def moat_scores(base: DataFrame, recessions: DataFrame, digits: int = 9) -> DataFrame:
     """All steps over base rows that carry market inputs, industry_sk and sector_sk.
 
-    The rolled features feed both levels of statistics and the final join, so they are kept once they are made.
+    The rolled features feed both levels of statistics and the final join, so they are stored once they are made, with
+    the ranks, which need the same rows sorted.
     """
-    features = steady(rolled(raw_ratios(base), recessions), digits).persist()
-    scored = normalised(features)
     keys = ["industry_sk", "calendar_year"]
-    ranked = scored.withColumns({"gross_margin_vs_industry_f": rank_within(scored, keys, "gross_margin_raw"), "operating_margin_vs_industry_f": rank_within(scored, keys, "operating_margin_raw")})
-    return pillar_scores(ranked).withColumn("wacc_f", F.col("wacc_raw"))
+    features = steady(rolled(raw_ratios(base), recessions), digits)
+    ranks = {f"{m}_vs_industry_f": rank_within(features, keys, f"{m}_raw") for m in ("gross_margin", "operating_margin")}
+    return pillar_scores(normalised(stored(features.withColumns(ranks), "features"))).withColumn("wacc_f", F.col("wacc_raw"))
 
 
 # Diagnostics
