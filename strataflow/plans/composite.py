@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -14,7 +15,7 @@ from ..operators import report as R
 from ..operators.upsert import upsert
 from ..sources import bronze as B
 from ..sources.contracts import contract_from
-from ..sources.storage import new_path, refresh
+from ..sources.storage import current, new_path, refresh
 from ..streaming.promote import promote_batch, promote_stream
 from . import gold, inputs as I
 from . import ops as M
@@ -72,13 +73,59 @@ def promote(spark, sf_dir):
     return spark.read.parquet(target).select("symbol", "date", "close", "bronze_file_id", "row_year", "row_month")
 
 
+_KEYLESS = f"{SILVER}, lost AS (SELECT CAST(k AS VARCHAR) AS bronze_file_id, 'T' || CAST(ok.user_id % 60 AS VARCHAR) AS symbol, CAST(k % 97 AS DOUBLE) AS close, TRY_CAST(day AS DATE) AS date, date_trunc('second', ts) AS came, 0 AS pos FROM ok JOIN events ON event_id = k WHERE n = 2 UNION ALL SELECT CAST(k AS VARCHAR), 'X', NULL, TRY_CAST(day2 AS DATE), date_trunc('second', ts), 1 FROM ok JOIN events ON event_id = k WHERE n = 2)"
+
+
+@query("T4_replay", f"WITH {_KEYLESS} SELECT 'silver' AS into_table, symbol, date, close, bronze_file_id FROM silver UNION ALL SELECT 'errors', symbol, date, close, bronze_file_id FROM lost WHERE date IS NULL QUALIFY row_number() OVER (PARTITION BY symbol ORDER BY came DESC, bronze_file_id DESC, pos DESC) = 1")
+def replay(spark, sf_dir):
+    """A batch done three times: Silver and its table of errors are those of doing it once."""
+    target = new_path(spark, "silver")
+    docs = B.read_bronze(spark, landed(spark, sf_dir), lines=True)
+    for _ in range(3):
+        promote_batch(spark, docs, BARS, target)
+    pick = lambda name, path: spark.read.parquet(path).select(F.lit(name).alias("into_table"), "symbol", "date", "close", "bronze_file_id")
+    return pick("silver", target).unionByName(pick("errors", f"{target}_errors"))
+
+
+@query("T3_year_batches", f"WITH {SILVER} SELECT CAST(year(date) AS INTEGER) AS row_year, count(*) AS n, min(date) AS first_date, max(date) AS last_date FROM silver GROUP BY 1")
+def year_batches(spark, sf_dir):
+    """Files dealt to two batches by their date, each promoted into year folders."""
+    target = new_path(spark, "silver")
+    docs = B.read_bronze(spark, landed(spark, sf_dir), lines=True)
+    early = F.col("now").try_cast("timestamp") < F.lit("2024-01-16").cast("timestamp")
+    for part in (docs.where(~early | early.isNull()), docs.where(early)):  # the later ones first: their rows stay
+        promote_batch(spark, part, BARS, target, partition="year")
+    return spark.read.parquet(target).groupBy(F.col("row_year").cast("int").alias("row_year")).agg(F.count(F.lit(1)).alias("n"), F.min("date").alias("first_date"), F.max("date").alias("last_date"))
+
+
+@query("T5_chunked_promotion", f"WITH {SILVER} SELECT symbol, count(*) AS n, count(DISTINCT date) AS days FROM silver GROUP BY 1")
+def chunked(spark, sf_dir):
+    """A stream over the landing folder, one file of documents at a time."""
+    landing, target, checkpoint = landed(spark, sf_dir), new_path(spark, "silver"), new_path(spark, "stream")
+    promote_stream(spark, landing, BARS, target, checkpoint, max_files=1, lines=True).awaitTermination()
+    return spark.read.parquet(target).groupBy("symbol").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("date").alias("days"))
+
+
+def _priced(rows: DataFrame) -> DataFrame:
+    return rows.where(F.element_at("row", F.lit("close")).isNotNull()).withColumn("row", F.map_concat(F.map_filter("row", lambda k, _: k != "symbol"), F.create_map(F.lit("symbol"), F.concat(F.lit("#"), F.element_at("row", F.lit("symbol"))))))
+
+
+@query("X1_reshape_promotion", f"WITH {SILVER.replace('WHERE date IS NOT NULL)', 'WHERE date IS NOT NULL AND close IS NOT NULL)')} SELECT '#' || symbol AS symbol, date, close FROM silver")
+def reshaped(spark, sf_dir):
+    """A contract whose hook leaves out rows without a price and renames symbols before they are typed."""
+    target = new_path(spark, "silver")
+    promote_batch(spark, B.read_bronze(spark, landed(spark, sf_dir), lines=True), replace(BARS, reshape=_priced), target)
+    return spark.read.parquet(target).select("symbol", "date", "close")
+
+
 @query("U8_full_refresh", f"WITH {M.INDEX} SELECT dataset, ticker, discriminator, total_files FROM idx")
 def full_refresh(spark, sf_dir):
-    """The coverage index written over an older one."""
+    """The coverage index in the place of an older one."""
     path = new_path(spark, "coverage")
     index = M.index(spark, sf_dir).select("dataset", "ticker", "discriminator", "total_files")
-    index.where("ticker < 'T010'").write.parquet(path)
-    return refresh(index, path)
+    refresh(index.where("ticker < 'T010'"), path)
+    refresh(index, path)
+    return current(spark, path)
 
 
 @query("S10_create_table", f"WITH {I.PRICES} SELECT symbol, count(*) AS n FROM prices GROUP BY 1")

@@ -232,11 +232,38 @@ def build_dim(spark, sf_dir):
     return S.build_dim(old, syms, ["symbol"], "instrument_sk", ["country"])
 
 
-@query("G3_upsert_fact", f"WITH {FACT_EOD}, old AS (SELECT instrument_sk, date_sk, -1.0::DOUBLE AS low, adj_close, volume FROM fact_eod WHERE date_sk % 3 = 0), src AS (SELECT * FROM fact_eod WHERE date_sk % 2 = 0) SELECT * FROM old WHERE date_sk % 2 <> 0 UNION ALL SELECT * FROM src")
+@query("G3_upsert_fact", f"WITH {FACT_EOD}, old AS (SELECT instrument_sk, date_sk, -1.0::DOUBLE AS low, adj_close, volume FROM fact_eod WHERE date_sk % 3 <> 1), src AS (SELECT * FROM fact_eod WHERE date_sk % 3 <> 0) SELECT * FROM old WHERE date_sk % 3 = 0 UNION ALL SELECT * FROM src")
 def upsert_fact(spark, sf_dir):
-    """U4: a build's rows replace those of their key."""
+    """A build's rows replace those of their key; every row is on one side at least."""
     fact = fact_eod(spark, sf_dir)
-    return upsert(fact.where("date_sk % 3 = 0").withColumn("low", F.lit(-1.0)), fact.where("date_sk % 2 = 0"), ["instrument_sk", "date_sk"])
+    return upsert(fact.where("date_sk % 3 <> 1").withColumn("low", F.lit(-1.0)), fact.where("date_sk % 3 <> 0"), ["instrument_sk", "date_sk"])
+
+
+query("U4_upsert_eod", f"WITH {FACT_EOD} SELECT instrument_sk, date_sk, CASE WHEN date_sk % 3 = 0 THEN -1.0::DOUBLE ELSE low END AS low, adj_close, volume FROM fact_eod")(upsert_fact)
+
+
+@query("U4_upsert_quarter", f"WITH {STATEMENTS} SELECT symbol, period, CASE WHEN period % 3 = 0 THEN -1.0::DOUBLE ELSE revenue END AS revenue, total_assets, free_cash_flow FROM income LEFT JOIN balance USING (symbol, period) LEFT JOIN cash USING (symbol, period)")
+def upsert_quarter(spark, sf_dir):
+    """Of the older build the periods that the newer one lacks are left."""
+    fact = fact_quarter(spark, sf_dir).select("symbol", "period", "revenue", "total_assets", "free_cash_flow")
+    return upsert(fact.where("period % 3 <> 1").withColumn("revenue", F.lit(-1.0)), fact.where("period % 3 <> 0"), ["symbol", "period"])
+
+
+@query("U4_upsert_annual", f"WITH {ANNUALS} SELECT a.instrument_sk, a.calendar_year, CASE WHEN a.calendar_year % 3 = 0 THEN -1.0::DOUBLE ELSE round(a.revenue, 6) END AS revenue, round(m.metric_roic, 6) AS metric_roic FROM annual a LEFT JOIN metrics m USING (instrument_sk, calendar_year) JOIN companies c ON c.instrument_sk = a.instrument_sk")
+def upsert_annual(spark, sf_dir):
+    fact = fact_annual(spark, sf_dir).select("instrument_sk", "calendar_year", "revenue", "metric_roic")
+    return upsert(fact.where("calendar_year % 3 <> 1").withColumn("revenue", F.lit(-1.0)), fact.where("calendar_year % 3 <> 0"), ["instrument_sk", "calendar_year"])
+
+
+query("F3_math", "SELECT l_orderkey, l_linenumber, round(ln(l_extendedprice), 6) AS l, round(sqrt(l_quantity), 6) AS s, round(abs(l_tax - l_discount), 6) AS a, round(least(greatest(l_discount, 0.03), 0.07), 6) AS held, round(l_extendedprice / nullif(l_discount, 0), 6) AS per FROM lineitem")(
+    lambda s, d: rounded(T(s, d, "lineitem").select("l_orderkey", "l_linenumber", F.ln("l_extendedprice").alias("l"), F.sqrt("l_quantity").alias("s"), F.abs(F.col("l_tax") - F.col("l_discount")).alias("a"), F.least(F.greatest("l_discount", F.lit(0.03)), F.lit(0.07)).alias("held"), (F.col("l_extendedprice") / F.nullif("l_discount", F.lit(0.0))).alias("per")))
+)
+query("F4_conditional", "SELECT o_custkey, CAST(sum(CAST(o_orderstatus = 'F' AS INTEGER)) AS BIGINT) AS closed, max(CASE WHEN o_totalprice > 200000 THEN 'large' WHEN o_totalprice > 100000 THEN 'middle' ELSE 'small' END) AS size, coalesce(min(CASE WHEN o_orderstatus = 'P' THEN o_orderpriority END), min(CASE WHEN o_orderstatus = 'O' THEN o_orderpriority END), 'none') AS priority FROM orders GROUP BY 1")(
+    lambda s, d: T(s, d, "orders").groupBy("o_custkey").agg(
+        F.sum((F.col("o_orderstatus") == "F").cast("int")).alias("closed"), F.max(F.when(F.col("o_totalprice") > 200000, "large").when(F.col("o_totalprice") > 100000, "middle").otherwise("small")).alias("size"),
+        F.coalesce(*[F.min(F.when(F.col("o_orderstatus") == x, F.col("o_orderpriority"))) for x in "PO"], F.lit("none")).alias("priority"),
+    )
+)
 
 
 @query("U14_schema_evolution", f"WITH {FACT_EOD} SELECT instrument_sk, date_sk, adj_close AS close, volume, CAST(NULL AS DOUBLE) AS vwap FROM fact_eod")
@@ -400,10 +427,14 @@ query("J7_attach_stats", f"WITH {STATS} SELECT r.instrument_sk, r.calendar_year,
 )
 
 
+#: The features in which less is better, named here once more for the same reason.
+_LOW = ("margin_volatility", "sm_pct", "cogs_ratio", "sga_ratio")
+
+
 def _norm(f: M.Feature) -> str:
     def score(t: str) -> str:
         held = f"greatest(coalesce({t}.{f.raw}_p01, r.{f.raw}), least(coalesce({t}.{f.raw}_p99, r.{f.raw}), r.{f.raw}))"
-        return f"greatest(0.0, least(1.0, (({'-' * f.lower_is_better}{held} - coalesce({t}.{f.raw}_mean, r.{f.raw})) / nullif({t}.{f.raw}_std, 0) + 3.0) / 6.0))"
+        return f"greatest(0.0, least(1.0, (({'-' * (f.name in _LOW)}{held} - coalesce({t}.{f.raw}_mean, r.{f.raw})) / nullif({t}.{f.raw}_std, 0) + 3.0) / 6.0))"
 
     return f"CASE WHEN r.{f.raw} IS NULL THEN NULL WHEN ind.peer_n >= 10 THEN {score('ind')} WHEN sec.peer_n >= 5 THEN {score('sec')} ELSE 0.5 END AS {f.name}_f"
 
@@ -416,9 +447,17 @@ normed AS (SELECT r.instrument_sk, r.calendar_year, r.wacc_raw AS wacc_f, CAST(c
 _FS = [f"{f.name}_f" for f in M.FEATURES]
 query("P31_normalised_features", f"WITH {NORMED} SELECT instrument_sk, calendar_year, industry_peer_n, benchmark_level, {_R(*_FS)} FROM normed")(lambda s, d: rounded(M.normalised(steady(s, d)).select(*_KEYS, "industry_peer_n", "benchmark_level", *_FS)))
 query("W7_percent_rank", f"WITH {NORMED} SELECT instrument_sk, calendar_year, round(operating_margin_vs_industry_f, 6) AS r FROM normed")(lambda s, d: (lambda r: rounded(r.select(*_KEYS, M.rank_within(r, ["industry_sk", "calendar_year"], "operating_margin_raw").alias("r"))))(steady(s, d)))
-_PILLARS = ", ".join("(" + " + ".join(f"coalesce({f}_f, 0.5)" for f in fs) + f") / {len(fs)}.0 AS {p}_s" for p, (_, fs) in M.PILLARS.items())
-SCORED = f"""{NORMED}, pillars AS (SELECT *, {_PILLARS} FROM normed), scored AS (SELECT *, {" + ".join(f"{w} * {p}_s" for p, (w, _) in M.PILLARS.items())} AS moat_score_s FROM pillars)"""
-_SS = [f"{p}_s" for p in M.PILLARS]
+#: The pillars written out, apart from the library's tables, so that a wrong weight or a lost feature there shows.
+_N = "coalesce({}_f, 0.5)".format
+_PILLARS = f"""({_N("roic")} + {_N("roic_spread")} + {_N("roic_spread_5y_mean")} + {_N("roic_spread_trend")}) / 4.0 AS profitability_s,
+  ({_N("gross_margin")} + {_N("operating_margin")} + {_N("fcf_margin")} + {_N("margin_volatility")} + {_N("recession_resilience")}) / 5.0 AS stability_s,
+  ({_N("revenue_growth")} + {_N("gross_margin_vs_industry")} + {_N("operating_margin_vs_industry")}) / 3.0 AS competitive_s,
+  ({_N("deferred_rev_pct")} + {_N("sm_pct")}) / 2.0 AS lock_in_s,
+  ({_N("cogs_ratio")} + {_N("sga_ratio")} + {_N("asset_turnover")} + {_N("rev_per_employee")}) / 4.0 AS cost_advantage_s,
+  ({_N("rd_pct")} + {_N("intangibles_pct")} + {_N("incremental_roic")}) / 3.0 AS reinvestment_s"""
+SCORED = f"""{NORMED}, pillars AS (SELECT *, {_PILLARS} FROM normed),
+scored AS (SELECT *, 0.30 * profitability_s + 0.25 * stability_s + 0.15 * competitive_s + 0.10 * lock_in_s + 0.15 * cost_advantage_s + 0.05 * reinvestment_s AS moat_score_s FROM pillars)"""
+_SS = ["profitability_s", "stability_s", "competitive_s", "lock_in_s", "cost_advantage_s", "reinvestment_s"]
 
 
 def moat(s, d):
@@ -427,6 +466,14 @@ def moat(s, d):
 
 query("P30_pillar_scores", f"WITH {SCORED} SELECT instrument_sk, calendar_year, {_R(*_SS)} FROM scored")(lambda s, d: rounded(moat(s, d).select(*_KEYS, *_SS)))
 query("G5_moat_score", f"WITH {SCORED} SELECT instrument_sk, calendar_year, industry_peer_n, benchmark_level, {_R('wacc_f', 'moat_score_s', *_SS)} FROM scored")(lambda s, d: rounded(moat(s, d).select(*_KEYS, "industry_peer_n", "benchmark_level", "wacc_f", "moat_score_s", *_SS)))
+
+
+@query("U4_upsert_moat", f"WITH {SCORED} SELECT instrument_sk, calendar_year, CASE WHEN calendar_year % 3 = 0 THEN -1.0::DOUBLE ELSE round(moat_score_s, 6) END AS moat_score_s, benchmark_level FROM scored")
+def upsert_moat(spark, sf_dir):
+    fact = rounded(moat(spark, sf_dir).select(*_KEYS, "moat_score_s", "benchmark_level"))
+    return upsert(fact.where("calendar_year % 3 <> 1").withColumn("moat_score_s", F.lit(-1.0)), fact.where("calendar_year % 3 <> 0"), list(_KEYS))
+
+
 query("P33_implausible_wacc", f"WITH {RAW} SELECT instrument_sk, calendar_year, round(wacc_raw, 6) AS wacc_f FROM raw WHERE round(wacc_raw, 6) < 0.05 OR round(wacc_raw, 6) > 0.12 ORDER BY abs(round(wacc_raw, 6) - 0.08) DESC, instrument_sk, calendar_year LIMIT 25")(
     lambda s, d: M.implausible_wacc(ratios(s, d).select(*_KEYS, F.round("wacc_raw", 6).alias("wacc_f")), 0.05, 0.12, 25)
 )

@@ -7,6 +7,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from ..functions.coerce import coerce, header_map, iso_seconds
+from ..functions.dates import is_annual_season
 from ..operators import project as P
 from ..sources import bronze as B
 from ..sources.contracts import contract_from, contract_table, included_plans, load_contracts
@@ -122,6 +123,23 @@ query(
     f"""WITH {RAW} SELECT id, coalesce(v, '') AS s, CAST(round_even(TRY_CAST(v AS DOUBLE), 0) AS BIGINT) AS i, TRY_CAST(v AS DOUBLE) AS f,
     coalesce(lower(trim(b)) IN ('true', 't', '1', 'yes', 'y'), FALSE) AS b, TRY_CAST(d AS DATE) AS d FROM raw""",
 )(lambda s, d: raw(s, d).select("id", coerce(F.col("v"), "str").alias("s"), coerce(F.col("v"), "int | None").alias("i"), coerce(F.col("v"), "float").alias("f"), coerce(F.col("b"), "bool").alias("b"), coerce(F.col("d"), "date").alias("d")))
+query("F5_safe_parse", f"WITH {RAW} SELECT id, TRY_CAST(v AS DOUBLE) AS f, TRY_CAST(d AS DATE) AS d, CAST(CAST(id AS VARCHAR) AS BIGINT) AS i FROM raw")(lambda s, d: raw(s, d).select("id", coerce(F.col("v"), "float").alias("f"), coerce(F.col("d"), "date").alias("d"), coerce(F.col("id").cast("string"), "int").alias("i")))
+query("F6_arrays_and_json", "SELECT event_id, CAST(json_extract_string(props, '$.k') AS VARCHAR) AS v, part FROM (SELECT event_id, props, unnest([event_type, CAST(user_id AS VARCHAR)]) AS part FROM events)")(
+    lambda s, d: T(s, d, "events").select("event_id", F.element_at(F.from_json("props", "map<string,string>"), F.lit("k")).alias("v"), F.explode(F.array("event_type", F.col("user_id").cast("string"))).alias("part"))
+)
+
+
+@query("S16_contract_load", "SELECT event_type AS dataset, 'T' || event_type AS silver_table, row_number() OVER (ORDER BY event_type) % 2 = 1 AS per_ticker, count(*) AS files FROM events GROUP BY 1")
+def contract_load(spark, sf_dir):
+    """Contracts made from configuration entries, validated, and joined with the files of their dataset."""
+    entries = [dict(PRICE_CONTRACT, dataset=k, silver_table=f"T{k}", ticker_scope="global" if i % 2 else "per_ticker") for i, k in enumerate(("click", "error", "purchase", "signup", "view"))]
+    contracts = load_contracts(entries)
+    known = contract_table(spark, contracts).select("dataset", "contract_id", "ticker_scope")
+    tables = spark.createDataFrame([(i, c.silver_table) for i, c in enumerate(contracts)], "contract_id int, silver_table string")
+    files = T(spark, sf_dir, "events").groupBy(F.col("event_type").alias("dataset")).agg(F.count(F.lit(1)).alias("files"))
+    return files.join(known, "dataset").join(tables, "contract_id").select("dataset", "silver_table", (F.col("ticker_scope") == "per_ticker").alias("per_ticker"), "files")
+
+
 query("P5_iso_times", "SELECT event_id, strftime(date_trunc('second', ts), '%Y-%m-%dT%H:%M:%SZ') AS t FROM events")(lambda s, d: T(s, d, "events").select("event_id", iso_seconds(F.col("ts")).alias("t")))
 query("P5_defaults", "SELECT event_id, coalesce(CASE WHEN event_id % 3 > 0 THEN event_type END, 'none') AS kind, coalesce(CASE WHEN event_id % 2 > 0 THEN user_id END, -1) AS usr FROM events")(
     lambda s, d: P.with_defaults(T(s, d, "events").select("event_id", F.when(F.col("event_id") % 3 > 0, F.col("event_type")).alias("kind"), F.when(F.col("event_id") % 2 > 0, F.col("user_id")).alias("usr")), {"kind": "none", "usr": -1})
@@ -200,7 +218,7 @@ def plan_filter(spark, sf_dir):
     return T(spark, sf_dir, "events").withColumnRenamed("event_type", "dataset").join(F.broadcast(chosen.select("dataset")), "dataset", "left_semi").groupBy("dataset").agg(F.count(F.lit(1)).alias("n"))
 
 
-query("P25_season_flags", "SELECT o_orderkey, month(o_orderdate) IN (1, 2, 3) AS annual FROM orders")(lambda s, d: T(s, d, "orders").select("o_orderkey", F.month("o_orderdate").isin(1, 2, 3).alias("annual")))
+query("P25_season_flags", "SELECT o_orderkey, month(o_orderdate) IN (1, 2, 3) AS annual FROM orders")(lambda s, d: T(s, d, "orders").select("o_orderkey", is_annual_season(F.col("o_orderdate")).alias("annual")))
 query("X1_reshape_hook", f"WITH {PAYLOAD} SELECT k, count(*) AS n FROM rows WHERE close IS NOT NULL GROUP BY 1")(
     lambda s, d: B.payload_rows(envelopes(s, d)).transform(lambda df: df.where(F.element_at("row", F.lit("close")).isNotNull())).groupBy("k").agg(F.count(F.lit(1)).alias("n"))
 )

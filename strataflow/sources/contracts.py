@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -45,6 +46,8 @@ class Contract:
     ticker_scope: str = "global"
     row_date_col: str | None = None
     recipes: tuple[Recipe, ...] = field(default_factory=tuple)
+    #: A change to the payload rows before they are typed; set by code (dataclasses.replace), not by configuration.
+    reshape: Callable[[DataFrame], DataFrame] | None = None
 
     @property
     def identity(self) -> tuple[str, str, str, str]:

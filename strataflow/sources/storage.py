@@ -5,13 +5,17 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """spark.checkpoint.dir, or a folder of our own where that is unset."""
+    """spark.checkpoint.dir; where that is unset, a folder of our own if driver and executors are one machine, else an error."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir is unset: on a cluster it must name a folder that driver and executors share")
         found = "file://" + tempfile.mkdtemp(prefix="strataflow-")
         spark.sparkContext.setCheckpointDir(found)
     return found.rstrip("/")
@@ -29,8 +33,39 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is a table or folder at a path, in whatever store Spark reads it from."""
+    try:
+        spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return False
+        raise
+    return True
+
+
 def refresh(df: DataFrame, path: str) -> DataFrame:
-    """Full replacement of a table: written beside the old one first, so that readers of the old one see no gap."""
-    staged = stored(df, "staged")
-    staged.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
+    """Full replacement of the table at `path`, as one transaction; read it by :func:`current`.
+
+    The rows go to a version of their own, which then becomes the current one by a single small file. Until then, and if the
+    job fails, readers have the version before; those that are reading it go on. Old versions are the caller's to delete.
+    """
+    spark = df.sparkSession
+    last = _versions(spark, path)
+    n = (last.agg(F.max("n")).first()[0] or 0) + 1 if last is not None else 1
+    name = f"v{n}-{uuid.uuid4().hex}"
+    df.write.parquet(f"{path}/{name}")
+    spark.range(1).select(F.lit(n).cast("long").alias("n"), F.lit(name).alias("name")).coalesce(1).write.mode("append").parquet(f"{path}/versions")
+    return current(spark, path)
+
+
+def _versions(spark: SparkSession, path: str) -> DataFrame | None:
+    return spark.read.schema("n long, name string").parquet(f"{path}/versions") if exists(spark, f"{path}/versions") else None
+
+
+def current(spark: SparkSession, path: str) -> DataFrame:
+    """The current version of a table that :func:`refresh` writes."""
+    versions = _versions(spark, path)
+    if versions is None:
+        raise FileNotFoundError(f"no version of a table at {path}")
+    return spark.read.parquet(f"{path}/{versions.agg(F.max_by('name', 'n')).first()[0]}")

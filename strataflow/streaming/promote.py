@@ -12,13 +12,20 @@ from ..operators.project import project_map
 from ..operators.upsert import new_rows, split_null_keys
 from ..sources.bronze import ENVELOPE, can_promote, rejection
 from ..sources.contracts import Contract
+from ..sources.storage import exists
 
 
 def silver_batch(files: DataFrame, contract: Contract) -> DataFrame:
-    """Typed rows of a batch of files that may be promoted, with lineage; one row per key, the latest file's."""
+    """Typed rows of a batch of files that may be promoted, with lineage; one row per key, the latest file's.
+
+    A contract's `reshape` gets the payload rows (`row`, a map, beside bronze_file_id, run_id, ingested_at and __pos) before
+    they are typed, and returns rows of the same columns: fewer, more or others.
+    """
     from pyspark.sql import Window
 
     good = files.where(rejection(files).isNull() & can_promote()).select(F.col("request.file_id").alias("bronze_file_id"), F.col("request.run_id").alias("run_id"), F.col("now").try_cast("timestamp").alias("ingested_at"), F.posexplode("content").alias("__pos", "row"))
+    if contract.reshape is not None:
+        good = contract.reshape(good)
     typed = project_map(good, "row", contract, keep=["bronze_file_id", "run_id", "ingested_at", "__pos"])
     last = Window.partitionBy(*contract.key_cols).orderBy(F.desc_nulls_last("ingested_at"), F.desc("bronze_file_id"), F.desc("__pos"))
     names = [c.name for c in contract.columns] + ["bronze_file_id", "run_id", "ingested_at"]
@@ -28,36 +35,37 @@ def silver_batch(files: DataFrame, contract: Contract) -> DataFrame:
 def promote_batch(spark: SparkSession, files: DataFrame, contract: Contract, target: str, watermark: str | None = None, partition: str | None = None, on_batch: Callable[[DataFrame], None] | None = None) -> None:
     """Appends a batch's new keys to the Silver folder `target`; rows with a null key go to `target`_errors.
 
-    Doing a batch again appends nothing. With `watermark`, a row-date column, rows not after the largest date
-    already there are dropped. `partition` is ``year`` or ``month`` of the row date.
+    Doing a batch again appends nothing to either. With `watermark`, a row-date column, rows not after the largest date
+    already there are dropped. `partition` is ``year`` or ``month`` of the row date. Where the row date is part of the key, only
+    the folders of the batch's years are searched for keys that are already there, and a watermark on it is taken from the
+    last year's folders.
     """
     rows, lost = split_null_keys(silver_batch(files, contract), list(contract.key_cols))
-    old = _read(spark, target)
+    date = contract.row_date_col
+    foldered = bool(partition and date)
+    old = spark.read.parquet(target) if exists(spark, target) else None
     if old is not None:
         if watermark:
-            mark = old.agg(F.max(watermark).alias("__mark"))
+            held = old.where(F.col("row_year") == F.lit(old.agg(F.max("row_year")).first()[0])) if foldered and watermark == date else old
+            mark = held.agg(F.max(watermark).alias("__mark"))
             rows = rows.crossJoin(F.broadcast(mark)).where(F.col("__mark").isNull() | (F.col(watermark) > F.col("__mark"))).drop("__mark")
+        if foldered and date in contract.key_cols:
+            span = rows.agg(F.min(F.year(date)).alias("a"), F.max(F.year(date)).alias("b")).first()
+            old = old.where(F.col("row_year").between(span["a"], span["b"])) if span["a"] is not None else old.where("false")
         rows = new_rows(rows, old, list(contract.key_cols))
     if on_batch:
         on_batch(rows)
     parts: list[str] = []
-    if partition and contract.row_date_col:
-        rows = rows.withColumn("row_year", F.year(contract.row_date_col))
-        parts = ["row_year"]
+    if foldered:
+        rows, parts = rows.withColumn("row_year", F.year(date)), ["row_year"]
         if partition == "month":
-            rows, parts = rows.withColumn("row_month", F.month(contract.row_date_col)), [*parts, "row_month"]
+            rows, parts = rows.withColumn("row_month", F.month(date)), [*parts, "row_month"]
     writer = rows.write.mode("append")
     (writer.partitionBy(*parts) if parts else writer).parquet(target)
-    lost.write.mode("append").parquet(f"{target}_errors")
-
-
-def _read(spark: SparkSession, path: str) -> DataFrame | None:
-    from pyspark.errors import AnalysisException
-
-    try:
-        return spark.read.parquet(path)
-    except AnalysisException:  # nothing has been written yet
-        return None
+    errors = f"{target}_errors"
+    if exists(spark, errors):  # whole rows with their file are compared, nulls alike
+        lost = lost.subtract(spark.read.parquet(errors).select(*lost.columns).join(lost.select("bronze_file_id").distinct(), "bronze_file_id", "left_semi").select(*lost.columns))
+    lost.write.mode("append").parquet(errors)
 
 
 def promote_stream(spark: SparkSession, landing: str, contract: Contract, target: str, checkpoint: str, max_files: int | None = None, lines: bool = False, **options) -> StreamingQuery:

@@ -177,6 +177,46 @@ def test_batch_promotion_with_a_watermark(spark, tmp_path):
     assert sorted(str(r.date) for r in spark.read.parquet(target).collect()) == ["2024-02-01", "2024-02-02"]
 
 
+def test_a_replay_leaves_both_tables_unchanged(spark, tmp_path):
+    target, contract = f"{tmp_path}/silver", contract_from(ENTRY)
+    text = json.dumps(document("f1", "2024-03-01 00:00:00", [{"symbol": "A", "date": "2024-02-01", "adjClose": "1"}, {"symbol": "B", "date": "bad", "adjClose": None}]))
+    (tmp_path / "f1.json").write_text(text)
+    seen = []
+    for _ in range(3):
+        promote_batch(spark, B.read_bronze(spark, f"{tmp_path}/f1.json"), contract, target, partition="month")
+        seen.append([sorted(map(str, spark.read.parquet(p).collect())) for p in (target, f"{target}_errors")])
+    assert seen[0] == seen[1] == seen[2] and [len(x) for x in seen[0]] == [1, 1]
+
+
+def test_a_broken_target_is_an_error_and_not_an_empty_one(spark, tmp_path):
+    from strataflow.sources.storage import exists
+
+    (tmp_path / "silver").mkdir()
+    (tmp_path / "silver" / "part-0.parquet").write_text("no parquet")
+    (tmp_path / "f1.json").write_text(json.dumps(document("f1", "2024-03-01 00:00:00", [{"symbol": "A", "date": "2024-02-01", "adjClose": "1"}])))
+    with pytest.raises(Exception, match="(?i)parquet|footer"):
+        promote_batch(spark, B.read_bronze(spark, f"{tmp_path}/f1.json"), contract_from(ENTRY), f"{tmp_path}/silver")
+    assert exists(spark, str(tmp_path)) and not exists(spark, f"{tmp_path}/none")
+
+
+def test_refresh_keeps_the_version_before_until_the_new_one_is_whole(spark, tmp_path):
+    from strataflow.sources.storage import current, refresh
+
+    path = f"{tmp_path}/t"
+    with pytest.raises(FileNotFoundError):
+        current(spark, path)
+    old = refresh(spark.range(3), path)
+    with pytest.raises(Exception):
+        refresh(spark.range(5).select(F.raise_error(F.lit("no")).alias("id")), path)
+    assert current(spark, path).count() == 3
+    assert refresh(spark.range(7), path).count() == 7 and current(spark, path).count() == 7 and old.count() == 3
+
+
+def test_reflected_mean(spark):
+    score = lambda r: M.scaled(F.lit(2.0), F.lit(0.0), F.lit(9.0), F.lit(5.0), F.lit(1.0), True, reflect_mean=r)
+    assert tuple(spark.range(1).select(score(False), score(True)).first()) == (0.0, 1.0)
+
+
 def test_payload_hash_is_stable_under_key_order(spark):
     a = F.array(F.create_map(F.lit("a"), F.lit("1"), F.lit("b"), F.lit("é")))
     b = F.array(F.create_map(F.lit("b"), F.lit("é"), F.lit("a"), F.lit("1")))
