@@ -7,9 +7,12 @@ minimum hashes each; nodes sharing a key meet. A pair of similarity J shares one
 1 - (1 - J^6)^20: 0.998 at 0.80, over 0.9999 at 0.87. Every candidate pair is checked by the exact similarity of its
 shingle sets, and only pairs that pass become edges of components.
 
-Checking goes in two rounds, so that a large group of copies costs its rows and not its pairs: first each node
-of a key against the key's smallest node; then, where the nodes of a key are still in several components, every pair
-of different components. Pairs inside one component change nothing and are left unread.
+Checking goes in two rounds, so that a large group of copies, or of texts that share a common passage, costs its rows and
+not its pairs: first each node of a key against the key's smallest node. Then the nodes of keys that are still in several
+components are joined by their rarest shingles: sets x, y of a similarity of s or more, x the smaller one, share a shingle among the
+rarest |x| - ceil(2s/(1+s)|x|) + 1 of x and the rarest |y| - ceil(s|y|) + 1 of y, in any order common to both. Rare ones first, a passage
+that many texts hold brings no pairs unless it is nearly the whole of them. This round loses no link, and pairs inside
+one component, which change nothing, are left unread.
 
 Edge cases: a null or blank text is a node without shingles, equal only to itself; a text of five words or
 fewer has itself as its one shingle; ids may be null or repeated, since nodes go by text; of a group the smallest
@@ -25,7 +28,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import blank_if_null, named, stored
@@ -139,10 +142,9 @@ def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     found = stored(connected_components(edges), "near_roots")
     rooted = members.join(found, "node", "left").withColumn("root", F.coalesce("root", "node"))
     tops = rooted.where("node = head").select("key", F.col("root").alias("top"))
-    several = stored(rooted.join(tops, "key").where(F.col("root") != F.col("top")).select("key", "node", "root", "top"), "near_rest")
-    mixed = rooted.join(several.select("key").distinct(), "key", "left_semi").select("key", F.col("node").alias("other"), F.col("root").alias("other_root"))
-    fits = (F.col("root") != F.col("other_root")) & ((F.col("other_root") == F.col("top")) | (F.col("node") < F.col("other")))
-    rest = _pairs(several.join(mixed, "key").where(fits).select("node", "other")).join(first, ["a", "b"], "left_anti")
+    several = stored(rooted.join(tops, "key").where(F.col("root") != F.col("top")).select("key").distinct(), "near_rest")
+    open_ = stored(rooted.join(several, "key", "left_semi").select("node", "root").distinct(), "near_open")
+    rest = rare_pairs(grams, open_, least).join(first, ["a", "b"], "left_anti")
     edges = edges.union(stored(_checked(rest, grams, least), "near_edges"))
 
     roots = connected_components(edges)
@@ -151,6 +153,31 @@ def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     return keep_keys(docs, row_key(named(id_col), said), best.select(row_key(F.col("best.id"), F.col("best.said"))))
 
 
+def _tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(node, root, size, gram): a row for each shingle of a set."""
+    for batch in batches:
+        for node, root, grams in zip(batch.column("node"), batch.column("root"), batch.column("grams"), strict=True):
+            values = np.frombuffer(grams.as_buffer(), dtype=np.int64)
+            n = len(values)
+            same = pa.DictionaryArray.from_arrays(pa.array(np.zeros(n, np.int32)), pa.array([node.as_py()], pa.binary())).dictionary_decode()
+            top = pa.DictionaryArray.from_arrays(pa.array(np.zeros(n, np.int32)), pa.array([root.as_py()], pa.binary())).dictionary_decode()
+            yield pa.RecordBatch.from_arrays([same, top, pa.array(np.full(n, n, np.int64)), pa.array(values)], names=["node", "root", "size", "gram"])
+
+
+def rare_pairs(grams: DataFrame, nodes: DataFrame, least: float = LEAST) -> DataFrame:
+    """Candidate pairs (a, b), a < b, of nodes (node, root) of different roots: all that can be `least` similar or more."""
+    tokens = stored(grams.join(nodes, "node").select("node", "root", "grams").mapInArrow(_tokens, "node binary, root binary, size long, gram long"), "near_tokens")
+    rarity = tokens.groupBy("gram").agg(F.count(F.lit(1)).alias("n"), (F.min("root") != F.max("root")).alias("joins"))
+    order = Window.partitionBy("node").orderBy("n", "gram")
+    of = lambda share: F.col("size") - F.ceil(F.col("size") * F.lit(share) - 1e-9) + 1
+    ranked = tokens.join(stored(rarity, "near_rarity"), "gram").withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= of(least))
+    rare = stored(ranked.where("joins").select("gram", "node", "root", "size", (F.col("rank") <= of(2 * least / (1 + least))).alias("rarest")), "near_rare")
+    small, large = rare.where("rarest").alias("x"), rare.alias("y")
+    smaller = (F.col("x.size") < F.col("y.size")) | ((F.col("x.size") == F.col("y.size")) & (F.col("x.node") < F.col("y.node")))
+    fits = (F.col("x.gram") == F.col("y.gram")) & (F.col("x.root") != F.col("y.root")) & smaller & (F.col("x.size") >= F.col("y.size") * least - 1e-9)
+    return _pairs(small.join(large, fits).select(F.col("x.node").alias("p"), F.col("y.node").alias("q")))
+
+
 def _pairs(links: DataFrame) -> DataFrame:
     """Distinct pairs a < b of the two columns' nodes."""
     x, y = (F.col(c) for c in links.columns)

@@ -66,3 +66,41 @@ def test_chains_nulls_and_repeated_ids(documents):
     assert len(got) == len(groups) and all(sum(r in g for r in got) == 1 for g in groups)
     assert all((r[0] is None) == all(i is None for i, _ in g) and r[0] == min((i for i, _ in g if i is not None), default=None) for g in groups for r in got if r in g)
     assert N.drop_near_copies(documents([])).count() == 0
+
+
+def test_a_common_passage_costs_rows_and_not_pairs(documents, spark, monkeypatch):
+    """Six hundred texts share most of their words; few of them are near copies, which are found, and few pairs are read."""
+    rng = random.Random(4)
+    passage = " ".join(f"p{rng.randrange(10**6)}" for _ in range(60))
+    texts = [passage + " " + " ".join(f"u{rng.randrange(10**7)}" for _ in range(rng.randint(14, 30))) for _ in range(600)]
+    copies = []
+    for t in texts[::20]:
+        words = t.split()
+        words[-1] = "edited"
+        copies.append(" ".join(words))
+    rows = list(enumerate(texts + copies))
+    real, read = N.rare_pairs, []
+
+    def counted(*a):
+        out = real(*a)
+        read.append(out.count())
+        return out
+
+    monkeypatch.setattr(N, "rare_pairs", counted)
+    left = sorted(r.doc_id for r in N.drop_near_copies(documents(rows)).collect())
+    assert left == sorted(min(i for i, _ in g) for g in brute(rows))
+    assert read[0] < len(rows)
+
+
+def test_rare_pairs_are_all_that_are_similar(spark):
+    """Over random sets, every pair of different roots at 0.8 or more is a candidate."""
+    import numpy as np
+
+    rng = random.Random(8)
+    base = [rng.sample(range(300), rng.randint(5, 40)) for _ in range(12)]
+    sets = [{*rng.sample(b, len(b) - rng.randint(0, len(b) // 6)), *rng.sample(range(300), rng.randint(0, 3))} for b in base for _ in range(12)]
+    rows = [(bytes([i]), bytes([i // 3]), bytearray(np.array(sorted(s), dtype=np.uint64).tobytes())) for i, s in enumerate(sets)]
+    frame = spark.createDataFrame(rows, "node binary, root binary, grams binary")
+    got = {(r.a[0], r.b[0]) for r in N.rare_pairs(frame.select("node", "grams"), frame.select("node", "root")).collect()}
+    want = {(i, j) for i in range(len(sets)) for j in range(i + 1, len(sets)) if i // 3 != j // 3 and similarity(sets[i], sets[j]) >= 0.8}
+    assert len(want) > 20 and want <= got
