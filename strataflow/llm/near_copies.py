@@ -7,12 +7,21 @@ minimum hashes each; nodes sharing a key meet. A pair of similarity J shares one
 1 - (1 - J^6)^20: 0.998 at 0.80, over 0.9999 at 0.87. Every candidate pair is checked by the exact similarity of its
 shingle sets, and only pairs that pass become edges of components.
 
-Checking goes in two rounds, so that a large group of copies, or of texts that share a common passage, costs its rows and
-not its pairs: first each node of a key against the key's smallest node. Then the nodes of keys that are still in several
-components are joined by their rarest shingles: sets x, y of a similarity of s or more, x the smaller one, share a shingle among the
-rarest |x| - ceil(2s/(1+s)|x|) + 1 of x and the rarest |y| - ceil(s|y|) + 1 of y, in any order common to both. Rare ones first, a passage
-that many texts hold brings no pairs unless it is nearly the whole of them. This round loses no link, and pairs inside
-one component, which change nothing, are left unread.
+Checking goes in rounds, so that a large group of copies, or of texts that share a common passage, costs its rows and
+not its pairs. First each node of a key meets the key's smallest node. Then the nodes of keys that are still in several
+components are joined by their rarest shingles (prefix filter): of the shingles that a set shares with other components, in an
+order common to all, two sets that must have o in common share one among all but the last o - 1 of each.
+
+Sets of one large group, variants of one text, can have nearly all of their shingles in common without being links, so that even
+their rarest ones are held by most of the group. So nodes that share such a shingle form a family, and each set x is
+replaced by its difference D to the family's core, the shingles of over half of its members. With c = (1-s)/(1+s), x and y are
+s similar just if their differences differ by at most c(|x|+|y|), so with slack = |D| - c|x|
+* where two slacks sum to 0 or less, both are links of the family's member of least slack: such links make a star;
+* all other links hold at least (slack + slack)/2 elements of their differences in common, and a second prefix filter over
+  these, rare within the family, finds them. Elements that only one component has count for nothing, and an element's holders
+  whose slacks exceed what the others can share leave before they are joined.
+Any core gives whole results; an empty one is the plain filter again. Where a family has no common core (texts chained by shingles of
+different parts), its large groups can still cost pairs. No link is lost, and pairs inside one component, which change nothing, are left unread.
 
 Edge cases: a null or blank text is a node without shingles, equal only to itself; a text of five words or
 fewer has itself as its one shingle; ids may be null or repeated, since nodes go by text; of a group the smallest
@@ -28,7 +37,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import blank_if_null, named, stored
@@ -144,8 +153,12 @@ def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     tops = rooted.where("node = head").select("key", F.col("root").alias("top"))
     several = stored(rooted.join(tops, "key").where(F.col("root") != F.col("top")).select("key").distinct(), "near_rest")
     open_ = stored(rooted.join(several, "key", "left_semi").select("node", "root").distinct(), "near_open")
-    rest = rare_pairs(grams, open_, least).join(first, ["a", "b"], "left_anti")
-    edges = edges.union(stored(_checked(rest, grams, least), "near_edges"))
+
+    apart = differences(grams, open_, least)
+    star = stored(_star(apart), "near_star")
+    sure = stored(_checked(_pairs(star.select("node", "top")), grams, least), "near_edges")
+    rest = rare_pairs(apart.select("node", "grams"), _relabelled(apart, star, sure), least).join(first, ["a", "b"], "left_anti")
+    edges = edges.union(sure).union(stored(_checked(rest, grams, least), "near_edges"))
 
     roots = connected_components(edges)
     placed = marks.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
@@ -153,29 +166,120 @@ def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     return keep_keys(docs, row_key(named(id_col), said), best.select(row_key(F.col("best.id"), F.col("best.said"))))
 
 
-def _tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(node, root, size, gram): a row for each shingle of a set."""
+def _lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(node, grams) with the sets as lists, some at a time."""
+    for batch in batches:
+        nodes, sets, held = [], [], 0
+        for node, grams in zip(batch.column("node"), batch.column("grams"), strict=True):
+            nodes.append(node.as_py())
+            sets.append(np.frombuffer(grams.as_buffer(), dtype=np.int64))
+            held += len(sets[-1])
+            if held >= _PIECE:
+                yield _listed(nodes, sets)
+                nodes, sets, held = [], [], 0
+        yield _listed(nodes, sets)
+
+
+def _listed(nodes: list[bytes], sets: list[np.ndarray]) -> pa.RecordBatch:
+    ends = pa.array(np.cumsum([0, *map(len, sets)]), pa.int32())
+    values = pa.array(np.concatenate([*sets, np.zeros(0, np.int64)]))
+    return pa.RecordBatch.from_arrays([pa.array(nodes, pa.binary()), pa.ListArray.from_arrays(ends, values)], names=["node", "grams"])
+
+
+def _exploded(sets: DataFrame) -> DataFrame:
+    """(node, gram): a row for each element of a set."""
+    return sets.select("node", "grams").mapInArrow(_lists, "node binary, grams array<long>").select("node", F.explode("grams").alias("gram"))
+
+
+def _apart(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for node, root, grams in zip(batch.column("node"), batch.column("root"), batch.column("grams"), strict=True):
-            values = np.frombuffer(grams.as_buffer(), dtype=np.int64)
-            n = len(values)
-            same = pa.DictionaryArray.from_arrays(pa.array(np.zeros(n, np.int32)), pa.array([node.as_py()], pa.binary())).dictionary_decode()
-            top = pa.DictionaryArray.from_arrays(pa.array(np.zeros(n, np.int32)), pa.array([root.as_py()], pa.binary())).dictionary_decode()
-            yield pa.RecordBatch.from_arrays([same, top, pa.array(np.full(n, n, np.int64)), pa.array(values)], names=["node", "root", "size", "gram"])
-
-
-def rare_pairs(grams: DataFrame, nodes: DataFrame, least: float = LEAST) -> DataFrame:
-    """Candidate pairs (a, b), a < b, of nodes (node, root) of different roots: all that can be `least` similar or more."""
-    tokens = stored(grams.join(nodes, "node").select("node", "root", "grams").mapInArrow(_tokens, "node binary, root binary, size long, gram long"), "near_tokens")
-    rarity = tokens.groupBy("gram").agg(F.count(F.lit(1)).alias("n"), (F.min("root") != F.max("root")).alias("joins"))
-    order = Window.partitionBy("node").orderBy("n", "gram")
-    of = lambda share: F.col("size") - F.ceil(F.col("size") * F.lit(share) - 1e-9) + 1
-    ranked = tokens.join(stored(rarity, "near_rarity"), "gram").withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= of(least))
-    rare = stored(ranked.where("joins").select("gram", "node", "root", "size", (F.col("rank") <= of(2 * least / (1 + least))).alias("rarest")), "near_rare")
-    small, large = rare.where("rarest").alias("x"), rare.alias("y")
-    smaller = (F.col("x.size") < F.col("y.size")) | ((F.col("x.size") == F.col("y.size")) & (F.col("x.node") < F.col("y.node")))
-    fits = (F.col("x.gram") == F.col("y.gram")) & (F.col("x.root") != F.col("y.root")) & smaller & (F.col("x.size") >= F.col("y.size") * least - 1e-9)
-    return _pairs(small.join(large, fits).select(F.col("x.node").alias("p"), F.col("y.node").alias("q")))
+        sets = (np.frombuffer(x.as_buffer(), dtype=np.int64) for x in batch.column("grams"))
+        cores = (np.array(c.as_py() or [], dtype=np.int64) for c in batch.column("core"))
+        gaps = [np.setxor1d(x, c, assume_unique=True).tobytes() for x, c in zip(sets, cores, strict=True)]
+        names = ["node", "root", "family", "size"]
+        yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in names), pa.array(gaps, pa.binary())], names=[*names, "grams"])
+
+
+#: Slacks are sums of fractions; comparisons of them leave this much room, since whatever passes is checked exactly.
+_ROOM = 1e-6
+
+
+def _size(grams: str = "grams") -> Column:
+    return F.expr(f"octet_length({grams}) div 8")
+
+
+def _needed(slacks: Column) -> Column:
+    """How many elements two sets must have in common, from the sum of their slacks."""
+    return F.greatest(F.lit(1), F.ceil(slacks / 2 - _ROOM))
+
+
+def differences(grams: DataFrame, nodes: DataFrame, least: float = LEAST) -> DataFrame:
+    """(node, root, family, size, slack, grams): of nodes (node, root) that share a rare shingle with another root, the difference to their family's core."""
+    rows = stored(_prefixes(grams, nodes, least), "near_rare")
+    heads = rows.groupBy("gram").agg(F.min("node").alias("head"))
+    families = connected_components(rows.join(heads, "gram").select(F.col("node").alias("a"), F.col("head").alias("b")))
+    families = stored(families.select("node", F.col("root").alias("family")), "near_families")
+    sets = stored(grams.join(families, "node").join(nodes, "node").select("node", "root", "family", _size().alias("size"), "grams"), "near_members")
+    held = _exploded(sets).join(families, "node").groupBy("family", "gram").agg(F.count(F.lit(1)).alias("n"))
+    half = families.groupBy("family").agg((F.count(F.lit(1)) / 2).alias("half"))
+    #: Of a core, at most twice as many elements as its family's sets have on average.
+    cores = held.join(half, "family").where("n > half").groupBy("family").agg(F.collect_list("gram").alias("core"))
+    gaps = sets.join(stored(cores, "near_cores"), "family", "left").select("node", "root", "family", "size", "grams", "core")
+    gaps = gaps.mapInArrow(_apart, "node binary, root binary, family binary, size long, grams binary")
+    return stored(gaps.withColumn("slack", _size() - F.col("size") * ((1 - least) / (1 + least))), "near_apart")
+
+
+def _star(apart: DataFrame) -> DataFrame:
+    """(node, root, top, top_root): nodes and their family's member of least slack, where the two slacks make a link certain."""
+    tops = apart.groupBy("family").agg(F.min(F.struct("slack", "node", "root")).alias("top"))
+    sure = apart.join(tops, "family").where((F.col("slack") + F.col("top.slack") <= _ROOM) & (F.col("root") != F.col("top.root")))
+    return sure.select("node", "root", F.col("top.node").alias("top"), F.col("top.root").alias("top_root"))
+
+
+def _relabelled(apart: DataFrame, star: DataFrame, sure: DataFrame) -> DataFrame:
+    """The nodes of apart, those of roots that star links join under one root; they may be more than components, never less apart."""
+    linked = star.withColumn("a", F.least("node", "top")).withColumn("b", F.greatest("node", "top")).join(sure, ["a", "b"], "left_semi")
+    names = linked.select("root", "top").union(linked.select("top_root", "top")).groupBy("root").agg(F.min("top").alias("label"))
+    return apart.join(stored(names, "near_labels"), "root", "left").select("node", F.coalesce("label", "root").alias("root"), "family", "size", "slack")
+
+
+def _prefixes(sets: DataFrame, nodes: DataFrame, least: float) -> DataFrame:
+    """Rows (family, gram, node, root, size, slack, rank, cap) of sets that a similar set of another root can meet at.
+
+    nodes: node and root; besides, for differences, family, size of the whole set and slack. A whole set is its difference to nothing.
+    """
+    if "slack" not in nodes.columns:
+        share = 2 * least / (1 + least)
+        nodes = nodes.join(sets.select("node", _size().alias("size")), "node").withColumn("family", F.lit("").cast("binary")).withColumn("slack", F.col("size") * share)
+        floor = F.col("slack") * least
+    else:
+        floor = F.col("lo")
+    tokens = stored(_exploded(sets.join(nodes.select("node"), "node", "left_semi")).join(nodes, "node"), "near_tokens")
+    several = (F.min("root") != F.max("root")).alias("joins")
+    rarity = tokens.groupBy("family", "gram").agg(F.count(F.lit(1)).alias("n"), several, F.min("slack").alias("lo")).where("joins")
+    own = Window.partitionBy("node")
+    ranked = tokens.join(stored(rarity, "near_rarity"), ["family", "gram"])
+    ranked = ranked.withColumn("rank", F.row_number().over(own.orderBy("n", "gram"))).withColumn("cap", F.count(F.lit(1)).over(own))
+    ranked = ranked.where(F.col("rank") <= F.col("cap") - _needed(F.col("slack") + F.greatest("lo", floor)) + 1)
+    rare = stored(ranked.select("family", "gram", "node", "root", "size", "slack", "rank", "cap"), "near_rare")
+    most = 2 * F.col("cap") - F.col("slack")  # the slack that a partner can have
+    met = rare.groupBy("family", "gram").agg(several, F.min("slack").alias("lo"), F.max(most).alias("hi")).where("joins")
+    fits = (F.col("slack") <= F.col("hi") + _ROOM) & (F.col("lo") <= most + _ROOM)
+    return rare.join(stored(met, "near_met"), ["family", "gram"]).where(fits).drop("joins", "lo", "hi")
+
+
+def rare_pairs(sets: DataFrame, nodes: DataFrame, least: float = LEAST) -> DataFrame:
+    """Candidate pairs (a, b), a < b, of nodes of different roots: all that can be `least` similar or more.
+
+    Of differences (see `_prefixes`), all such pairs within a family whose slacks sum to more than 0.
+    """
+    rows = stored(_prefixes(sets, nodes, least), "near_rare")
+    x, y = rows.alias("x"), rows.alias("y")
+    need = _needed(F.col("x.slack") + F.col("y.slack"))
+    fits = (F.col("x.family") == F.col("y.family")) & (F.col("x.gram") == F.col("y.gram")) & (F.col("x.root") != F.col("y.root")) & (F.col("x.node") < F.col("y.node"))
+    for one, other in (("x", "y"), ("y", "x")):
+        fits &= (F.col(f"{one}.size") >= F.col(f"{other}.size") * least - _ROOM) & (F.col(f"{one}.rank") <= F.col(f"{one}.cap") - need + 1)
+    return _pairs(x.join(y, fits).select(F.col("x.node").alias("p"), F.col("y.node").alias("q")))
 
 
 def _pairs(links: DataFrame) -> DataFrame:

@@ -104,3 +104,59 @@ def test_rare_pairs_are_all_that_are_similar(spark):
     got = {(r.a[0], r.b[0]) for r in N.rare_pairs(frame.select("node", "grams"), frame.select("node", "root")).collect()}
     want = {(i, j) for i in range(len(sets)) for j in range(i + 1, len(sets)) if i // 3 != j // 3 and similarity(sets[i], sets[j]) >= 0.8}
     assert len(want) > 20 and want <= got
+
+
+def variants(n, seed=5):
+    """n texts that each change from 0 to 14 words of one text of 150; every third one changes a word more of the text before it."""
+    rng = random.Random(seed)
+    base = [f"b{i}" for i in range(150)]
+    texts = []
+    for k in range(n):
+        words = texts[-1].split() if k % 3 == 2 else list(base)
+        for at in rng.sample(range(150), 1 if k % 3 == 2 else rng.randint(0, 14)):
+            words[at] = f"v{k}n{at}"
+        texts.append(" ".join(words))
+    return texts
+
+
+def test_variants_of_one_text_cost_rows_and_not_pairs(documents, monkeypatch):
+    """Most of five hundred variants are 0.5 to 0.8 similar: components are those of brute force, and candidates fewer than texts."""
+    rows = list(enumerate(variants(500)))
+    real, read = N.rare_pairs, []
+
+    def counted(*a):
+        out = real(*a)
+        read.append(out.count())
+        return out
+
+    monkeypatch.setattr(N, "rare_pairs", counted)
+    left = sorted(r.doc_id for r in N.drop_near_copies(documents(rows)).collect())
+    want = sorted(min(i for i, _ in g) for g in brute(rows))
+    assert left == want and 50 < len(want) < 450
+    assert read[0] < len(rows)
+
+
+def test_star_and_pairs_of_differences_join_all_that_are_similar(spark):
+    """Without any links known before: star links and candidates, checked, give the components of all similar pairs."""
+    import numpy as np
+    import xxhash
+
+    texts = variants(90, 6) + [t.replace("b1", "c1") for t in variants(40, 7)]
+    sets = [grams(t) for t in texts]
+    data = [np.array(sorted(xxhash.xxh64_intdigest(" ".join(g)) for g in s), dtype=np.uint64).tobytes() for s in sets]
+    rows = [(bytes([i]), bytes([i]), bytearray(d)) for i, d in enumerate(data)]
+    frame = spark.createDataFrame(rows, "node binary, root binary, grams binary")
+    plain, nodes = frame.select("node", "grams"), frame.select("node", "root")
+    apart = N.differences(plain, nodes)
+    star = N._star(apart)
+    sure = N._checked(N._pairs(star.select("node", "top")), plain, 0.8)
+    rest = N._checked(N.rare_pairs(apart.select("node", "grams"), N._relabelled(apart, star, sure)), plain, 0.8)
+    root = list(range(len(sets)))
+    find = lambda i: i if root[i] == i else find(root[i])
+    got = [(r.a[0], r.b[0]) for r in sure.union(rest).collect()]
+    assert all(similarity(sets[i], sets[j]) >= 0.8 for i, j in got) and star.count() > 10
+    for i, j in got:
+        root[find(i)] = find(j)
+    want = [(i, j) for i in range(len(sets)) for j in range(i) if similarity(sets[i], sets[j]) >= 0.8]
+    assert len(want) > 100 and all(find(i) == find(j) for i, j in want)
+    assert len({find(i) for i in range(len(sets))}) > 10
