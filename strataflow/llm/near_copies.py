@@ -39,6 +39,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import blank_if_null, named, stored
 from .components import connected_components
@@ -167,28 +168,24 @@ def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
 
 
 def _lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(node, grams) with the sets as lists, some at a time."""
+    """The batches with their last column, grams, as lists, some rows at a time."""
     for batch in batches:
-        nodes, sets, held = [], [], 0
-        for node, grams in zip(batch.column("node"), batch.column("grams"), strict=True):
-            nodes.append(node.as_py())
+        sets, start, held = [], 0, 0
+        for i, grams in enumerate(batch.column("grams")):
             sets.append(np.frombuffer(grams.as_buffer(), dtype=np.int64))
             held += len(sets[-1])
-            if held >= _PIECE:
-                yield _listed(nodes, sets)
-                nodes, sets, held = [], [], 0
-        yield _listed(nodes, sets)
-
-
-def _listed(nodes: list[bytes], sets: list[np.ndarray]) -> pa.RecordBatch:
-    ends = pa.array(np.cumsum([0, *map(len, sets)]), pa.int32())
-    values = pa.array(np.concatenate([*sets, np.zeros(0, np.int64)]))
-    return pa.RecordBatch.from_arrays([pa.array(nodes, pa.binary()), pa.ListArray.from_arrays(ends, values)], names=["node", "grams"])
+            if held >= _PIECE or i + 1 == batch.num_rows:
+                ends = pa.array(np.cumsum([0, *map(len, sets)]), pa.int32())
+                lists = pa.ListArray.from_arrays(ends, pa.array(np.concatenate(sets)))
+                yield pa.RecordBatch.from_arrays([*batch.slice(start, len(sets)).columns[:-1], lists], names=batch.schema.names)
+                sets, start, held = [], i + 1, 0
 
 
 def _exploded(sets: DataFrame) -> DataFrame:
-    """(node, gram): a row for each element of a set."""
-    return sets.select("node", "grams").mapInArrow(_lists, "node binary, grams array<long>").select("node", F.explode("grams").alias("gram"))
+    """A row for each element of a set, gram, beside the other columns."""
+    kept = [c for c in sets.columns if c != "grams"]
+    schema = T.StructType([*(sets.schema[c] for c in kept), T.StructField("grams", T.ArrayType(T.LongType()))])
+    return sets.select(*kept, "grams").mapInArrow(_lists, schema).select(*kept, F.explode("grams").alias("gram"))
 
 
 def _apart(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -220,7 +217,7 @@ def differences(grams: DataFrame, nodes: DataFrame, least: float = LEAST) -> Dat
     families = connected_components(rows.join(heads, "gram").select(F.col("node").alias("a"), F.col("head").alias("b")))
     families = stored(families.select("node", F.col("root").alias("family")), "near_families")
     sets = stored(grams.join(families, "node").join(nodes, "node").select("node", "root", "family", _size().alias("size"), "grams"), "near_members")
-    held = _exploded(sets).join(families, "node").groupBy("family", "gram").agg(F.count(F.lit(1)).alias("n"))
+    held = _exploded(sets.select("family", "grams")).groupBy("family", "gram").agg(F.count(F.lit(1)).alias("n"))
     half = families.groupBy("family").agg((F.count(F.lit(1)) / 2).alias("half"))
     #: Of a core, at most twice as many elements as its family's sets have on average.
     cores = held.join(half, "family").where("n > half").groupBy("family").agg(F.collect_list("gram").alias("core"))
@@ -248,13 +245,14 @@ def _prefixes(sets: DataFrame, nodes: DataFrame, least: float) -> DataFrame:
 
     nodes: node and root; besides, for differences, family, size of the whole set and slack. A whole set is its difference to nothing.
     """
-    if "slack" not in nodes.columns:
-        share = 2 * least / (1 + least)
-        nodes = nodes.join(sets.select("node", _size().alias("size")), "node").withColumn("family", F.lit("").cast("binary")).withColumn("slack", F.col("size") * share)
-        floor = F.col("slack") * least
-    else:
+    sets = sets.join(nodes, "node")
+    if "slack" in nodes.columns:
         floor = F.col("lo")
-    tokens = stored(_exploded(sets.join(nodes.select("node"), "node", "left_semi")).join(nodes, "node"), "near_tokens")
+    else:
+        sets = sets.withColumn("family", F.lit("").cast("binary")).withColumn("size", _size())
+        sets = sets.withColumn("slack", F.col("size") * (2 * least / (1 + least)))
+        floor = F.col("slack") * least
+    tokens = stored(_exploded(sets), "near_tokens")
     several = (F.min("root") != F.max("root")).alias("joins")
     rarity = tokens.groupBy("family", "gram").agg(F.count(F.lit(1)).alias("n"), several, F.min("slack").alias("lo")).where("joins")
     own = Window.partitionBy("node")
