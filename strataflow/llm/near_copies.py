@@ -159,7 +159,8 @@ def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     star = stored(_star(apart), "near_star")
     sure = stored(_checked(_pairs(star.select("node", "top")), grams, least), "near_edges")
     rest = rare_pairs(apart.select("node", "grams"), _relabelled(apart, star, sure), least).join(first, ["a", "b"], "left_anti")
-    edges = edges.union(sure).union(stored(_checked(rest, grams, least), "near_edges"))
+    #: The first components' stars hold all that their edges said.
+    edges = found.select(F.col("node").alias("a"), F.col("root").alias("b")).union(sure).union(_checked(rest, grams, least))
 
     roots = connected_components(edges)
     placed = marks.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
