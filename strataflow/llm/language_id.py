@@ -144,19 +144,22 @@ def identify(docs: DataFrame, profiles: dict[str, np.ndarray], text_col: str = "
     spark: SparkSession = docs.sparkSession
     columns = keep if keep is not None else [named(c) for c in docs.columns if c.lower() not in names]
     shape = docs.select(*columns)
+    at = docs.columns.index(text_col) if keep is None and text_col in shape.columns and len(shape.columns) == len(docs.columns) else None
+    sent = [*columns, *([named(text_col)] if at is None else [])]  # the text travels once
+    n, at = len(columns), len(columns) if at is None else at
     schema = T.StructType([*shape.schema, T.StructField(names[0], T.StringType()), T.StructField(names[1], T.DoubleType())])
     model = spark.sparkContext.broadcast(profiles)  # PROFILE_SIZE n-grams for each language
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         judge = Profiles(model.value)
         for batch in batches:
-            said = [judge.predict(x.as_py()) for x in batch.column(batch.num_columns - 1)]
-            own = [batch.column(i) for i in range(batch.num_columns - 1)]
+            said = [judge.predict(x.as_py()) for x in batch.column(at)]
+            own = batch.columns[:n]
             yield pa.RecordBatch.from_arrays(
                 [*own, pa.array([x for x, _ in said], pa.string()), pa.array([x for _, x in said], pa.float64())], names=schema.names
             )
 
-    return docs.select(*columns, named(text_col)).toDF(*[f"c{i}" for i in range(len(schema.names) - 1)]).mapInArrow(run, schema)
+    return docs.select(*sent).toDF(*[f"c{i}" for i in range(len(sent))]).mapInArrow(run, schema)
 
 
 def training_rows(docs: DataFrame, id_col: str = "doc_id", lang_col: str = "lang") -> DataFrame:
