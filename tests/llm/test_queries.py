@@ -16,6 +16,8 @@ from .test_bpe import digests
 from .test_exact_dedup import brute
 from .test_mixing import slow_targets
 from .test_pii import slow_base
+from .test_rank_bpe import PATH as RANKS
+from .test_rank_bpe import digests as rank_digests
 from .test_simhash import slow_components, slow_print
 from .test_suffix_dedup import slow as slow_repeats
 from .test_url_filter import slow_verdicts
@@ -33,7 +35,7 @@ def rows(df):
 
 
 def test_names():
-    assert [int(n[2:].split("_")[0]) for n in Q] == list(range(1, 11))
+    assert [int(n[2:].split("_")[0]) for n in Q] == list(range(1, 12))
 
 
 def test_op1(spark, sf, docs):
@@ -149,3 +151,13 @@ def test_op10(spark, sf, docs):
         base = slow_base(t)
         assert got[i].base_sha256 == hashlib.sha256(",".join(base).encode()).hexdigest()
         assert set(base) <= set(got[i].spans.split(",")) | {""}
+
+
+def test_op11(spark, sf, docs):
+    import base64
+
+    import tiktoken
+
+    with open(RANKS, "rb") as f:
+        tool = tiktoken.Encoding("plain", pat_str=public_tokenizers.PATTERN, mergeable_ranks={base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}, special_tokens={})
+    assert rows(Q["op11_rank_bpe"](spark, sf)) == sorted([(i, *rank_digests(tool, t or "")) for i, t, *_ in docs], key=repr)
