@@ -10,7 +10,7 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
-from strataflow.llm import exact_dedup, language_id, queries
+from strataflow.llm import exact_dedup, hard_negatives, language_id, queries
 
 from .test_bpe import digests
 from .test_exact_dedup import brute
@@ -35,7 +35,7 @@ def rows(df):
 
 
 def test_names():
-    assert [int(n[2:].split("_")[0]) for n in Q] == list(range(1, 12))
+    assert [int(n[2:].split("_")[0]) for n in Q] == [*range(1, 12), 13]
 
 
 def test_op1(spark, sf, docs):
@@ -161,3 +161,11 @@ def test_op11(spark, sf, docs):
     with open(RANKS, "rb") as f:
         tool = tiktoken.Encoding("plain", pat_str=public_tokenizers.PATTERN, mergeable_ranks={base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}, special_tokens={})
     assert rows(Q["op11_rank_bpe"](spark, sf)) == sorted([(i, *rank_digests(tool, t or "")) for i, t, *_ in docs], key=repr)
+
+
+def test_op13(spark, sf):
+    got = Q["op13_hard_negatives"](spark, sf)
+    duckdb.sql(f"CREATE OR REPLACE VIEW embeddings AS SELECT * FROM '{sf}/embeddings.parquet'")
+    want = duckdb.sql(hard_negatives.ORACLE)
+    assert got.columns == want.columns
+    assert rows(got) == sorted(want.fetchall(), key=repr)
