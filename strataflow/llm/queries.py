@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, hard_negatives, language_id, mixing, pii, rank_bpe, simhash, suffix_dedup, token_records, url_filter, winnowing
+from . import bpe, divergence, exact_dedup, hard_negatives, language_id, mixing, pii, rank_bpe, simhash, suffix_dedup, token_records, url_filter, winnowing
 from .common import table
 
 
@@ -58,13 +58,17 @@ def op11_rank_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rank_bpe.encode_digests(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.divergence(table(spark, sf_dir, "documents"))
+
+
 def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hard_negatives.hard_negatives(table(spark, sf_dir, "embeddings"), hard_negatives.anchored(), hard_negatives.relabelled())
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_token_records": op1_token_records, "op2_bpe": op2_bpe, "op3_winnowing": op3_winnowing, "op4_simhash_dedup": op4_simhash_dedup, "op5_suffix_dedup": op5_suffix_dedup, "op6_mixing": op6_mixing, "op7_language_id": op7_language_id, "op8_url_filter": op8_url_filter, "op9_exact_dedup": op9_exact_dedup, "op10_pii": op10_pii, "op11_rank_bpe": op11_rank_bpe, "op13_hard_negatives": op13_hard_negatives}
+    return {"op1_token_records": op1_token_records, "op2_bpe": op2_bpe, "op3_winnowing": op3_winnowing, "op4_simhash_dedup": op4_simhash_dedup, "op5_suffix_dedup": op5_suffix_dedup, "op6_mixing": op6_mixing, "op7_language_id": op7_language_id, "op8_url_filter": op8_url_filter, "op9_exact_dedup": op9_exact_dedup, "op10_pii": op10_pii, "op11_rank_bpe": op11_rank_bpe, "op12_source_divergence": op12_source_divergence, "op13_hard_negatives": op13_hard_negatives}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op9_exact_dedup": exact_dedup.ORACLE, "op13_hard_negatives": hard_negatives.ORACLE}
+    return {"op9_exact_dedup": exact_dedup.ORACLE, "op12_source_divergence": divergence.ORACLE, "op13_hard_negatives": hard_negatives.ORACLE}

@@ -10,7 +10,7 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
-from strataflow.llm import exact_dedup, hard_negatives, language_id, queries
+from strataflow.llm import divergence, exact_dedup, hard_negatives, language_id, queries
 
 from .test_bpe import digests
 from .test_exact_dedup import brute
@@ -35,7 +35,7 @@ def rows(df):
 
 
 def test_names():
-    assert [int(n[2:].split("_")[0]) for n in Q] == [*range(1, 12), 13]
+    assert [int(n[2:].split("_")[0]) for n in Q] == list(range(1, 14))
 
 
 def test_op1(spark, sf, docs):
@@ -169,3 +169,11 @@ def test_op13(spark, sf):
     want = duckdb.sql(hard_negatives.ORACLE)
     assert got.columns == want.columns
     assert rows(got) == sorted(want.fetchall(), key=repr)
+
+
+def test_op12(spark, sf):
+    got = Q["op12_source_divergence"](spark, sf)
+    duckdb.sql(f"CREATE OR REPLACE VIEW documents AS SELECT * FROM '{sf}/documents.parquet'")
+    want = duckdb.sql(divergence.ORACLE)
+    assert got.columns == want.columns
+    assert rows(got) == sorted(want.fetchall(), key=repr)
