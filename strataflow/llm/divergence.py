@@ -18,7 +18,7 @@ come in by their number. All arithmetic is on whole numbers: shares below 2**31,
 
 Edge cases: null text, language or source counts as blank; a row is a document, so rows that repeat an id count each; documents
 without terms, and groups of them, keep their place in the pairs; a language that keeps no term gives pairs of value 0. Texts are cut
-in pieces between terms, so a very long one takes no more room than its distinct terms and a piece. Other columns are
+in runs of documents and pieces between terms, so a very long one takes no more room than its distinct terms and a piece. Other columns are
 ignored; an empty table gives no rows.
 """
 
@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from .common import blank_if_null, stored
 
 #: Bytes of the first level's prefixes; each level doubles them.
-FIRST = 4
+FIRST = 6
 #: Bits of the filter that carries survivors to the next pass: 4 MB.
 FILTER_BITS = 1 << 25
 #: Bytes of text cut at once, sources of a block, rows of a slice of terms, terms compared at once.
@@ -57,49 +57,50 @@ _SEED = 42
 # Terms of a batch
 
 
-def _pieces(data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[int, int]]:
-    """Ranges of about PIECE bytes that end at a document's end or outside a term."""
-    at, end = int(offsets[0]), int(offsets[-1])
+def _parts(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """The batch in runs of documents of about PIECE bytes; a longer document is a run of its own."""
+    ends = np.cumsum(pc.binary_length(batch.column("text")).to_numpy(zero_copy_only=False).astype(np.int64))
+    at = 0
+    while at < len(ends):
+        stop = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + PIECE, side="right")))
+        yield batch.slice(at, stop - at)
+        at = stop
+
+
+def _pieces(data: np.ndarray, at: int, end: int) -> Iterator[tuple[int, int]]:
+    """Ranges of about PIECE bytes of data[at:end] that end outside a term."""
     while at < end:
         stop = min(at + PIECE, end)
-        border = int(offsets[np.searchsorted(offsets, stop)])
-        look = stop
-        while look < border:
-            outside = np.flatnonzero(~IN_TERM[data[look : min(look + 4096, border)]])
-            if len(outside):
-                border = look + int(outside[0])
-                break
-            look += 4096
-        yield at, border
-        at = border
-
-
-def _cut(data: np.ndarray, offsets: np.ndarray, at: int, stop: int) -> tuple[np.ndarray, pa.Array]:
-    """(document, term) of each term in data[at:stop], terms lower-cased."""
-    part = data[at:stop]
-    inside = IN_TERM[part]
-    edge = np.zeros(len(part) + 1, bool)  # where a term can't go on: between documents
-    borders = offsets[np.searchsorted(offsets, at) : np.searchsorted(offsets, stop, side="right")] - at
-    edge[borders] = True
-    starts, ends = inside.copy(), inside.copy()
-    starts[1:] &= ~inside[:-1] | edge[1:-1]
-    ends[:-1] &= ~inside[1:] | edge[1:-1]
-    first = np.flatnonzero(starts)
-    sizes = np.flatnonzero(ends) + 1 - first
-    bounds = np.zeros(len(first) + 1, np.int32)
-    np.cumsum(sizes, out=bounds[1:])
-    terms = pa.Array.from_buffers(pa.binary(), len(first), [None, pa.py_buffer(bounds), pa.py_buffer(LOWER[part[inside]])])
-    return np.searchsorted(offsets, first + at, side="right") - 1, terms
+        while stop < end and IN_TERM[data[stop]]:
+            outside = np.flatnonzero(~IN_TERM[data[stop : min(stop + 4096, end)]])
+            stop = stop + int(outside[0]) if len(outside) else min(stop + 4096, end)
+        yield at, stop
+        at = stop
+
+
+def _cut(part: np.ndarray) -> tuple[np.ndarray, pa.Array]:
+    """(first byte, term) of each term in part; terms lower-cased."""
+    inside = np.zeros(len(part) + 2, bool)
+    np.take(IN_TERM, part, out=inside[1:-1])
+    borders = np.flatnonzero(inside[1:] != inside[:-1])  # where a term begins and ends, by turns
+    bounds = np.zeros(len(borders) // 2 + 1, np.int32)
+    np.cumsum(borders[1::2] - borders[::2], out=bounds[1:])
+    terms = pa.Array.from_buffers(pa.binary(), len(bounds) - 1, [None, pa.py_buffer(bounds), pa.py_buffer(LOWER[part[inside[1:-1]]])])
+    return borders[::2], terms
 
 
 def incidences(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray, np.ndarray]:
-    """(distinct terms, document, term's place, occurrences) of each distinct pair of document and term."""
-    texts = texts.cast(pa.large_binary())
-    offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1] if len(texts) else np.zeros(1, np.int64)
+    """(distinct terms, document, term's place, occurrences) of each distinct pair of document and term.
+
+    Each text must end outside a term, so that none goes on into the next.
+    """
+    wide = pa.types.is_large_string(texts.type) or pa.types.is_large_binary(texts.type)
+    offsets = np.frombuffer(texts.buffers()[1], np.int64 if wide else np.int32)[texts.offset : texts.offset + len(texts) + 1] if len(texts) else np.zeros(1, np.int32)
     data = np.frombuffer(texts.buffers()[2], np.uint8) if len(texts) and texts.buffers()[2] is not None and offsets[-1] else np.zeros(0, np.uint8)
     names, docs, codes, counts = [], [], [], []
-    for at, stop in _pieces(data, offsets):
-        doc, terms = _cut(data, offsets, at, stop)
+    for at, stop in _pieces(data, int(offsets[0]), int(offsets[-1])):
+        first, terms = _cut(data[at:stop])
+        doc = np.repeat(np.arange(len(texts)), np.diff(np.searchsorted(first, offsets.astype(np.int64) - at)))
         coded = terms.dictionary_encode()
         n = max(len(coded.dictionary), 1)
         pair, count = np.unique(doc * n + coded.indices.to_numpy(zero_copy_only=False), return_counts=True)
@@ -167,7 +168,8 @@ def _coded(column: pa.Array) -> tuple[list[str], np.ndarray]:
 
 
 def _plain(docs: DataFrame, text_col: str, lang_col: str, source_col: str) -> DataFrame:
-    return docs.select(blank_if_null(text_col).alias("text"), blank_if_null(lang_col).alias("lang"), blank_if_null(source_col).alias("source"))
+    """text, closed by a line end, lang and source, nulls as blanks."""
+    return docs.select(F.concat(blank_if_null(text_col), F.lit("\n")).alias("text"), blank_if_null(lang_col).alias("lang"), blank_if_null(source_col).alias("source"))
 
 
 def level(docs: DataFrame, done: int, length: int, survivors) -> DataFrame:
@@ -179,7 +181,7 @@ def level(docs: DataFrame, done: int, length: int, survivors) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = survivors.value if survivors is not None else None
-        for batch in batches:
+        for batch in (part for whole in batches for part in _parts(whole)):
             terms, doc, code, _ = incidences(batch.column("text"))
             langs, lang_of = _coded(batch.column("lang"))
             size = pc.binary_length(terms).to_numpy(zero_copy_only=False)
@@ -224,7 +226,7 @@ def occurrences(docs: DataFrame, kept: DataFrame) -> DataFrame:
     bits = docs.sparkSession.sparkContext.broadcast(filter_of(kept))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (part for whole in batches for part in _parts(whole)):
             terms, doc, code, count = incidences(batch.column("text"))
             langs, lang_of = _coded(batch.column("lang"))
             sources, source_of = _coded(batch.column("source"))
