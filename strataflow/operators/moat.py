@@ -5,11 +5,12 @@ from __future__ import annotations
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.storage import stored
 from .features import growth, ratio_of_changes, series, slope, trailing
+from .peers import group_quantiles, percent_ranks
 
 #: Country names of the risk-premium source and their ISO codes.
 COUNTRY_CODES = {
@@ -153,14 +154,25 @@ def rolled(raw: DataFrame, recessions: DataFrame, entity: str = "instrument_sk",
     return marked.withColumn("recession_resilience_raw", F.avg(F.when(F.col("__recession"), F.col("revenue_growth_raw"))).over(ten)).drop("__recession")
 
 
+STATISTICS = ("p01", "p99", "mean", "std")
+
+
+def peer_table(rows: DataFrame, keys: list[str], features: list[str]) -> DataFrame:
+    """Per group of non-null keys: peer_n, and `peers`, an array with the STATISTICS of each feature; stored."""
+    known = rows.where(reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys]))
+    moments = F.array(*[F.struct(F.avg(f).alias("mean"), F.stddev_samp(f).alias("std")) for f in features])
+    counted = stored(known.groupBy(*keys).agg(F.count(F.lit(1)).alias("peer_n"), moments.alias("__moments")), "peers")
+    if not features:
+        return counted.select(*keys, "peer_n", F.array().alias("peers"))
+    ends = group_quantiles(known, keys, features, [0.01, 0.99], counted.withColumnRenamed("peer_n", "n"))
+    one = F.zip_with("quantiles", "__moments", lambda q, m: F.struct(F.get(q, F.lit(0)).alias("p01"), F.get(q, F.lit(1)).alias("p99"), m["mean"].alias("mean"), m["std"].alias("std")))
+    return stored(counted.join(ends, keys).select(*keys, "peer_n", one.alias("peers")), "peers")
+
+
 def peer_stats(rows: DataFrame, keys: list[str], features: list[str], prefix: str = "") -> DataFrame:
     """Per group of non-null keys: peer_n, and p01, p99, mean and std of each feature."""
-    known = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
-    out = [F.count(F.lit(1)).alias(f"{prefix}peer_n")]
-    for f in features:
-        ends = F.percentile(f, F.array(F.lit(0.01), F.lit(0.99)))
-        out += [F.get(ends, 0).alias(f"{prefix}{f}_p01"), F.get(ends, 1).alias(f"{prefix}{f}_p99"), F.avg(f).alias(f"{prefix}{f}_mean"), F.stddev_samp(f).alias(f"{prefix}{f}_std")]
-    return rows.where(known).groupBy(*keys).agg(*out)
+    out = [F.get(F.col("peers"), i)[s].alias(f"{prefix}{f}_{s}") for i, f in enumerate(features) for s in STATISTICS]
+    return peer_table(rows, keys, features).select(*keys, F.col("peer_n").alias(f"{prefix}peer_n"), *out)
 
 
 def scaled(raw: Column, p01: Column, p99: Column, mean: Column, std: Column, lower_is_better: bool | Column = False, neutral_on_degenerate: bool = False, reflect_mean: bool = False) -> Column:
@@ -178,17 +190,20 @@ def scaled(raw: Column, p01: Column, p99: Column, mean: Column, std: Column, low
     return F.when(z.isNull(), F.lit(NEUTRAL)).otherwise(score) if neutral_on_degenerate else score
 
 
-def normalised(rows: DataFrame, features: tuple[Feature, ...] = FEATURES, levels: tuple[tuple[str, str, int], ...] = LEVELS, year: str = "calendar_year", neutral_on_degenerate: bool = False, reflect_mean: bool = False) -> DataFrame:
+def normalised(rows: DataFrame, features: tuple[Feature, ...] = FEATURES, levels: tuple[tuple[str, str, int], ...] = LEVELS, year: str = "calendar_year", neutral_on_degenerate: bool = False, reflect_mean: bool = False, statistics_from: DataFrame | None = None) -> DataFrame:
     """rows with `name`_f for each feature, against the first level with enough peers, else neutral; null stays null.
 
+    statistics_from: the same rows where reading them takes less than computing `rows` anew.
+
     A group's statistics travel as one array, and one expression over the features serves them all: a column for each
-    statistic and level would make a generated method too large for the JVM to compile.
+    statistic and level would make a generated method too large for the JVM to compile. Both levels are counted in one pass.
     """
-    raws = [f.raw for f in features]
+    of_level = F.explode(F.array(*[F.struct(F.lit(level).alias("level"), F.col(key).cast("bigint").alias("key")) for level, key, _ in levels]))
+    source = rows if statistics_from is None else statistics_from
+    peers = peer_table(source.select(of_level.alias("of"), year, *[f.raw for f in features]).select("of.*", year, *[f.raw for f in features]), ["level", "key", year], [f.raw for f in features])
     out = rows
     for level, key, _ in levels:
-        packed = F.array(*[F.struct(*[F.col(f"{raw}_{s}").alias(s) for s in ("p01", "p99", "mean", "std")]) for raw in raws])
-        stats = peer_stats(rows, [key, year], raws).select(key, year, F.col("peer_n").alias(f"__{level}_n"), packed.alias(f"__{level}"))
+        stats = peers.where(F.col("level") == level).select(F.col("key").cast(rows.schema[key].dataType).alias(key), year, F.col("peer_n").alias(f"__{level}_n"), F.col("peers").alias(f"__{level}"))
         out = out.join(stats, [key, year], "left")
     first, _, fewest = levels[0]
     n = F.coalesce(F.col(f"__{first}_n"), F.lit(0)).cast("int")
@@ -205,11 +220,6 @@ def normalised(rows: DataFrame, features: tuple[Feature, ...] = FEATURES, levels
     return out.withColumns({f"{f.name}_f": F.get("__scores", i) for i, f in enumerate(features)}).drop(*[c for c in out.columns if c.startswith("__")])
 
 
-def rank_within(rows: DataFrame, keys: list[str], value: str) -> Column:
-    """PERCENT_RANK with nulls last."""
-    return F.percent_rank().over(Window.partitionBy(*keys).orderBy(F.asc_nulls_last(value)))
-
-
 def null_safe_mean(*parts: Column) -> Column:
     """Mean in which a missing part counts as neutral."""
     return reduce(lambda a, b: a + b, [F.coalesce(p, F.lit(NEUTRAL)) for p in parts]) / F.lit(float(len(parts)))
@@ -229,13 +239,11 @@ def steady(rows: DataFrame, digits: int) -> DataFrame:
 def moat_scores(base: DataFrame, recessions: DataFrame, digits: int = 9) -> DataFrame:
     """All steps over base rows that carry market inputs, industry_sk and sector_sk.
 
-    The rolled features feed both levels of statistics and the final join, so they are stored once they are made, with
-    the ranks, which need the same rows sorted.
+    The rolled features feed the statistics, the ranks and the final join, so they are stored once they are made.
     """
-    keys = ["industry_sk", "calendar_year"]
-    features = steady(rolled(raw_ratios(base), recessions), digits)
-    ranks = {f"{m}_vs_industry_f": rank_within(features, keys, f"{m}_raw") for m in ("gross_margin", "operating_margin")}
-    return pillar_scores(normalised(stored(features.withColumns(ranks), "features"))).withColumn("wacc_f", F.col("wacc_raw"))
+    features = stored(steady(rolled(raw_ratios(base), recessions), digits), "features")
+    ranked = percent_ranks(features, ["industry_sk", "calendar_year"], {f"{m}_vs_industry_f": f"{m}_raw" for m in ("gross_margin", "operating_margin")})
+    return pillar_scores(normalised(ranked, statistics_from=features)).withColumn("wacc_f", F.col("wacc_raw"))
 
 
 # Diagnostics
