@@ -12,10 +12,10 @@ from ..operators import coverage as C
 from ..operators import fetch_plan as P
 from ..operators import ops as O
 from ..operators import report as R
-from ..operators.upsert import upsert
+from ..operators.upsert import allocate_sk, upsert
 from ..sources import bronze as B
 from ..sources.contracts import contract_from
-from ..sources.storage import current, new_path, refresh
+from ..sources.storage import current, new_path, refresh, update
 from ..streaming.promote import promote_batch, promote_stream
 from . import gold, inputs as I
 from . import ops as M
@@ -128,6 +128,65 @@ def full_refresh(spark, sf_dir):
     return current(spark, path)
 
 
+@query("U8_two_writers", f"WITH {M.BASE} SELECT dataset, CAST(sum(total_files) AS BIGINT) AS n_files FROM base GROUP BY 1")
+def two_writers(spark, sf_dir):
+    """Two writers add to one table at once: the one that comes second is asked again, and nothing is lost."""
+    path = new_path(spark, "coverage")
+    counts = C.coverage_base(I.manifest(spark, sf_dir)).groupBy("dataset").agg(F.sum("total_files").alias("n_files"))
+    early, late = counts.where("dataset < 'purchase'"), counts.where("dataset >= 'purchase'")
+    tries = []
+
+    def slow(old, noted):
+        tries.append(1)
+        if len(tries) == 1:  # the other writer comes between
+            update(spark, path, lambda o, n: (late if o is None else o.unionByName(late), n))
+        return (early if old is None else old.unionByName(early)), noted
+
+    update(spark, path, slow)
+    if len(tries) != 2:
+        raise AssertionError("the second writer was not asked again")
+    return current(spark, path)
+
+
+@query("U6_two_writers", "WITH old AS (SELECT s_name AS symbol, CAST(s_suppkey AS BIGINT) AS sk FROM supplier), one AS (SELECT * FROM old UNION ALL SELECT symbol, (SELECT max(sk) FROM old) + row_number() OVER (ORDER BY symbol) FROM (SELECT DISTINCT c_name AS symbol FROM customer)), parts AS (SELECT DISTINCT p_name AS symbol FROM part UNION SELECT c_name FROM customer) SELECT * FROM one UNION ALL SELECT symbol, (SELECT max(sk) FROM one) + row_number() OVER (ORDER BY symbol) FROM parts WHERE symbol NOT IN (SELECT symbol FROM one)")
+def two_key_writers(spark, sf_dir):
+    """Two writers number new symbols at once: no number is given twice, and a symbol that both bring gets one."""
+    path = new_path(spark, "keys")
+    symbols = lambda table, column: I.table(spark, sf_dir, table).select(F.col(column).alias("symbol"))
+    refresh(I.table(spark, sf_dir, "supplier").select(F.col("s_name").alias("symbol"), F.col("s_suppkey").cast("bigint").alias("sk")), path)
+    first, second = symbols("customer", "c_name"), symbols("part", "p_name").union(symbols("customer", "c_name"))
+    between = [lambda: update(spark, path, lambda old, noted: (allocate_sk(old, first, ["symbol"], "sk"), noted))]
+
+    def slow(old, noted):
+        keys = allocate_sk(old, second, ["symbol"], "sk")
+        if between:
+            between.pop()()
+        return keys, noted
+
+    return update(spark, path, slow)
+
+
+_EARLY = "came < TIMESTAMP '2024-01-16'"
+_LAST = "QUALIFY row_number() OVER (PARTITION BY symbol, date ORDER BY came DESC, file DESC, pos DESC) = 1"
+
+
+@query(
+    "T2_mark_store",
+    f"""WITH {SILVER}, a AS (SELECT * FROM stamped WHERE {_EARLY} {_LAST}), m AS (SELECT symbol, max(date) AS mark FROM a GROUP BY 1),
+    b AS (SELECT s.* FROM (SELECT * FROM stamped WHERE NOT ({_EARLY}) {_LAST}) s LEFT JOIN m USING (symbol) WHERE mark IS NULL OR date > mark),
+    every AS (SELECT symbol, date, close, file FROM a UNION ALL SELECT symbol, date, close, file FROM b)
+    SELECT symbol, date, close, file AS bronze_file_id, max(date) OVER (PARTITION BY symbol) AS watermark FROM every""",
+)
+def mark_store(spark, sf_dir):
+    """Two batches under marks per symbol, the second one twice: its rows that are not after their symbol's mark are late."""
+    target = new_path(spark, "silver")
+    docs = B.read_bronze(spark, landed(spark, sf_dir), lines=True)
+    early = F.col("now").try_cast("timestamp") < F.lit("2024-01-16").cast("timestamp")
+    for part in (docs.where(early), docs.where(~early | early.isNull()), docs.where(~early | early.isNull())):
+        promote_batch(spark, part, BARS, target, watermark="date", partition="year", mark_keys=("symbol",))
+    return spark.read.parquet(target).select("symbol", "date", "close", "bronze_file_id").join(current(spark, f"{target}_marks"), "symbol")
+
+
 @query("S10_create_table", f"WITH {I.PRICES} SELECT symbol, count(*) AS n FROM prices GROUP BY 1")
 def create_table(spark, sf_dir):
     path = new_path(spark, "prices")

@@ -11,8 +11,10 @@ from ..functions.dates import business_days, federal_holidays, is_annual_season,
 from ..operators import features as W
 from ..operators import moat as M
 from ..operators import star as S
+from ..operators.peers import percent_ranks
 from ..operators.upsert import allocate_sk, fill_nulls, latest_per, upsert
 from ..sources import dims as D
+from ..sources.storage import stored
 from . import inputs as I
 from .registry import query, rounded
 
@@ -343,6 +345,17 @@ def refresh(spark, sf_dir):
     return W.refresh_features(facts, price_features(spark, sf_dir).where("date_sk % 2 = 0").select("instrument_sk", "date_sk", "momentum_1m_f"), ["instrument_sk", "date_sk"])
 
 
+@query("G4_incremental_features", f"WITH {FEATURES} SELECT instrument_sk, date_sk, {_R(*W.MOMENTUM_ROWS, 'volatility_30d_f')} FROM feats")
+def incremental_features(spark, sf_dir):
+    """Features of a table that lacked a third of the instruments' rows of some days and had others wrong, renewed: those of a full build."""
+    facts = stored(fact_eod(spark, sf_dir).select("instrument_sk", "date_sk", "adj_close"), "prices")
+    late = "instrument_sk % 3 = 0 AND date_sk % 100 = 15 AND date_sk > 19950000"
+    old = facts.where(f"NOT ({late})").withColumn("adj_close", F.when(F.expr("instrument_sk % 7 = 1 AND date_sk % 1000 = 503"), F.col("adj_close") * 1.5).otherwise(F.col("adj_close")))
+    key = ["instrument_sk", "date_sk"]
+    features = stored(W.price_features(old, key[:1], key[1]), "features")
+    return rounded(W.renewed_price_features(facts, features, W.changed_rows(old, facts, key, "adj_close"), key[:1], key[1]))
+
+
 # Company score
 
 RATES = "rates AS (SELECT CAST(year(date) AS INTEGER) AS calendar_year, avg(CASE WHEN rate BETWEEN 0 AND 20 THEN rate END) / 100 AS rf FROM yields GROUP BY 1)"
@@ -446,7 +459,7 @@ normed AS (SELECT r.instrument_sk, r.calendar_year, r.wacc_raw AS wacc_f, CAST(c
   FROM steady r LEFT JOIN ind ON ind.industry_sk = r.industry_sk AND ind.calendar_year = r.calendar_year LEFT JOIN sec ON sec.sector_sk = r.sector_sk AND sec.calendar_year = r.calendar_year)"""
 _FS = [f"{f.name}_f" for f in M.FEATURES]
 query("P31_normalised_features", f"WITH {NORMED} SELECT instrument_sk, calendar_year, industry_peer_n, benchmark_level, {_R(*_FS)} FROM normed")(lambda s, d: rounded(M.normalised(steady(s, d)).select(*_KEYS, "industry_peer_n", "benchmark_level", *_FS)))
-query("W7_percent_rank", f"WITH {NORMED} SELECT instrument_sk, calendar_year, round(operating_margin_vs_industry_f, 6) AS r FROM normed")(lambda s, d: (lambda r: rounded(r.select(*_KEYS, M.rank_within(r, ["industry_sk", "calendar_year"], "operating_margin_raw").alias("r"))))(steady(s, d)))
+query("W7_percent_rank", f"WITH {NORMED} SELECT instrument_sk, calendar_year, round(operating_margin_vs_industry_f, 6) AS r FROM normed")(lambda s, d: rounded(percent_ranks(steady(s, d), ["industry_sk", "calendar_year"], {"r": "operating_margin_raw"}).select(*_KEYS, "r")))
 #: The pillars written out, apart from the library's tables, so that a wrong weight or a lost feature there shows.
 _N = "coalesce({}_f, 0.5)".format
 _PILLARS = f"""({_N("roic")} + {_N("roic_spread")} + {_N("roic_spread_5y_mean")} + {_N("roic_spread_trend")}) / 4.0 AS profitability_s,

@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 from ..operators import coverage as C
 from ..operators import fetch_plan as P
 from ..operators import ops as O
+from ..operators.coverage_state import base_of, correct, fold
+from ..sources.storage import new_path
 from . import inputs as I
 from .registry import query, rounded
 
@@ -55,6 +57,24 @@ query("A2_coverage_index", f"WITH {INDEX} SELECT * FROM idx")(index)
 query("G6_coverage_refresh", f"WITH {INDEX} SELECT domain, source, dataset, discriminator, ticker, coverage_ratio, age_days, error_rate, snapshot_count FROM idx")(
     lambda s, d: index(s, d).select("domain", "source", "dataset", "discriminator", "ticker", "coverage_ratio", "age_days", "error_rate", "snapshot_count")
 )
+
+
+def folded(spark, sf_dir):
+    """The state of a manifest that lands in three batches, each folded; files of the first are promoted later."""
+    path, state = new_path(spark, "manifest"), new_path(spark, "coverage")
+    rows = I.manifest(spark, sf_dir).withColumn("k", F.substring("file_id", 2, 20).cast("bigint") % 3)
+    promoted = rows.where("k = 0").drop("k")
+    landed = promoted.withColumns({"silver_rows_created": F.lit(None).cast("bigint"), "silver_rows_failed": F.lit(0).cast("bigint")})
+    for i in range(3):
+        (landed if i == 0 else rows.where(F.col("k") == i).drop("k")).write.parquet(f"{path}/batch={i}")
+        fold(spark, path, state)
+    return correct(spark, state, "promotion of batch 0", landed, promoted)
+
+
+query("A1_incremental_coverage", f"WITH {BASE} SELECT * FROM base")(lambda s, d: base_of(folded(s, d)))
+query("G6_incremental_index", f"WITH {INDEX} SELECT domain, source, dataset, discriminator, ticker, coverage_ratio, age_days, error_rate, snapshot_count FROM idx")(
+    lambda s, d: C.coverage_index(base_of(folded(s, d)), meta(s), TODAY, UNIVERSE_FROM).select("domain", "source", "dataset", "discriminator", "ticker", "coverage_ratio", "age_days", "error_rate", "snapshot_count")
+)
 SUMMARY = "SELECT domain, source, dataset, count(DISTINCT ticker) AS tickers_covered, round(avg(coverage_ratio), 4) AS avg_coverage_ratio, round(avg(error_rate), 4) AS avg_error_rate, max(last_ingested_at) AS last_ingested_at FROM idx GROUP BY 1, 2, 3"
 query("A3_coverage_summary", f"WITH {INDEX} {SUMMARY}")(lambda s, d: C.summary(index(s, d)))
 query("L1_weakest_coverage_first", f"WITH {INDEX} {SUMMARY} ORDER BY avg_coverage_ratio ASC NULLS LAST, dataset")(lambda s, d: C.weakest_first(C.summary(index(s, d)), "avg_coverage_ratio", "dataset"))

@@ -4,15 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators.project import project_map
+from ..operators.key_filter import add_keys, maybe_there
+from ..operators.project import project_map, watermark_filter
 from ..operators.upsert import new_rows, split_null_keys
 from ..sources.bronze import ENVELOPE, can_promote, rejection
 from ..sources.contracts import Contract
-from ..sources.storage import exists
+from ..sources.storage import current, exists, refresh, stored, update
 
 
 def silver_batch(files: DataFrame, contract: Contract) -> DataFrame:
@@ -32,42 +33,79 @@ def silver_batch(files: DataFrame, contract: Contract) -> DataFrame:
     return typed.withColumn("__n", F.row_number().over(last)).where("__n = 1").select(*names)
 
 
-def promote_batch(spark: SparkSession, files: DataFrame, contract: Contract, target: str, watermark: str | None = None, partition: str | None = None, on_batch: Callable[[DataFrame], None] | None = None) -> None:
+def promote_batch(spark: SparkSession, files: DataFrame, contract: Contract, target: str, watermark: str | None = None, partition: str | None = None, on_batch: Callable[[DataFrame], None] | None = None, mark_keys: tuple[str, ...] = ()) -> None:
     """Appends a batch's new keys to the Silver folder `target`; rows with a null key go to `target`_errors.
 
-    Doing a batch again appends nothing to either. With `watermark`, a row-date column, rows not after the largest date
-    already there are dropped. `partition` is ``year`` or ``month`` of the row date. Where the row date is part of the key, only
-    the folders of the batch's years are searched for keys that are already there, and a watermark on it is taken from the
-    last year's folders.
+    The files are read once. Doing a batch again appends nothing to either. `partition` is ``year`` or ``month`` of the row
+    date. Beside the target are
+
+    * `target`_keys, a filter of the keys that are there (:mod:`..operators.key_filter`), by year where the row date is part of the key:
+      the target is read only for keys that the filter has, in their years;
+    * `target`_marks, with `watermark`, a row-date column: the largest date promoted for each value of `mark_keys`, or
+      in all. Rows not after their mark are dropped. Marks move on after the rows are written: a batch that fails between is done
+      again under the old marks, and finds its keys there.
+
+    Either is made from the target if the target is older than it.
     """
-    rows, lost = split_null_keys(silver_batch(files, contract), list(contract.key_cols))
-    date = contract.row_date_col
+    keys, date = list(contract.key_cols), contract.row_date_col
+    batch = stored(silver_batch(files, contract), "batch")
+    rows, lost = split_null_keys(batch, keys)
     foldered = bool(partition and date)
-    old = spark.read.parquet(target) if exists(spark, target) else None
-    if old is not None:
-        if watermark:
-            held = old.where(F.col("row_year") == F.lit(old.agg(F.max("row_year")).first()[0])) if foldered and watermark == date else old
-            mark = held.agg(F.max(watermark).alias("__mark"))
-            rows = rows.crossJoin(F.broadcast(mark)).where(F.col("__mark").isNull() | (F.col(watermark) > F.col("__mark"))).drop("__mark")
-        if foldered and date in contract.key_cols:
-            span = rows.agg(F.min(F.year(date)).alias("a"), F.max(F.year(date)).alias("b")).first()
-            old = old.where(F.col("row_year").between(span["a"], span["b"])) if span["a"] is not None else old.where("false")
-        rows = new_rows(rows, old, list(contract.key_cols))
+    folder = F.year(date) if foldered and date in keys else F.lit(0)
+    there = exists(spark, target)
+    if watermark and there:
+        rows = watermark_filter(rows, _marks(spark, target, watermark, mark_keys), list(mark_keys), watermark, mode="per_identity" if mark_keys else "global")
+    due = rows  # those of a failed batch that are there already also move the marks on
+    if there:
+        rows = _unseen(rows, target, keys, folder, foldered and date in keys)
+    rows = stored(rows, "fresh")
     if on_batch:
         on_batch(rows)
+    add_keys(rows, f"{target}_keys", keys, folder)
     parts: list[str] = []
+    out = rows
     if foldered:
-        rows, parts = rows.withColumn("row_year", F.year(date)), ["row_year"]
+        out, parts = out.withColumn("row_year", F.year(date)), ["row_year"]
         if partition == "month":
-            rows, parts = rows.withColumn("row_month", F.month(date)), [*parts, "row_month"]
-    writer = rows.write.mode("append")
+            out, parts = out.withColumn("row_month", F.month(date)), [*parts, "row_month"]
+    writer = out.write.mode("append")
     (writer.partitionBy(*parts) if parts else writer).parquet(target)
+    if watermark:
+        update(spark, f"{target}_marks", lambda old, noted: (_largest(due, watermark, mark_keys, old), noted))
     errors = f"{target}_errors"
     if exists(spark, errors):  # whole rows with their file are compared, nulls alike
         lost = lost.subtract(spark.read.parquet(errors).select(*lost.columns).join(lost.select("bronze_file_id").distinct(), "bronze_file_id", "left_semi").select(*lost.columns))
     lost.write.mode("append").parquet(errors)
 
 
+def _largest(rows: DataFrame, date: str, keys: tuple[str, ...], old: DataFrame | None = None) -> DataFrame:
+    """(keys, watermark): the largest date of the rows and of older marks."""
+    marks = rows.groupBy(*keys).agg(F.max(date).alias("watermark"))
+    return marks if old is None else marks.unionByName(old).groupBy(*keys).agg(F.max("watermark").alias("watermark"))
+
+
+def _marks(spark: SparkSession, target: str, date: str, keys: tuple[str, ...]) -> DataFrame:
+    path = f"{target}_marks"
+    if not exists(spark, path):
+        return refresh(_largest(spark.read.parquet(target), date, keys), path)
+    return current(spark, path)
+
+
+def _unseen(rows: DataFrame, target: str, keys: list[str], folder: Column, by_year: bool) -> DataFrame:
+    """Rows whose keys the target lacks."""
+    spark, path = rows.sparkSession, f"{target}_keys"
+    if not exists(spark, path):
+        add_keys(spark.read.parquet(target), path, keys, folder)
+    hits = stored(maybe_there(rows, path, keys, folder), "hits")
+    span = hits.agg(F.min("folder").alias("a"), F.max("folder").alias("b")).first()
+    if span["a"] is None:
+        return rows
+    old = spark.read.parquet(target)
+    if by_year:
+        old = old.where(F.col("row_year").between(span["a"], span["b"]))
+    return new_rows(rows, old.select(*keys).join(hits.select(*keys), keys, "left_semi"), keys)
+
+
 def promote_stream(spark: SparkSession, landing: str, contract: Contract, target: str, checkpoint: str, max_files: int | None = None, lines: bool = False, **options) -> StreamingQuery:
     """Starts a run over all files not yet seen, in batches of at most `max_files`, and ends when there are none.
 
