@@ -78,19 +78,23 @@ def _pieces(data: np.ndarray, at: int, end: int) -> Iterator[tuple[int, int]]:
         at = stop
 
 
-def _cut(part: np.ndarray) -> tuple[np.ndarray, pa.Array]:
-    """(first byte, term) of each term in part; terms lower-cased."""
+def _cut(part: np.ndarray, over: int = 0) -> tuple[np.ndarray, pa.Array]:
+    """(first byte, term) of each term in part of more than `over` bytes; terms lower-cased."""
     inside = np.zeros(len(part) + 2, bool)
     np.take(IN_TERM, part, out=inside[1:-1])
     borders = np.flatnonzero(inside[1:] != inside[:-1])  # where a term begins and ends, by turns
-    bounds = np.zeros(len(borders) // 2 + 1, np.int32)
-    np.cumsum(borders[1::2] - borders[::2], out=bounds[1:])
-    terms = pa.Array.from_buffers(pa.binary(), len(bounds) - 1, [None, pa.py_buffer(bounds), pa.py_buffer(LOWER[part[inside[1:-1]]])])
-    return borders[::2], terms
+    first, sizes = borders[::2], borders[1::2] - borders[::2]
+    data = part[inside[1:-1]]
+    if over:
+        long = sizes > over
+        data, first, sizes = data[np.repeat(long, sizes)], first[long], sizes[long]
+    bounds = np.zeros(len(sizes) + 1, np.int32)
+    np.cumsum(sizes, out=bounds[1:])
+    return first, pa.Array.from_buffers(pa.binary(), len(sizes), [None, pa.py_buffer(bounds), pa.py_buffer(LOWER[data])])
 
 
-def incidences(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray, np.ndarray]:
-    """(distinct terms, document, term's place, occurrences) of each distinct pair of document and term.
+def incidences(texts: pa.Array, over: int = 0) -> tuple[pa.Array, np.ndarray, np.ndarray, np.ndarray]:
+    """(distinct terms, document, term's place, occurrences) of each distinct pair of document and term of more than `over` bytes.
 
     Each text must end outside a term, so that none goes on into the next.
     """
@@ -99,7 +103,7 @@ def incidences(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray, np.nd
     data = np.frombuffer(texts.buffers()[2], np.uint8) if len(texts) and texts.buffers()[2] is not None and offsets[-1] else np.zeros(0, np.uint8)
     names, docs, codes, counts = [], [], [], []
     for at, stop in _pieces(data, int(offsets[0]), int(offsets[-1])):
-        first, terms = _cut(data[at:stop])
+        first, terms = _cut(data[at:stop], over)
         doc = np.repeat(np.arange(len(texts)), np.diff(np.searchsorted(first, offsets.astype(np.int64) - at)))
         coded = terms.dictionary_encode()
         n = max(len(coded.dictionary), 1)
@@ -146,10 +150,8 @@ def filter_of(rows: DataFrame) -> np.ndarray:
     return out
 
 
-def _passing(bits: np.ndarray | None, langs: list[str], lang: np.ndarray, prefixes: pa.Array, code: np.ndarray) -> np.ndarray:
-    """Which of the (language, prefix) pairs a filter has; no filter has all."""
-    if bits is None:
-        return np.ones(len(code), bool)
+def _passing(bits: np.ndarray, langs: list[str], lang: np.ndarray, prefixes: pa.Array, code: np.ndarray) -> np.ndarray:
+    """Which of the (language, prefix) pairs a filter has."""
     n = max(len(prefixes), 1)
     pair, back = np.unique(lang * n + code, return_inverse=True)
     seeds, names = [xxhash.xxh64_intdigest(x.encode(), _SEED) for x in langs], prefixes.to_pylist()
@@ -159,9 +161,13 @@ def _passing(bits: np.ndarray | None, langs: list[str], lang: np.ndarray, prefix
     return (bits[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool)[back]
 
 
+def _places(coded: pa.DictionaryArray) -> np.ndarray:
+    return coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+
+
 def _coded(column: pa.Array) -> tuple[list[str], np.ndarray]:
     coded = column.dictionary_encode()
-    return coded.dictionary.to_pylist(), coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+    return coded.dictionary.to_pylist(), _places(coded)
 
 
 # Passes over the documents
@@ -182,17 +188,15 @@ def level(docs: DataFrame, done: int, length: int, survivors) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = survivors.value if survivors is not None else None
         for batch in (part for whole in batches for part in _parts(whole)):
-            terms, doc, code, _ = incidences(batch.column("text"))
+            terms, doc, code, _ = incidences(batch.column("text"), done)
             langs, lang_of = _coded(batch.column("lang"))
             size = pc.binary_length(terms).to_numpy(zero_copy_only=False)
-            parents = pc.binary_slice(terms, 0, done).dictionary_encode()
             prefixes = pc.binary_slice(terms, 0, length).dictionary_encode()
-            parent, prefix = (x.indices.to_numpy(zero_copy_only=False).astype(np.int64) for x in (parents, prefixes))
-            candidate = prefix * 2 + (size <= length)  # of each term: its prefix, and whether it is all of it
-            long = size[code] > done
-            doc, code = doc[long], code[long]
-            good = _passing(bits, langs, lang_of[doc], parents.dictionary, parent[code])
-            doc, code = doc[good], code[good]
+            candidate = _places(prefixes) * 2 + (size <= length)  # of each term: its prefix, and whether it is all of it
+            if bits is not None:
+                parents = pc.binary_slice(terms, 0, done).dictionary_encode()
+                good = _passing(bits, langs, lang_of[doc], parents.dictionary, _places(parents)[code])
+                doc, code = doc[good], code[good]
             n = 2 * max(len(prefixes.dictionary), 1)
             pair = np.unique(doc * n + candidate[code])  # a document counts once for a prefix
             group, docs_with = np.unique(lang_of[pair // n] * n + pair % n, return_counts=True)
@@ -221,25 +225,49 @@ def kept_terms(docs: DataFrame, least: int = 10, first: int = FIRST) -> DataFram
         done, length = length, 2 * length
 
 
-def occurrences(docs: DataFrame, kept: DataFrame) -> DataFrame:
-    """(lang, source, prefix, n) of the kept terms, n above 0."""
+def occurrences(docs: DataFrame, kept: DataFrame, least: int) -> DataFrame:
+    """(lang, source, prefix, n, of_lang) of the kept terms: occurrences, above 0, in the group and in its language.
+
+    What the filter lets in by chance goes by its own count of documents, which come along. A batch sends one row for a group
+    and term, dealt by language and term once for all sums.
+    """
     bits = docs.sparkSession.sparkContext.broadcast(filter_of(kept))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in (part for whole in batches for part in _parts(whole)):
-            terms, doc, code, count = incidences(batch.column("text"))
-            langs, lang_of = _coded(batch.column("lang"))
-            sources, source_of = _coded(batch.column("source"))
-            n, m = max(len(terms), 1), max(len(sources), 1)
-            group, total = _summed((lang_of[doc] * m + source_of[doc]) * n + code, count)
-            good = _passing(bits.value, langs, group // n // m, terms, group % n)
-            group, total = group[good], total[good]
+        for whole in batches:
+            langs, lang_of_all = _coded(whole.column("lang"))
+            sources, source_of_all = _coded(whole.column("source"))
+            group_of_all, at = lang_of_all * max(len(sources), 1) + source_of_all, 0
+            names, groups, codes, counts, docs_with = [], [], [], [], []
+            for batch in _parts(whole):
+                terms, doc, code, count = incidences(batch.column("text"))
+                group, lang = group_of_all[at : at + len(batch)][doc], lang_of_all[at : at + len(batch)][doc]
+                at += len(batch)
+                good = _passing(bits.value, langs, lang, terms, code)
+                group, code, count = group[good], code[good], count[good]
+                n = max(len(terms), 1)
+                pair, total = _summed(group * n + code, np.stack([count, np.ones_like(count)], axis=1))
+                used, code = np.unique(pair % n, return_inverse=True)
+                names.append(terms.take(pa.array(used)))
+                groups.append(pair // n)
+                codes.append(code + sum(map(len, names[:-1])))
+                counts.append(total[:, 0])
+                docs_with.append(total[:, 1])
+            if not names:
+                continue
+            every = pa.concat_arrays(names).dictionary_encode()
+            n = max(len(every.dictionary), 1)
+            pair, total = _summed(np.concatenate(groups) * n + _places(every)[np.concatenate(codes)], np.stack([np.concatenate(counts), np.concatenate(docs_with)], axis=1))
+            group, m = pair // n, max(len(sources), 1)
             yield pa.RecordBatch.from_arrays([
-                pa.array(langs, pa.string()).take(pa.array(group // n // m)), pa.array(sources, pa.string()).take(pa.array(group // n % m)), terms.take(pa.array(group % n)), pa.array(total, pa.int64()),
-            ], names=["lang", "source", "prefix", "n"])
+                pa.array(langs, pa.string()).take(pa.array(group // m)), pa.array(sources, pa.string()).take(pa.array(group % m)), every.dictionary.take(pa.array(pair % n)), pa.array(total[:, 0]), pa.array(total[:, 1]),
+            ], names=["lang", "source", "prefix", "n", "docs"])
 
-    counted = docs.mapInArrow(run, "lang string, source string, prefix binary, n long").groupBy("lang", "source", "prefix").agg(F.sum("n").alias("n"))
-    return counted.join(kept.select("lang", "prefix"), ["lang", "prefix"], "left_semi")
+    rows = docs.mapInArrow(run, "lang string, source string, prefix binary, n long, docs long").repartition("lang", "prefix")
+    counted = rows.groupBy("lang", "prefix", "source").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
+    of_term = Window.partitionBy("lang", "prefix")
+    summed = counted.withColumns({"of_lang": F.sum("n").over(of_term), "docs": F.sum("docs").over(of_term)})
+    return summed.where(F.col("docs") >= least).select("lang", "source", "prefix", "n", "of_lang")
 
 
 # Divergences
@@ -311,24 +339,24 @@ def divergence(docs: DataFrame, text_col: str = "text", lang_col: str = "lang",
     """(lang, source, part, item, value, rank): `pair` rows for all other sources of the language, `term` rows up to `ranks`."""
     plain = _plain(docs, text_col, lang_col, source_col)
     kept = kept_terms(plain, least)
-    counts = stored(occurrences(plain, kept), "occurrences")
+    counts = stored(occurrences(plain, kept, least), "occurrences")
     totals = counts.groupBy("lang", "source").agg(F.sum("n").alias("total"))
-    of_lang = totals.groupBy("lang").agg(F.sum("total").alias("of_lang"))
+    of_lang = totals.groupBy("lang").agg(F.sum("total").alias("lang_total"))
     sizes = kept.groupBy("lang").agg(F.count(F.lit(1)).alias("terms"))
-    every = plain.select("lang", "source").distinct().join(totals, ["lang", "source"], "left").join(of_lang, "lang", "left").join(sizes, "lang", "left").na.fill(0, ["total", "of_lang", "terms"])
+    every = plain.select("lang", "source").distinct().join(totals, ["lang", "source"], "left").join(of_lang, "lang", "left").join(sizes, "lang", "left").na.fill(0, ["total", "lang_total", "terms"])
     place = F.row_number().over(Window.partitionBy("lang").orderBy("source")).cast("bigint") - 1  # a language's sources, which pairs square
     absent = share(F.lit(0), F.col("total"), F.col("terms"))
     groups = stored(every.withColumn("place", place).withColumns({"absent": absent, "block": F.expr(f"place div {BLOCK}").cast("int"), "sources": F.count(F.lit(1)).over(Window.partitionBy("lang"))}).withColumn("blocks", F.expr(f"(sources - 1) div {BLOCK} + 1").cast("int")).drop("sources"), "groups")
     # Ranked terms
     p = share(F.col("n"), F.col("total"), F.col("terms"))
     shares = counts.join(groups, ["lang", "source"]).withColumn("p", p)
-    q = share(F.sum("n").over(Window.partitionBy("lang", "prefix")), F.col("of_lang"), F.col("terms"))
+    q = share(F.col("of_lang"), F.col("lang_total"), F.col("terms"))
     best = Window.partitionBy("lang", "source").orderBy(F.desc("value"), "item")
     terms = shares.withColumn("q", q).where("p > q").select("lang", "source", F.lit("term").alias("part"), F.col("prefix").cast("string").alias("item"), apart(F.col("p"), F.col("q")).alias("value"))
     terms = terms.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= ranks)
     # Pairs of sources
     slices = max(1, -(-counts.count() // SLICE_ROWS))
-    pairs = pair_values(shares.select("lang", "prefix", "place", "block", "blocks", "p"), groups.drop("total", "of_lang"), slices)
+    pairs = pair_values(shares.select("lang", "prefix", "place", "block", "blocks", "p"), groups.drop("total", "lang_total"), slices)
     pairs = pairs.select("lang", "source", F.lit("pair").alias("part"), "item", "value").withColumn("rank", F.row_number().over(best))
     return pairs.unionByName(terms)
 
