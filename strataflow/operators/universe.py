@@ -11,6 +11,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .asof import as_of_join
 from .upsert import latest_per
 
 
@@ -153,3 +154,19 @@ def derived_metrics(symbols: DataFrame, prices: DataFrame, shares: DataFrame, sc
     for side in (bars, known, last):
         out = out.join(side, "ticker", "left")
     return out.select(F.col("ticker").alias("symbol"), day.alias("as_of_date"), "avg_dollar_volume_30d", "avg_dollar_volume_90d", "bar_coverage_1y", (F.col("close") * F.col("outstanding_shares")).alias("market_cap"), "exchange", "sector")
+
+
+def market_caps(wanted: DataFrame, prices: DataFrame, shares: DataFrame) -> DataFrame:
+    """wanted (symbol, as_of_date) with market_cap: the close on the day times the latest shares known then, for any set of dates.
+
+    prices (ticker, date, close), one row for a day; shares (ticker, date, outstanding_shares). What isn't known is null.
+    """
+    known = shares.select(F.col("ticker").alias("symbol"), F.col("date").alias("as_of_date"), "outstanding_shares")
+    dated = as_of_join(wanted.select("symbol", "as_of_date").distinct(), known, ["symbol"], "as_of_date", ["outstanding_shares"])
+    closes = prices.select(F.col("ticker").alias("symbol"), F.col("date").alias("as_of_date"), "close")
+    return dated.join(closes, ["symbol", "as_of_date"], "left").select("symbol", "as_of_date", (F.col("close") * F.col("outstanding_shares")).alias("market_cap"))
+
+
+def caps_in_range(wanted: DataFrame, caps: DataFrame, low: float | None = None, high: float | None = None, within: int | None = None) -> DataFrame:
+    """wanted (ticker, date) whose latest market cap by then lies in the range, with it; caps (ticker, date, market_cap)."""
+    return as_of_join(wanted, caps, ["ticker"], "date", ["market_cap"], within).where(F.col("market_cap").isNotNull() & cap_between(low, high))

@@ -111,6 +111,31 @@ query(
 )(lambda s, d: rounded(metrics(s, d)))
 query("A21_dollar_volume", f"WITH {METRICS} SELECT symbol, round(v30, 6) AS avg_dollar_volume_30d, round(cover, 4) AS bar_coverage_1y FROM w LEFT JOIN bars USING (symbol)")(lambda s, d: rounded(metrics(s, d).select("symbol", "avg_dollar_volume_30d", "bar_coverage_1y")))
 query("A22_market_cap", f"WITH {METRICS} SELECT symbol, round(c * n, 6) AS market_cap FROM w LEFT JOIN bars USING (symbol) LEFT JOIN sh USING (symbol)")(lambda s, d: rounded(metrics(s, d).select("symbol", "market_cap")))
+@query(
+    "A22_market_cap_dates",
+    f"""WITH {I.PRICES}, sh AS (SELECT 'S' || CAST(o_custkey % 120 AS VARCHAR) AS symbol, CAST(o_orderdate AS DATE) AS d, max(o_orderkey) AS n FROM orders GROUP BY 1, 2),
+    w AS (SELECT DISTINCT symbol, date FROM prices UNION SELECT symbol, date + 1 FROM prices)
+    SELECT w.symbol, w.date AS as_of_date, round(p.adj_close * sh.n, 6) AS market_cap FROM w ASOF LEFT JOIN sh ON w.symbol = sh.symbol AND w.date >= sh.d LEFT JOIN prices p ON p.symbol = w.symbol AND p.date = w.date""",
+)
+def market_cap_dates(s, d):
+    """Market caps of all symbols on each day that they trade, and on the day after, whether they trade then or not."""
+    _, p, shares, _ = metric_inputs(s, d)
+    days = p.select(F.col("ticker").alias("symbol"), F.col("date").alias("as_of_date"))
+    return rounded(U.market_caps(days.union(days.withColumn("as_of_date", F.date_add("as_of_date", 1))), p, shares))
+
+
+@query(
+    "J10_caps_in_range_dates",
+    f"""WITH {CAPS}, w AS (SELECT DISTINCT 'P' || CAST(l_partkey AS VARCHAR) AS ticker, CAST(l_shipdate AS DATE) + l_linenumber * 40 AS date FROM lineitem)
+    SELECT w.ticker, w.date, market_cap FROM w ASOF JOIN caps ON w.ticker = caps.ticker AND w.date >= caps.date WHERE market_cap BETWEEN 20000 AND 60000 AND w.date - caps.date <= 200""",
+)
+def caps_in_range_dates(s, d):
+    """Parts whose latest cap, up to 200 days old, lies in the range on days after their sales."""
+    day = F.date_add(F.col("l_shipdate").cast("date"), F.col("l_linenumber") * 40)
+    wanted = T(s, d, "lineitem").select(F.concat(F.lit("P"), F.col("l_partkey").cast("string")).alias("ticker"), day.alias("date")).distinct()
+    return U.caps_in_range(wanted, caps(s, d), 20000, 60000, within=200)
+
+
 query("J9_restrict_to_symbols", f"WITH {METRICS} SELECT symbol, count(*) AS bars FROM px WHERE symbol IN (SELECT symbol FROM w) GROUP BY 1")(
     lambda s, d: (lambda w, p, *_: p.where((F.col("date") <= F.lit(PRICE_DAY)) & (F.col("date") > F.add_months(F.lit(PRICE_DAY), -12))).join(w.distinct(), F.col("ticker") == F.col("symbol"), "left_semi").groupBy(F.col("ticker").alias("symbol")).agg(F.count(F.lit(1)).alias("bars")))(*metric_inputs(s, d))
 )
