@@ -7,6 +7,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from ..operators import coverage as C
+from ..operators import distinct_counts as D
 from ..operators import fetch_plan as P
 from ..operators import ops as O
 from ..operators.coverage_state import base_of, correct, fold
@@ -285,3 +286,34 @@ def floors(spark, sf_dir):
     w = windows(spark, sf_dir)
     results = w.select(*C.IDENTITY, (F.ascii(F.right("ticker", F.lit(1))) % 3).cast("bigint").alias("n_rows"), F.date_add("from_date", 10).alias("earliest"))
     return P.next_floors(w, results)
+
+
+def ticker_bitmaps(spark, sf_dir) -> str:
+    """Bitmaps of a manifest that comes in three batches, one of them twice."""
+    path, numbers = new_path(spark, "bitmaps"), new_path(spark, "tickers")
+    rows = I.manifest(spark, sf_dir).select("dataset", "ticker", "bronze_injest_start_time", (F.substring("file_id", 2, 20).cast("bigint") % 3).alias("k"))
+    for i in (0, 1, 2, 1):
+        part = rows.where(F.col("k") == i)
+        D.add_rows(part, D.number_tickers(spark, numbers, part), path, F.col("bronze_injest_start_time").cast("date"))
+    return path
+
+
+_GRAINS = {"day": "CAST(bronze_injest_start_time AS DATE)", "week": "CAST(date_trunc('week', bronze_injest_start_time) AS DATE)", "month": "CAST(date_trunc('month', bronze_injest_start_time) AS DATE)"}
+_ROLLED = " UNION ALL ".join(f"SELECT '{g}' AS grain, dataset, {e} AS start, count(DISTINCT ticker) AS n_tickers FROM manifest WHERE ticker <> '' GROUP BY ALL" for g, e in _GRAINS.items())
+
+
+@query("A28_distinct_rollup", f"WITH {I.MANIFEST} {_ROLLED}")
+def distinct_rollup(spark, sf_dir):
+    """Distinct tickers of each dataset by day, week and month, all from the bitmaps of days."""
+    path = ticker_bitmaps(spark, sf_dir)
+    parts = [D.distinct_tickers(spark, path, by={"dataset": F.col("dataset"), "start": F.date_trunc(g, "day").cast("date")}).select(F.lit(g).alias("grain"), "dataset", "start", "n_tickers") for g in _GRAINS]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+_RANGE = (dt.date(2024, 1, 9), dt.date(2024, 1, 20))
+
+
+@query("A25_universe_share_of_range", f"WITH {I.MANIFEST} SELECT dataset, round(count(DISTINCT ticker) * 100.0::DOUBLE / 60, 2) AS universe_pct FROM manifest WHERE ticker <> '' AND CAST(bronze_injest_start_time AS DATE) BETWEEN DATE '{_RANGE[0]}' AND DATE '{_RANGE[1]}' GROUP BY 1")
+def universe_share_of_range(spark, sf_dir):
+    """Share of 60 tickers that each dataset had files of in a range of days."""
+    return D.universe_share(D.distinct_tickers(spark, ticker_bitmaps(spark, sf_dir), *_RANGE), 60)

@@ -242,3 +242,28 @@ def test_a_failed_batch_is_done_again(spark, sf, monkeypatch):
     Q.promote_batch(spark, second, contract, failing, **options)
     assert silver(spark, failing) == silver(spark, plain)
     assert collected(K.current(spark, f"{failing}_marks")) == collected(K.current(spark, f"{plain}_marks"))
+
+
+# Distinct counts
+
+
+def test_bitmaps_count_any_range_exactly(spark):
+    """Batches in any order and twice, more tickers than a block holds, numbers that never change."""
+    from strataflow.operators import distinct_counts as D
+
+    rng = random.Random(4)
+    day = dt.date(2024, 1, 25)
+    rows = [(rng.choice("ab"), rng.choice([None, "", *(f"T{i}" for i in range(400))]), day + dt.timedelta(rng.randrange(20))) for _ in range(3000)]
+    path, numbers = K.new_path(spark, "bitmaps"), K.new_path(spark, "numbers")
+    frame = spark.createDataFrame(rows, "dataset string, ticker string, d date")
+    assert D.distinct_tickers(spark, path).count() == 0
+    first = None
+    for part in (frame.where("dataset = 'b'"), frame, frame.where("d > DATE '2024-02-01'")):
+        known = D.number_tickers(spark, numbers, part)
+        first = first or {r[0]: r[1] for r in known.collect()}
+        D.add_rows(part, known.withColumn("ticker_no", F.col("ticker_no") * 1000), path, F.col("d"))  # spread over blocks
+    last = {r[0]: r[1] for r in K.current(spark, numbers).collect()}
+    assert last.items() >= first.items() and sorted(last.values()) == list(range(1, len(last) + 1))
+    for a, b in ((None, None), (day, day), (day + dt.timedelta(3), day + dt.timedelta(11)), (None, day + dt.timedelta(8))):
+        want = {k: len({t for x, t, d in rows if x == k and t and (a is None or d >= a) and (b is None or d <= b)}) for k in "ab"}
+        assert {r.dataset: r.n_tickers for r in D.distinct_tickers(spark, path, a, b).collect()} == want
