@@ -336,7 +336,8 @@ def repeated_spans(docs: DataFrame, match: int = MATCH, gram: int = GRAM, shard_
     ranges = marks.groupBy("anchor", "piece").agg(F.collect_set(F.struct("begin", "stop")).alias("ranges"))  # at most one for each window
     ranges = stored(ranges, "ranges")
     spots = live.join(ranges, ["anchor", "piece"]).select("id", "tag", F.explode("ranges").alias("r"), "start")
-    return spots.groupBy("id", "tag").agg(F.collect_list(F.struct((F.col("start") + F.col("r.begin")).alias("a"), (F.col("start") + F.col("r.stop") + (match - 1)).alias("b"))).alias("spans"))
+    # A set: rows that repeat an id and text have the same spans, which all of them meet below.
+    return spots.groupBy("id", "tag").agg(F.collect_set(F.struct((F.col("start") + F.col("r.begin")).alias("a"), (F.col("start") + F.col("r.stop") + (match - 1)).alias("b"))).alias("spans"))
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", match: int = MATCH, gram: int = GRAM, shard_pieces: int = SHARD_PIECES, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:

@@ -106,3 +106,15 @@ def test_common_prefixes_decide(monkeypatch):
     assert (asked[0] < 200).any() and (asked[0] == 200).any()
     seen = Counter(c[i : i + 200] for c in chunks for i in range(len(c) - 199))
     assert [f.tolist() for f in flags] == [[seen[c[i : i + 200]] > 1 for i in range(len(c) - 199)] for c in chunks]
+
+
+def test_spans_of_repeated_rows_grow_with_the_text_not_with_the_rows(documents):
+    """2,000 equal rows without an id: each meets the text's spans once."""
+    text = "".join(chr(97 + i * i % 23) for i in range(700))
+    rows = [(None, text)] * 2000 + [(1, text[:300]), (2, "clean")]
+    raw = documents(rows).select(F.col("doc_id").alias("id"), F.xxhash64("text").alias("tag"), F.col("text").cast("binary").alias("raw"))
+    few = documents([(None, text)] * 2).select(F.col("doc_id").alias("id"), F.xxhash64("text").alias("tag"), F.col("text").cast("binary").alias("raw"))
+    spans = lambda df: S.repeated_spans(df).where("id IS NULL").select(F.size("spans")).first()[0]
+    assert spans(raw) <= 2 * spans(few) + 4
+    done = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans) for r in S.remove_repeats(documents(rows)).distinct().collect()}
+    assert done == {None: (700, 700, 1), 1: (300, 300, 1), 2: (5, 0, 0)}
