@@ -9,8 +9,7 @@ Candidates that disagree anywhere (a collision) are told apart by the SHA-256 of
 before rows meet them, so that a join's large partitions (a group of copies with a third of the rows) can be split.
 
 Edge cases: a null text counts as empty and all empty texts are one group; a null id is an id like any other;
-rows repeating an id in one group share its decision; :func:`drop_copies` goes by id and text together, so that one
-row of each group stays whatever the ids are: the one with the most code points, then the smallest id (null last), then
+one row of each group stays whatever the ids are, and whichever of rows that repeat id and text: the one with the most code points, then the smallest id (null last), then
 the smaller SHA-256 of its text; columns besides id and text are ignored by :func:`exact_groups` and kept by
 :func:`drop_copies`, whatever their names; an empty table gives an empty result.
 """
@@ -115,7 +114,7 @@ def _decided(docs: DataFrame, id_col: str, text_col: str, chunk: int) -> DataFra
     marks = stored(
         rows.select(F.struct("id", F.sha2("text", 256).alias("said")).alias("id"), F.length("text").cast("long").alias("n_points"), raw)
         .mapInArrow(lambda batches: _fingerprints(batches, chunk), f"id struct<id: {kind}, said: string>, n_points long, fp long, n_bytes long, sha string")
-        .select("id.id", "id.said", "n_points", "fp", "n_bytes", "sha"),
+        .select("id.id", "id.said", "n_points", "fp", "n_bytes", "sha", F.monotonically_increasing_id().alias("row")),
         "fingerprints",
     )
     several = stored(marks.groupBy("fp", "n_bytes").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("fp", "n_bytes"), "several")
@@ -134,22 +133,22 @@ def _decided(docs: DataFrame, id_col: str, text_col: str, chunk: int) -> DataFra
     else:
         keyed = marks.join(collided, ["fp", "n_bytes"], "left").withColumn("told", F.when(F.col("collided"), F.col("sha")).otherwise(F.lit("")))
     key = ["fp", "n_bytes", "told"]
-    best = F.struct((-F.col("n_points")).alias("p"), F.col("id").isNull().alias("z"), F.col("id").alias("i"), F.col("said").alias("s"))
+    best = F.struct((-F.col("n_points")).alias("p"), F.col("id").isNull().alias("z"), F.col("id").alias("i"), F.col("said").alias("s"), F.col("row").alias("r"))
     groups = stored(keyed.groupBy(*key).agg(F.count(F.lit(1)).alias("group_size"), F.min(best).alias("best")), "groups")
-    return keyed.join(groups, key).select("id", "said", "sha", "group_size", "best")
+    return keyed.join(groups, key).select("id", "said", "sha", "group_size", "best", (F.col("row") == F.col("best.r")).alias("kept"))
 
 
 def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", chunk: int = CHUNK) -> DataFrame:
     """One row per row of docs: id, keep_id, group_size, kept, text_sha256.
 
     Of equal normalised texts the row with the most code points in the original text stays, then the smallest
-    id (null ids last).
+    id (null ids last), then the smallest digest of the original text; of rows that repeat both, one stays.
     """
     return _decided(docs, id_col, text_col, chunk).select(
         F.col("id").alias(id_col),
         F.col("best.i").alias("keep_id"),
         "group_size",
-        F.col("id").eqNullSafe(F.col("best.i")).alias("kept"),
+        "kept",
         F.col("sha").alias("text_sha256"),
     )
 
@@ -175,12 +174,11 @@ def keep_keys(docs: DataFrame, own: Column, stay: DataFrame) -> DataFrame:
 #: The query's contract in DuckDB SQL.
 ORACLE = r"""
 WITH t AS (
-  SELECT doc_id, length(coalesce(text, '')) AS n, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') AS norm
+  SELECT doc_id, coalesce(text, '') AS text, length(coalesce(text, '')) AS n, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') AS norm
   FROM documents
 ), g AS (
-  SELECT doc_id, norm, count(*) OVER (PARTITION BY norm) AS group_size,
-         first_value(doc_id) OVER (PARTITION BY norm ORDER BY n DESC, doc_id) AS keep_id
-  FROM t
+  SELECT doc_id, norm, count(*) OVER (PARTITION BY norm) AS group_size, first_value(doc_id) OVER stay AS keep_id, row_number() OVER stay = 1 AS kept
+  FROM t WINDOW stay AS (PARTITION BY norm ORDER BY n DESC, doc_id NULLS LAST, sha256(text))
 )
-SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(norm) AS text_sha256 FROM g
+SELECT doc_id, keep_id, group_size, kept, sha256(norm) AS text_sha256 FROM g
 """

@@ -11,17 +11,19 @@ def brute(rows):
     for i, t in rows:
         groups.setdefault((t or "").translate(str.maketrans("", "", " \t\n\x0b\x0c\r")), []).append((-len(t or ""), i is None, i))
     best = {k: min(v, key=lambda x: (x[0], x[1], x[2] or 0))[2] for k, v in groups.items()}
-    out = []
+    out, stays = [], set()
     for i, t in rows:
         k = (t or "").translate(str.maketrans("", "", " \t\n\x0b\x0c\r"))
-        out.append((i, best[k], len(groups[k]), i == best[k], hashlib.sha256(k.encode()).hexdigest()))
+        kept = i == best[k] and k not in stays and (-len(t or ""), i is None, i) == min(groups[k], key=lambda x: (x[0], x[1], x[2] or 0))
+        stays |= {k} if kept else set()
+        out.append((i, best[k], len(groups[k]), kept, hashlib.sha256(k.encode()).hexdigest()))
     return sorted(out, key=repr)
 
 
 def test_matches_brute_force_with_nulls_ties_and_long_texts(documents):
     rng = random.Random(3)
     texts = [None, "", " \n\t", "a b", "ab", "a  b", "ä b\x0b", "äb", "x" * 200_000, "x" * 199_999 + " x", "\xa0a", "a"]
-    rows = [(i, rng.choice(texts)) for i in range(60)] + [(100, "a b"), (100, "a b"), (None, "only")]
+    rows = [(i, rng.choice(texts)) for i in range(60)] + [(100, "a b"), (100, "a b"), (None, "only"), (None, "on ly"), (None, "on ly"), (None, "o nly"), (7, "x y"), (7, "x  y"), (7, "x\ty ")]
     got = X.exact_groups(documents(rows), chunk=1000)
     assert sorted([tuple(r) for r in got.collect()], key=repr) == brute(rows)
 
