@@ -16,13 +16,15 @@ and seed, so reruns agree.
 DataFrame functions only. The table of sources is small (a row for each source) and is ranked in one window.
 
 Edge cases: a null text has size 0 and is never taken; a null source is a source of its own, last in order;
-rows that repeat an id, source and text are one unit, taken or left together; rows that share only their id, null or
-not, are units of their own; an empty table gives an empty result; other columns are kept by :func:`mix_documents`,
+rows that repeat an id, source and text are one unit, whose copies are dealt to them evenly, so that they round apart by one
+copy at most; rows that share only their id, null or not, are units of their own; an empty table gives an empty result; other columns are kept by :func:`mix_documents`,
 whatever their names.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -119,10 +121,10 @@ def round_fractions(units: DataFrame, block: int = BLOCK, seed: int = SEED) -> D
 
 
 def plan_mix(sized: DataFrame, weights: tuple[float, ...] = WEIGHTS, most: float = MOST, seed: int = SEED) -> DataFrame:
-    """Rows (id, source, size) -> one row per distinct (id, source, size): source_size, target and copies."""
+    """Rows (id, source, size) -> one row per distinct (id, source, size): rows, source_size, target and copies of all of them."""
     targets = source_targets(sized, weights, most)
     units = sized.groupBy("id", "source", "size").agg(F.count(F.lit(1)).alias("rows"))
-    rate = F.coalesce(F.try_divide(F.col("target"), F.col("source_size")), F.lit(0.0))
+    rate = F.coalesce(F.try_divide(F.col("target"), F.col("source_size")), F.lit(0.0)) * F.col("rows")
     floor = F.floor(F.col("rate") + TINY)
     wanted = (
         units.join(targets.withColumnRenamed("source", "s"), F.col("source").eqNullSafe(F.col("s")))
@@ -131,10 +133,26 @@ def plan_mix(sized: DataFrame, weights: tuple[float, ...] = WEIGHTS, most: float
         .withColumn("part", F.greatest(F.lit(0.0), F.col("rate") - floor))
         .withColumn("part", F.when(F.col("part") < TINY, 0.0).otherwise(F.col("part")))
     )
-    rounded = round_fractions(wanted.select("source", "id", (F.col("size") * F.col("rows")).alias("size"), "part"), seed=seed)
+    rounded = round_fractions(wanted.select("source", "id", "size", "part"), seed=seed)
     taken = rounded.where("take = 1").select(F.col("source").alias("s2"), F.col("id").alias("i2"), F.col("size").alias("z2"))
-    same = F.col("source").eqNullSafe(F.col("s2")) & F.col("id").eqNullSafe(F.col("i2")) & (F.col("size") * F.col("rows") == F.col("z2"))
-    return wanted.join(taken, same, "left").select("id", "source", "size", "source_size", "target", (F.col("whole") + F.col("z2").isNotNull().cast("long")).alias("copies"))
+    same = F.col("source").eqNullSafe(F.col("s2")) & F.col("id").eqNullSafe(F.col("i2")) & (F.col("size") == F.col("z2"))
+    return wanted.join(taken, same, "left").select("id", "source", "size", "rows", "source_size", "target", (F.col("whole") + F.col("z2").isNotNull().cast("long")).alias("copies"))
+
+
+def _dealt(rows: DataFrame, unit: list[str], n: str, of: str, part: str) -> DataFrame:
+    """rows, of which `of` are alike in `unit`, with their unit's n copies dealt to them: some get one more than others.
+
+    Rows are counted inside the partitions that they were stored in, and partitions are offset by those before them.
+    """
+    inside, before, row = unused("inside", "before", "row", taken=rows.columns)
+    own = stored(rows.withColumn(part, F.spark_partition_id()), "repeats")
+    counts = own.groupBy(*map(named, unit), part).agg(F.count(F.lit(1)).alias(inside))
+    earlier = Window.partitionBy(*map(named, unit)).orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
+    starts = counts.select(*[named(c).alias(f"{row}{i}") for i, c in enumerate(unit)], F.col(part).alias(row), F.coalesce(F.sum(inside).over(earlier), F.lit(0)).alias(before))
+    met = own.join(starts, reduce(lambda a, b: a & b, [named(c).eqNullSafe(F.col(f"{row}{i}")) for i, c in enumerate(unit)]) & (own[part] == starts[row]))
+    place = F.col(before) + F.row_number().over(Window.partitionBy(*map(named, unit), part).orderBy(F.lit(1)))
+    copies = F.floor(F.col(n) / F.col(of)) + (place <= F.col(n) % F.col(of)).cast("long")
+    return met.withColumn(n, copies.cast("long")).select(*map(named, rows.columns))
 
 
 def _unit(id_col: str, text_col: str) -> Column:
@@ -146,22 +164,34 @@ def _planned(docs: DataFrame, id_col: str, text_col: str, source_col: str, weigh
     """(sizes of all rows, plan of all units)."""
     sized = docs.select(_unit(id_col, text_col).alias("id"), named(source_col).alias("source"), n_words(text_col).alias("size"), named(id_col).alias("doc"))
     sized = stored(sized, "sizes")
-    return sized, plan_mix(sized.drop("doc"), weights, most, seed)
+    return sized, stored(plan_mix(sized.drop("doc"), weights, most, seed), "plan")
 
 
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights: tuple[float, ...] = WEIGHTS, most: float = MOST, seed: int = SEED) -> DataFrame:
     """One row per row of docs: id, size, source_size, target, taken (words, repeats counted), copies."""
     sized, plan = _planned(docs, id_col, text_col, source_col, weights, most, seed)
-    plan = plan.select(F.col("id").alias("i"), F.col("source").alias("s"), "source_size", "target", "copies")
-    joined = sized.join(plan, (F.col("id") == F.col("i")) & F.col("source").eqNullSafe(F.col("s")))
+
+    def of(planned: DataFrame) -> DataFrame:
+        planned = planned.select(F.col("id").alias("i"), F.col("source").alias("s"), "rows", "source_size", "target", "copies")
+        return sized.join(planned, (F.col("id") == F.col("i")) & F.col("source").eqNullSafe(F.col("s"))).drop("i", "s")
+
+    joined = of(plan.where("rows = 1"))
+    if not plan.where("rows > 1").isEmpty():
+        joined = joined.unionByName(_dealt(of(plan.where("rows > 1")), ["id", "source"], "copies", "rows", "part"))
     return joined.select(F.col("doc").alias(id_col), "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"), "copies")
 
 
 def mix_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights: tuple[float, ...] = WEIGHTS, most: float = MOST, seed: int = SEED) -> DataFrame:
     """docs with every row repeated as often as the mix takes it; rows taken no time go."""
     _, plan = _planned(docs, id_col, text_col, source_col, weights, most, seed)
-    unit, of, n, copy = unused("unit", "of", "copies", "copy", taken=docs.columns)
-    taken = plan.where("copies > 0").select(F.col("id").alias(unit), F.col("source").alias(of), F.col("copies").cast("int").alias(n))
+    unit, of, n, alike, copy, part = unused("unit", "of", "copies", "rows", "copy", "part", taken=docs.columns)
     own = docs.withColumn(unit, _unit(id_col, text_col))
-    joined = own.join(taken, (own[unit] == taken[unit]) & named(source_col).eqNullSafe(F.col(of)))
-    return joined.withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(n)))).select(*[named(c) for c in docs.columns])
+
+    def met(planned: DataFrame) -> DataFrame:
+        taken = planned.where("copies > 0").select(F.col("id").alias(unit), F.col("source").alias(of), F.col("copies").alias(n), F.col("rows").alias(alike))
+        return own.join(taken, (own[unit] == taken[unit]) & named(source_col).eqNullSafe(F.col(of))).drop(taken[unit])
+
+    joined = met(plan.where("rows = 1"))
+    if not plan.where("rows > 1").isEmpty():
+        joined = joined.unionByName(_dealt(met(plan.where("rows > 1")), [unit, of], n, alike, part).where(F.col(n) > 0))
+    return joined.withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(n).cast("int")))).select(*[named(c) for c in docs.columns])

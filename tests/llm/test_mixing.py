@@ -88,3 +88,17 @@ def test_same_id_in_two_sources_and_any_column_names(spark):
     want = slow_targets({"a": 160, "b": 1600, "c": 160})
     took = {r["source"]: r["n"] for r in out.groupBy("source").agg(F.sum(M.n_words("text")).alias("n")).collect()}
     assert all(abs(took[s] - want[s]) <= 8 for s in want)
+
+
+@pytest.mark.parametrize("ids", [(None,), (5,), (5, 6)])
+def test_equal_rows_round_apart(documents, ids):
+    """A hundred equal rows of a source meet its target within one document, in rows and in documents."""
+    rows = [(ids[i % len(ids)], "one two three four", None, "a") for i in range(100)] + [(1000 + i, "w " * 9, None, "b") for i in range(50)]
+    frame = documents(rows).repartition(7)
+    want = slow_targets({"a": 400, "b": 450})
+    got = M.mix(frame).collect()
+    assert len(got) == 150 and all(0 <= r.taken <= 3 * r.size for r in got)
+    equal = [r for r in got if r.size == 4]
+    assert abs(sum(r.taken for r in equal) - want["a"]) <= 4 * len(ids) and max(r.copies for r in equal) - min(r.copies for r in equal) <= 1
+    out = M.mix_documents(frame.withColumn("part", F.lit(1)))
+    assert out.columns == [*frame.columns, "part"] and out.where("source = 'a'").count() == sum(r.copies for r in equal)
