@@ -145,7 +145,7 @@ def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     wanted = members.select("node").union(first.select("a")).union(first.select("b")).distinct()
     one = marks.join(wanted, "node", "left_semi").groupBy("node").agg(F.min(F.struct(F.col("id").isNull().alias("z"), "id", "said")).alias("best"))
     one = one.select("node", row_key(F.col("best.id"), F.col("best.said")).alias("__key"))
-    texts = rows.select(row_key(F.col("id"), F.col("said")).alias("__key"), "raw").join(one, "__key").select("node", "raw")
+    texts = rows.select(row_key(F.col("id"), F.col("said")).alias("__key"), "raw").join(one, "__key").dropDuplicates(["__key"]).select("node", "raw")  # equal rows share a key
     grams = stored(texts.mapInArrow(lambda batches: _sets(batches, shingle), "node binary, grams binary"), "near_sets")
 
     edges = stored(_checked(first, grams, least), "near_edges")
