@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..sources.storage import stored
 from .features import growth, ratio_of_changes, series, slope, trailing
-from .peers import group_quantiles, percent_ranks
+from .peers import group_quantiles, group_sizes, known_keys, percent_ranks
 
 #: Country names of the risk-premium source and their ISO codes.
 COUNTRY_CODES = {
@@ -157,16 +157,18 @@ def rolled(raw: DataFrame, recessions: DataFrame, entity: str = "instrument_sk",
 STATISTICS = ("p01", "p99", "mean", "std")
 
 
-def peer_table(rows: DataFrame, keys: list[str], features: list[str]) -> DataFrame:
-    """Per group of non-null keys: peer_n, and `peers`, an array with the STATISTICS of each feature; stored."""
-    known = rows.where(reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys]))
-    moments = F.array(*[F.struct(F.avg(f).alias("mean"), F.stddev_samp(f).alias("std")) for f in features])
-    counted = stored(known.groupBy(*keys).agg(F.count(F.lit(1)).alias("peer_n"), moments.alias("__moments")), "peers")
+def peer_table(rows: DataFrame, keys: list[str], features: list[str], sizes: DataFrame | None = None) -> DataFrame:
+    """Per group of non-null keys: peer_n, and `peers`, an array with the STATISTICS of each feature; stored.
+
+    sizes: the groups' sizes, if the caller has them.
+    """
+    n = F.count(F.lit(1)).alias("peer_n")
     if not features:
-        return counted.select(*keys, "peer_n", F.array().alias("peers"))
-    ends = group_quantiles(known, keys, features, [0.01, 0.99], counted.withColumnRenamed("peer_n", "n"))
+        return stored(known_keys(rows, keys).groupBy(*keys).agg(n, F.array().alias("peers")), "peers")
+    moments = F.array(*[F.struct(F.avg(f).alias("mean"), F.stddev_samp(f).alias("std")) for f in features]).alias("__moments")
+    found = group_quantiles(rows, keys, features, [0.01, 0.99], sizes, beside=[n, moments])
     one = F.zip_with("quantiles", "__moments", lambda q, m: F.struct(F.get(q, F.lit(0)).alias("p01"), F.get(q, F.lit(1)).alias("p99"), m["mean"].alias("mean"), m["std"].alias("std")))
-    return stored(counted.join(ends, keys).select(*keys, "peer_n", one.alias("peers")), "peers")
+    return stored(found.select(*keys, "peer_n", one.alias("peers")), "peers")
 
 
 def peer_stats(rows: DataFrame, keys: list[str], features: list[str], prefix: str = "") -> DataFrame:
@@ -190,17 +192,23 @@ def scaled(raw: Column, p01: Column, p99: Column, mean: Column, std: Column, low
     return F.when(z.isNull(), F.lit(NEUTRAL)).otherwise(score) if neutral_on_degenerate else score
 
 
-def normalised(rows: DataFrame, features: tuple[Feature, ...] = FEATURES, levels: tuple[tuple[str, str, int], ...] = LEVELS, year: str = "calendar_year", neutral_on_degenerate: bool = False, reflect_mean: bool = False, statistics_from: DataFrame | None = None) -> DataFrame:
+def by_level(rows: DataFrame, levels: tuple[tuple[str, str, int], ...], year: str, columns: list[str]) -> DataFrame:
+    """(level, key, year, columns): each row once for each level."""
+    each = F.explode(F.array(*[F.struct(F.lit(level).alias("level"), F.col(key).cast("bigint").alias("key")) for level, key, _ in levels]))
+    return rows.select(each.alias("of"), year, *columns).select("of.*", year, *columns)
+
+
+def normalised(rows: DataFrame, features: tuple[Feature, ...] = FEATURES, levels: tuple[tuple[str, str, int], ...] = LEVELS, year: str = "calendar_year", neutral_on_degenerate: bool = False, reflect_mean: bool = False, statistics_from: tuple[DataFrame, DataFrame] | None = None) -> DataFrame:
     """rows with `name`_f for each feature, against the first level with enough peers, else neutral; null stays null.
 
-    statistics_from: the same rows where reading them takes less than computing `rows` anew.
+    statistics_from: the same rows where reading them takes less than computing `rows` anew, and the sizes of their groups by level.
 
     A group's statistics travel as one array, and one expression over the features serves them all: a column for each
     statistic and level would make a generated method too large for the JVM to compile. Both levels are counted in one pass.
     """
-    of_level = F.explode(F.array(*[F.struct(F.lit(level).alias("level"), F.col(key).cast("bigint").alias("key")) for level, key, _ in levels]))
-    source = rows if statistics_from is None else statistics_from
-    peers = peer_table(source.select(of_level.alias("of"), year, *[f.raw for f in features]).select("of.*", year, *[f.raw for f in features]), ["level", "key", year], [f.raw for f in features])
+    raws = [f.raw for f in features]
+    source, sizes = (rows, None) if statistics_from is None else statistics_from
+    peers = peer_table(by_level(source, levels, year, raws), ["level", "key", year], raws, sizes)
     out = rows
     for level, key, _ in levels:
         stats = peers.where(F.col("level") == level).select(F.col("key").cast(rows.schema[key].dataType).alias(key), year, F.col("peer_n").alias(f"__{level}_n"), F.col("peers").alias(f"__{level}"))
@@ -242,8 +250,11 @@ def moat_scores(base: DataFrame, recessions: DataFrame, digits: int = 9) -> Data
     The rolled features feed the statistics, the ranks and the final join, so they are stored once they are made.
     """
     features = stored(steady(rolled(raw_ratios(base), recessions), digits), "features")
-    ranked = percent_ranks(features, ["industry_sk", "calendar_year"], {f"{m}_vs_industry_f": f"{m}_raw" for m in ("gross_margin", "operating_margin")})
-    return pillar_scores(normalised(ranked, statistics_from=features)).withColumn("wacc_f", F.col("wacc_raw"))
+    level, key, _ = LEVELS[0]
+    sizes = group_sizes(by_level(features, LEVELS, "calendar_year", []), ["level", "key", "calendar_year"])
+    own = sizes.where(F.col("level") == level).select(F.col("key").cast(features.schema[key].dataType).alias(key), "calendar_year", "n")
+    ranked = percent_ranks(features, [key, "calendar_year"], {f"{m}_vs_industry_f": f"{m}_raw" for m in ("gross_margin", "operating_margin")}, own)
+    return pillar_scores(normalised(ranked, statistics_from=(features, sizes))).withColumn("wacc_f", F.col("wacc_raw"))
 
 
 # Diagnostics

@@ -47,24 +47,41 @@ def _between(at: Column, low: Column, high: Column, below: Column, above: Column
     return F.when(low == high, below).otherwise((high - at) * below + (at - low) * above)
 
 
-def group_quantiles(rows: DataFrame, keys: list[str], columns: list[str], probabilities: list[float], sizes: DataFrame | None = None, fits: int = FITS) -> DataFrame:
-    """keys and `quantiles`, an array for each column of its quantiles, linear between ranks; rows with a null key don't count.
+def group_sizes(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """(keys, n): rows of each group, null keys among them; stored."""
+    return stored(rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")), "sizes")
+
+
+def any_large(sizes: DataFrame, fits: int = FITS) -> bool:
+    return not sizes.where(F.col("n") > fits).isEmpty()
 
-    sizes: keys and n, the rows of each group, if the caller has them. rows are read several times.
-    """
-    known = rows.where(reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys]))
-    if sizes is None:
-        sizes = stored(known.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")), "sizes")
-    large = sizes.where(F.col("n") > fits).select(*keys)
-    if large.isEmpty():
-        return _gathered(known, keys, columns, probabilities)
-    rest = _gathered(known.join(large, keys, "left_anti"), keys, columns, probabilities)
-    return rest.unionByName(_selected(known.join(large, keys, "left_semi"), keys, columns, probabilities, fits))
 
+def known_keys(rows: DataFrame, keys: list[str]) -> DataFrame:
+    return rows.where(reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys]))
 
-def _gathered(rows: DataFrame, keys: list[str], columns: list[str], probabilities: list[float]) -> DataFrame:
+
+def group_quantiles(rows: DataFrame, keys: list[str], columns: list[str], probabilities: list[float], sizes: DataFrame | None = None, fits: int = FITS, beside: list[Column] | None = None) -> DataFrame:
+    """keys and `quantiles`, an array for each column of its quantiles, linear between ranks; rows with a null key don't count.
+
+    sizes: the groups' sizes, if the caller has them. beside: other aggregates of the group that are wanted with them. rows are
+    read several times.
+    """
+    known = known_keys(rows, keys)
+    sizes = group_sizes(known, keys) if sizes is None else sizes
+    if not any_large(sizes, fits):
+        return _gathered(known, keys, columns, probabilities, beside or [])
+    large = known_keys(sizes, keys).where(F.col("n") > fits).select(*keys)
+    rest = _gathered(known.join(large, keys, "left_anti"), keys, columns, probabilities, beside or [])
+    many = known.join(large, keys, "left_semi")
+    found = _selected(many, keys, columns, probabilities, fits)
+    if beside:
+        found = many.groupBy(*keys).agg(*beside).join(found, keys)
+    return rest.unionByName(found)
+
+
+def _gathered(rows: DataFrame, keys: list[str], columns: list[str], probabilities: list[float], beside: list[Column]) -> DataFrame:
     """Groups that fit: their rows as one array, sorted for each column."""
-    lists = rows.groupBy(*keys).agg(F.collect_list(F.array(*map(_finite, columns))).alias("__rows"))
+    lists = rows.groupBy(*keys).agg(*beside, F.collect_list(F.array(*map(_finite, columns))).alias("__rows"))
 
     def of(ordered: Column) -> Column:
         out = []
@@ -76,7 +93,7 @@ def _gathered(rows: DataFrame, keys: list[str], columns: list[str], probabilitie
     column = lambda i: F.sort_array(F.filter(F.transform("__rows", lambda r: F.get(r, i)), lambda v: v.isNotNull()))
     # A transform over an array of one computes its ordered values once.
     each = F.transform(F.sequence(F.lit(0), F.lit(len(columns) - 1)), lambda i: F.get(F.transform(F.array(column(i)), of), F.lit(0)))
-    return lists.select(*keys, each.alias("quantiles"))
+    return lists.withColumn("quantiles", each).drop("__rows")
 
 
 def _selected(rows: DataFrame, keys: list[str], columns: list[str], probabilities: list[float], fits: int) -> DataFrame:
@@ -118,13 +135,12 @@ def _selected(rows: DataFrame, keys: list[str], columns: list[str], probabilitie
 def percent_ranks(rows: DataFrame, keys: list[str], ranks: dict[str, str], sizes: DataFrame | None = None, fits: int = FITS) -> DataFrame:
     """rows with a column for each of ranks (name: value column): PERCENT_RANK within the keys, nulls last; null keys are a key.
 
-    sizes: keys and n, the rows of each group, if the caller has them. rows are read several times where a group is large.
+    sizes: the groups' sizes, if the caller has them. rows are read several times where a group is large.
     """
-    if sizes is None:
-        sizes = stored(rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")), "sizes")
+    sizes = group_sizes(rows, keys) if sizes is None else sizes
     large = sizes.where(F.col("n") > fits).select(*[F.col(k).alias(f"__{k}") for k in keys])
     plain = lambda df: df.withColumns({name: F.percent_rank().over(Window.partitionBy(*keys).orderBy(F.asc_nulls_last(v))) for name, v in ranks.items()})
-    if large.isEmpty():
+    if not any_large(sizes, fits):
         return plain(rows)
     is_large = same(rows, large, keys, [f"__{k}" for k in keys])
     out = rows.join(large, is_large, "left_semi")
