@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.storage import stored
 from . import moat as M
 from . import ops as O
 
@@ -30,7 +31,7 @@ def run_report(manifest: DataFrame, universe: DataFrame, run_id: str) -> DataFra
 
 def validation_report(scores: DataFrame, columns: list[str], year: str = "calendar_year") -> DataFrame:
     """Rows by year, the columns' distribution, and how often the wider benchmark was used."""
-    scores = scores.persist()  # read three times
+    scores = stored(scores, "scores")  # read three times
     years = scores.groupBy(year).agg(F.count(F.lit(1)).alias("n_rows"))
     parts = [long(years.withColumn("y", F.col(year).cast("string")).drop(year), "year", F.col("y")), long(M.profile(scores, columns), "profile", F.col("column")), long(M.fallback_rate(scores).withColumn("y", F.col(year).cast("string")).drop(year), "fallback", F.col("y"))]
     return reduce(DataFrame.unionByName, parts)

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions.dates import business_days, federal_holidays, is_annual_season, is_earnings_season, last_quarter_end
@@ -74,11 +73,11 @@ def table_sizes(spark, sf_dir):
 
 # Joins into facts
 
-INSTRUMENTS = "instruments AS (SELECT 'S' || CAST(s_suppkey AS VARCHAR) AS symbol, s_suppkey + 1000 AS instrument_sk FROM supplier WHERE s_suppkey % 9 <> 4)"
+INSTRUMENTS = "instruments AS (SELECT 'S' || CAST(s_suppkey AS VARCHAR) AS symbol, s_suppkey + 1000 AS instrument_sk FROM supplier)"
 
 
 def instruments(spark, sf_dir):
-    s = T(spark, sf_dir, "supplier").where("s_suppkey % 9 <> 4")
+    s = T(spark, sf_dir, "supplier")
     return s.select(F.concat(F.lit("S"), F.col("s_suppkey").cast("string")).alias("symbol"), (F.col("s_suppkey") + 1000).alias("instrument_sk"))
 
 
@@ -143,12 +142,12 @@ def code_lookups(spark, sf_dir):
 
 # Keys and upserts
 
-OLD_NEW = "old AS (SELECT o_orderkey AS k, o_custkey AS c, o_orderstatus AS s, CASE WHEN o_orderkey % 6 = 0 THEN NULL ELSE o_totalprice END AS p FROM orders WHERE o_orderkey % 3 <> 1), src AS (SELECT o_orderkey AS k, o_custkey AS c, 'N' AS s, o_totalprice + 1 AS p FROM orders WHERE o_orderkey % 2 = 0)"
+OLD_NEW = "old AS (SELECT o_orderkey AS k, o_custkey AS c, o_orderstatus AS s, CASE WHEN o_orderkey % 6 = 0 THEN NULL ELSE o_totalprice END AS p FROM orders WHERE o_orderkey % 3 <> 1), src AS (SELECT o_orderkey AS k, o_custkey AS c, 'N' AS s, o_totalprice + 1 AS p FROM orders WHERE o_orderkey % 2 = 0 OR o_orderkey % 3 = 1)"
 
 
 def old_new(spark, sf_dir):
     o = T(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("k"), F.col("o_custkey").alias("c"), F.col("o_orderstatus").alias("s"), F.col("o_totalprice").alias("p"))
-    return o.where("k % 3 <> 1").withColumn("p", F.when(F.col("k") % 6 != 0, F.col("p"))), o.where("k % 2 = 0").withColumns({"s": F.lit("N"), "p": F.col("p") + 1})
+    return o.where("k % 3 <> 1").withColumn("p", F.when(F.col("k") % 6 != 0, F.col("p"))), o.where("k % 2 = 0 OR k % 3 = 1").withColumns({"s": F.lit("N"), "p": F.col("p") + 1})
 
 
 query("U2_upsert", f"WITH {OLD_NEW} SELECT * FROM old WHERE k NOT IN (SELECT k FROM src) UNION ALL SELECT * FROM src")(lambda s, d: upsert(*old_new(s, d), ["k"]))
@@ -229,8 +228,9 @@ DIM = f"{ONE_SYMBOL}, dim AS (SELECT symbol, CASE WHEN length(symbol) % 2 = 0 TH
 def build_dim(spark, sf_dir):
     """An existing half of the instruments keeps its keys; missing countries are filled, the others come in."""
     syms = symbol_sources(spark, sf_dir)
-    n = F.row_number().over(Window.orderBy("symbol")) + 10  # the fixture's own keys
-    old = syms.where(F.ascii("symbol") % 2 == 0).select("symbol", F.when(F.length("symbol") % 2 == 0, F.col("country")).alias("country"), F.lit("old").alias("kind"), n.cast("bigint").alias("instrument_sk"))
+    even = syms.where(F.ascii("symbol") % 2 == 0)
+    keys = allocate_sk(spark.createDataFrame([], "symbol string, n long"), even, ["symbol"], "n")  # the fixture's own keys
+    old = even.join(keys, "symbol").select("symbol", F.when(F.length("symbol") % 2 == 0, F.col("country")).alias("country"), F.lit("old").alias("kind"), (F.col("n") + 10).alias("instrument_sk"))
     return S.build_dim(old, syms, ["symbol"], "instrument_sk", ["country"])
 
 
@@ -273,21 +273,21 @@ def evolve(spark, sf_dir):
     return S.evolve(fact_eod(spark, sf_dir), {"vwap": "double"}, ["low"], {"adj_close": "close"})
 
 
-RESOLVE = "inst AS (SELECT lower(c_name) AS symbol, c_custkey AS instrument_sk, CAST(c_custkey % 8 + 1 AS SMALLINT) AS instrument_type_sk FROM customer), want AS (SELECT DISTINCT upper(trim(c_name)) AS symbol FROM customer JOIN orders ON o_custkey = c_custkey WHERE o_orderkey % 7 = 0)"
+RESOLVE = "inst AS (SELECT lower(c_name) AS symbol, c_custkey AS instrument_sk, CAST(c_custkey % 8 + 1 AS SMALLINT) AS instrument_type_sk FROM customer), want AS (SELECT DISTINCT upper(trim(c_name)) AS symbol FROM customer JOIN orders ON o_custkey = c_custkey)"
 
 
 @query("J15_resolve_keys", f"WITH {RESOLVE} SELECT upper(symbol) AS symbol, instrument_sk FROM inst WHERE instrument_type_sk = 2 AND upper(symbol) IN (SELECT symbol FROM want)")
 def resolve(spark, sf_dir):
     c = T(spark, sf_dir, "customer")
     inst = c.select(F.lower("c_name").alias("symbol"), F.col("c_custkey").alias("instrument_sk"), (F.col("c_custkey") % 8 + 1).cast("smallint").alias("instrument_type_sk"))
-    wanted = c.join(T(spark, sf_dir, "orders").where("o_orderkey % 7 = 0"), F.col("o_custkey") == F.col("c_custkey"), "left_semi").select(F.concat(F.lit(" "), F.col("c_name")).alias("symbol"))
+    wanted = c.join(T(spark, sf_dir, "orders"), F.col("o_custkey") == F.col("c_custkey"), "left_semi").select(F.concat(F.lit(" "), F.col("c_name")).alias("symbol"))
     return S.resolve_instruments(wanted, inst, D.vocabulary(spark, D.INSTRUMENT_TYPES, "instrument_type_sk", "instrument_type"), "etf")
 
 
-@query("J16_exchange_tickers", "SELECT 'P' || CAST(p_partkey AS VARCHAR) AS symbol, p_partkey + 7 AS instrument_sk FROM part WHERE upper(p_brand) IN ('BRAND#3', 'BRAND#11') AND p_partkey % 4 <> 0 ORDER BY symbol LIMIT 40")
+@query("J16_exchange_tickers", "SELECT 'P' || CAST(p_partkey AS VARCHAR) AS symbol, p_partkey + 7 AS instrument_sk FROM part WHERE upper(p_brand) IN ('BRAND#3', 'BRAND#11') ORDER BY symbol LIMIT 40")
 def exchange_tickers(spark, sf_dir):
     p = I.screener(spark, sf_dir)
-    inst = T(spark, sf_dir, "part").where("p_partkey % 4 <> 0").select(F.concat(F.lit("P"), F.col("p_partkey").cast("string")).alias("symbol"), (F.col("p_partkey") + 7).alias("instrument_sk"))
+    inst = T(spark, sf_dir, "part").select(F.concat(F.lit("P"), F.col("p_partkey").cast("string")).alias("symbol"), (F.col("p_partkey") + 7).alias("instrument_sk"))
     return S.tickers_on_exchanges(p, inst, ["brand#3", "Brand#11"], 40)
 
 
@@ -309,11 +309,11 @@ def discovery(spark, sf_dir):
     return S.merge_discovered(target, source)
 
 
-@query("U11_build_audit", "WITH b AS (SELECT o_orderkey AS gold_build_id, o_orderstatus AS status FROM orders WHERE o_orderkey % 5 = 0) SELECT gold_build_id, CASE WHEN gold_build_id % 10 = 0 THEN 'done' ELSE status END AS status FROM b UNION ALL SELECT max(gold_build_id) + 1, NULL FROM b")
+@query("U11_build_audit", "WITH b AS (SELECT o_orderkey AS gold_build_id, o_orderstatus AS status FROM orders) SELECT gold_build_id, CASE WHEN gold_build_id % 10 = 0 THEN 'done' ELSE status END AS status FROM b UNION ALL SELECT max(gold_build_id) + 1, NULL FROM b")
 def build_audit(spark, sf_dir):
     from ..operators.ops import finish_build, start_build
 
-    b = T(spark, sf_dir, "orders").where("o_orderkey % 5 = 0").select(F.col("o_orderkey").alias("gold_build_id"), F.col("o_orderstatus").alias("status"))
+    b = T(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("gold_build_id"), F.col("o_orderstatus").alias("status"))
     finished = finish_build(b, b.where("gold_build_id % 10 = 0").select("gold_build_id", F.lit("done").alias("status")))
     return start_build(finished, "R1", "v1", F.lit(dt.datetime(2024, 1, 1))).select("gold_build_id", "status")
 

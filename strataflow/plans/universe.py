@@ -88,12 +88,12 @@ def metric_inputs(s, d):
     p = I.prices(s, d).select(F.col("symbol").alias("ticker"), "date", F.col("adj_close").alias("close"), "volume")
     shares = T(s, d, "orders").select(F.concat(F.lit("S"), (F.col("o_custkey") % 120).cast("string")).alias("ticker"), F.col("o_orderdate").cast("date").alias("date"), F.col("o_orderkey").alias("outstanding_shares"))
     profile = T(s, d, "supplier").select(F.concat(F.lit("S"), F.col("s_suppkey").cast("string")).alias("symbol"), F.lit(AS_OF).alias("as_of_date"), F.concat(F.lit("X"), F.col("s_nationkey").cast("string")).alias("exchange"), F.when(F.col("s_suppkey") % 2 == 0, "even").alias("sector"))
-    symbols = T(s, d, "supplier").where("s_suppkey % 3 <> 1").select(F.concat(F.lit("S"), (F.col("s_suppkey") + 3).cast("string")).alias("symbol"))
+    symbols = T(s, d, "supplier").select(F.concat(F.lit("S"), (F.col("s_suppkey") + 3).cast("string")).alias("symbol"))
     return symbols, p, shares, profile
 
 
 _DAY = f"DATE '{PRICE_DAY}'"
-METRICS = f"""{I.PRICES}, w AS (SELECT DISTINCT 'S' || CAST(s_suppkey + 3 AS VARCHAR) AS symbol FROM supplier WHERE s_suppkey % 3 <> 1),
+METRICS = f"""{I.PRICES}, w AS (SELECT DISTINCT 'S' || CAST(s_suppkey + 3 AS VARCHAR) AS symbol FROM supplier),
 px AS (SELECT * FROM prices WHERE date <= {_DAY} AND date > CAST({_DAY} - INTERVAL 12 MONTH AS DATE)),
 bars AS (SELECT symbol, avg(CASE WHEN date > {_DAY} - 30 THEN adj_close * volume END) AS v30, avg(CASE WHEN date > {_DAY} - 90 THEN adj_close * volume END) AS v90, least(round(count(adj_close) / 252.0::DOUBLE, 4), 1.0) AS cover, max(CASE WHEN date = {_DAY} THEN adj_close END) AS c FROM px GROUP BY 1),
 sh AS (SELECT 'S' || CAST(o_custkey % 120 AS VARCHAR) AS symbol, o_orderkey AS n FROM orders WHERE CAST(o_orderdate AS DATE) <= {_DAY} QUALIFY row_number() OVER (PARTITION BY o_custkey % 120 ORDER BY CAST(o_orderdate AS DATE) DESC, o_orderkey DESC) = 1),
