@@ -14,7 +14,7 @@ adding 0xA282EAD8, so that a checksum stored inside checked data does not upset
 
 Files are written by Spark's own committer (a record is a row of bytes, the mark its line end), so lost tasks
 and executors leave nothing behind and any store works that Spark can write to. Documents are range-partitioned
-by id, so file order is id order. The index is a table built from the files, all checksums verified: file,
+by id, then digest of the text and place, so file order is id order and no id needs a file of its own. The index is a table built from the files, all checksums verified: file,
 ordinal, byte offset, length, id, number of tokens, checksum of the ids and the ids before it in its file; a
 shuffled reader draws rows from it and reads byte ranges.
 
@@ -173,7 +173,9 @@ def write_records(docs: DataFrame, to: str, tokenizer: str, id_col: str = "doc_i
                     out, held = [], 0
             yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], names=["record"])
 
-    ordered = rows.repartitionByRange(shards, "id").sortWithinPartitions("id", "text")
+    # A null or often repeated id is dealt to many files, by digest and place of its rows.
+    key = ["id", "digest", "place"]
+    ordered = rows.withColumns({"digest": F.xxhash64("text"), "place": F.monotonically_increasing_id()}).repartitionByRange(shards, *key).sortWithinPartitions(*key).select("id", "text")
     ordered.mapInArrow(run, "record binary").select(F.col("record").cast("string").alias("record")).write.option("lineSep", MARK.decode()).text(to)
 
 

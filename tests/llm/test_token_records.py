@@ -46,6 +46,22 @@ def test_shards_index_and_shuffled_reads(spark, documents, tmp_path):
     assert all(starts[s] == sum(n for k, n in sums.items() if k < s) for s in sums)
 
 
+def test_one_id_has_many_files(spark, documents, tmp_path):
+    """Rows without an id, half of them equal, are dealt to files of about the size asked for; starts count on over them."""
+    rows = [(None, "equal words " * 20) for _ in range(200)] + [(None, f"word {i} " * 20) for i in range(200)] + [(5, "five")]
+    path = f"file://{tmp_path}/x"
+    R.write_records(documents(rows), path, PATH, shard_bytes=8000)
+    index = R.build_index(spark, path)
+    sizes = [r.n for r in index.groupBy("shard").agg(F.sum("n_bytes").alias("n")).collect()]
+    assert len(sizes) > 5 and max(sizes) < 4 * sum(sizes) / len(sizes)
+    got = R.record_digests(documents(rows), PATH, to=f"file://{tmp_path}/y").orderBy("shard", "ordinal").collect()
+    start = 0
+    for r in got:
+        assert r.start == start
+        start += r.n_tokens
+    assert len(got) == 401 and got[-1].doc_id == 5
+
+
 def test_damage_is_noticed():
     data = b"".join(R.frame(R.pack(i, np.arange(5) + 65_534 * i)) + R.MARK for i in range(3))
     assert [R.unpack(p)[1].tolist() for _, p in R.unframe(data)] == [(np.arange(5) + 65_534 * i).tolist() for i in range(3)]
