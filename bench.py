@@ -51,7 +51,7 @@ def main() -> None:
     tables = [f.removesuffix(".parquet") for f in sorted(os.listdir(sf_dir)) if f.endswith(".parquet")]
     for t in tables:
         duck.sql(f"CREATE VIEW {t} AS SELECT * FROM '{sf_dir}/{t}.parquet'")
-    counts = {t: duck.sql(f"SELECT count(*) FROM {t}").fetchone()[0] for t in tables}
+    counts = {t: duck.sql(f"SELECT count(*) FROM {t}").fetchall()[0][0] for t in tables}
     queries, oracles = catalog.queries(), catalog.oracle_sql()
     seconds, theirs, rows_in, rows_out, shuffled = {}, {}, {}, {}, {}
     for name in HEADLINE:
@@ -60,7 +60,7 @@ def main() -> None:
         shuffled[name] = round((shuffled_mb(spark) - before) / (RUNS + 1), 2)
         theirs[name] = timed(lambda: duck.sql(oracles[name]).fetchall())  # noqa: B023
         rows_in[name] = sum(n for t, n in counts.items() if re.search(rf"\b{t}\b", oracles[name]))
-        rows_out[name] = duck.sql(f"SELECT count(*) FROM ({oracles[name]})").fetchone()[0]
+        rows_out[name] = duck.sql(f"SELECT count(*) FROM ({oracles[name]})").fetchall()[0][0]
     line = {"metric": "headline queries, median of three warm runs", "value": round(sum(seconds.values()), 3), "unit": "sec", "queries": seconds, "sf": os.path.basename(sf_dir.rstrip("/")).removeprefix("sf")}
     print(json.dumps(line | {"duckdb": theirs, "duckdb_value": round(sum(theirs.values()), 3), "rows_in": rows_in, "rows_out": rows_out, "shuffle_mb": shuffled}))
     spark.stop()
