@@ -1,23 +1,25 @@
 """Document fingerprints by winnowing.
 
-A text's words (at most CUT characters each, so that text without white space is cut too) are hashed; a
-cyclic-polynomial hash rolls over them, each k-gram's from the one before by the word that enters and the word that
+A text's words are hashed, and in place of a word of more than CUT characters all its runs of PART characters, one from
+each place, so that text without white space has words that don't depend on where it begins. A cyclic-polynomial hash
+rolls over them, each k-gram's from the one before by the word that enters and the word that
 leaves, and of every w neighbouring k-gram hashes the smallest is chosen, the rightmost on a tie. Chosen hashes keep
-their positions. Any run of ``w + k - 1`` words that two texts share leaves a common fingerprint entry, and none
-shorter than k words can. The hash starts anew every STRETCH grams, with the same values, so that a long text's array
-isn't copied for each of its words.
+their positions. Any run of ``w + k - 1`` words of up to CUT characters that two texts share leaves a common
+fingerprint entry, as does any run of more than CUT characters without white space (it holds ``w + k - 1`` parts, by
+the default values); none shorter than k words, or k parts, can. The hash starts anew every STRETCH grams, with the same
+values, so that a long text's array isn't copied for each of its words.
 
 A fingerprint is spelled as ``hash:position`` entries in text order; the likeness of two is the Jaccard
 similarity of their sets of hashes.
 
 DataFrame functions only. A document and the next one in descending id order meet in a window over ranges of the
-order (id, then the beginning of the text, so that a null or often repeated id has many ranges too). The ranges are those of
+order (id, then a hash of the text, so that a null or often repeated id has many ranges too). The ranges are those of
 Spark's own range partitioner over these keys; their bounds are a table that stays on the executors, searched by halves,
 and each range also gets the first row of the range after it.
 
 Edge cases: a null text counts as empty; a text without words has an empty fingerprint, alike to another empty
 one (1) and to nothing else (0); a text with fewer than k words has one entry; null ids come last; rows that
-repeat an id follow each other in order of their texts; other columns are ignored; an empty table gives an
+repeat an id follow each other in order of the hashes of their texts; other columns are ignored; an empty table gives an
 empty result.
 """
 
@@ -33,13 +35,12 @@ from .common import blank_if_null, let, named, stored
 GRAM = 4
 WINDOW = 10
 CUT = 24
+PART = 8
 #: Bytes of text that a range should hold where there are few, and once every core has several: rows are sorted in a range, and may spill.
 RANGE_BYTES = 8 << 20
-LARGE_BYTES = 4 << 30
+LARGE_BYTES = 512 << 20
 RANGES_PER_CORE = 8
 STRETCH = 32
-#: Characters of the text in a range's bound.
-HEAD = 32
 _LOW = (1 << 32) - 1
 
 
@@ -47,10 +48,16 @@ def _turn(c: Column, by: int) -> Column:
     return F.shiftleft(c, by).bitwiseOR(F.shiftrightunsigned(c, 64 - by)) if by else c
 
 
+def words_of(text: Column) -> Column:
+    """Words of up to CUT characters, and the overlapping parts of longer ones, in text order."""
+    one = r"[^\x20\x09-\x0D]"
+    word = rf"(?<!{one}){one}{{1,{CUT}}}+(?!{one})"
+    return F.regexp_extract_all(text, F.lit(rf"(?=({word}|{one}{{{PART}}}))(?:{word}|{one})"), F.lit(1))
+
+
 def winnow(text: Column, gram: int = GRAM, window: int = WINDOW) -> Column:
     """Array of chosen entries in text order: hash in the upper 31 bits, reversed position in the lower 32."""
-    words = F.regexp_extract_all(text, F.lit(rf"[^\x20\x09-\x0D]{{1,{CUT}}}"), F.lit(0))
-    hashed = F.transform(words, lambda w: F.xxhash64(w))
+    hashed = F.transform(words_of(text), lambda w: F.xxhash64(w))
 
     def rolled(h: Column) -> Column:
         word = lambda i: F.coalesce(F.get(h, i), F.lit(0))
@@ -97,8 +104,8 @@ def fingerprint_table(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
 
 
 def _order() -> Column:
-    """A row's key in the order of documents: ids descending, null last, then the beginning of the text."""
-    return F.struct(F.col("id").isNull().alias("z"), F.bitwise_not("id").alias("i"), F.left("text", F.lit(HEAD)).alias("t"))
+    """A row's key in the order of documents: ids descending, null last, then a hash of the text."""
+    return F.struct(F.col("id").isNull().alias("z"), F.bitwise_not("id").alias("i"), F.xxhash64("text").alias("t"))
 
 
 def _bounds(rows: DataFrame) -> tuple[DataFrame, int]:
@@ -139,7 +146,7 @@ def edited_pairs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     ghosts = firsts.select(F.lit(None).cast("long").alias("id"), "text", F.col("to").alias("part"), F.lit(True).alias("ghost"))
     every = dealt.withColumn("ghost", F.lit(False)).union(ghosts).repartition(n_ranges, "part")
     marked = every.withColumn("entries", winnow(F.col("text"), gram, window)).withColumn("own", hashes(F.col("entries")))
-    follow = Window.partitionBy("part").orderBy("ghost", F.desc_nulls_last("id"), "text")
+    follow = Window.partitionBy("part").orderBy("ghost", F.desc_nulls_last("id"), F.xxhash64("text"), "text")
     paired = marked.withColumn("next_text", F.lead("text").over(follow)).withColumn("next_own", F.lead("own").over(follow)).where(~F.col("ghost"))
     n = F.length("text")
     half = F.floor(n / 2).cast("int")
