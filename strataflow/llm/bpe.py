@@ -10,8 +10,10 @@ REMEMBERED characters has emitted are kept in a bounded cache, so that the next
 
 Decoding is a state machine over bytes: each token adds its surface bytes, complete characters leave at once,
 and at most three bytes of an unfinished one are held. The digests of a text hash what this machine makes of the
-emitted ids, a run at a time; texts are cut at blanks into stretches, so that beside the text itself only one
-stretch's words are held.
+emitted ids, a run at a time; texts are cut into stretches, so that beside the text itself only one stretch's words
+are held. A stretch ends at a blank, or, where none follows soon, inside a run without blanks at a character that
+normalisation doesn't touch: the stream then reads its word on from the next stretch. Only a run of combining marks or
+of apostrophes has no such place, and is held as a whole.
 
 The normalisation and word rules are those of the vocabulary file's own pipeline: NFC, white space to blanks,
 lower case, contractions, letter runs, single digits, other runs; each word's last byte is marked as its end.
@@ -50,6 +52,10 @@ REMEMBERED = 200
 #: Stretches of a text end at the first of these after so many characters: no normalisation or word goes beyond one.
 _BLANK = re.compile("[\t-\r ]")
 STRETCH = 1 << 16
+#: Where a stretch may also end: before what composes with nothing before it, and not inside what may be a contraction.
+_INSIDE = regex.compile(r"(?<!')(?<!'.)[^\p{M}\u1160-\u11ff]", regex.DOTALL)
+#: What goes on with a run of letters, and with a run of other signs, that reached the end of a stretch.
+_LETTERS, _OTHERS = regex.compile(r"[\p{L}]+"), regex.compile(r"[^\p{White_Space}\p{L}\p{N}]+")
 #: Lists up to this length are merged without a queue.
 _SHORT = 48
 _NONE = 1 << 62
@@ -184,43 +190,72 @@ class Codec:
         self._same = list(range(len(merges.spelled)))  # one object for each id, shared by the cached words
         self._special = re.compile("(" + "|".join(re.escape(s) for s in sorted(merges.specials, key=len, reverse=True)) + ")") if merges.specials else None
 
-    def words(self, text: str) -> list[str]:
-        """Blank-free pieces of a normalised text: no word of the pattern goes beyond one."""
+    @staticmethod
+    def normal(text: str) -> str:
         if not text.isascii():
             text = unicodedata.normalize("NFC", text).replace("Σ", "σ")
-        text = text.lower()
+        return text.lower()
+
+    def words(self, text: str) -> list[str]:
+        """Blank-free pieces of a normalised text: no word of the pattern goes beyond one."""
+        text = self.normal(text)
         return WORDS.findall(text) if _CONTROLS.search(text) else text.split()
 
     def _piece(self, piece: str) -> list[int]:
-        out: list[int] = []
-        for word in WORDS.findall(piece):
-            ids = self._parts.get(word)
-            if ids is None:
-                ids = self.merges.word(word)
-                if len(word) <= REMEMBERED:
-                    if len(self._parts) >= self._cache:
-                        self._parts.clear()
-                    self._parts[word] = ids
-            out += ids
-        return out
-
-    def sections(self, text: str) -> Iterator[tuple[bool, str]]:
-        """(whether it is a special token, text) of the stretches and special tokens of a text, in order."""
+        return [i for word in WORDS.findall(piece) for i in self._word(word)]
+
+    def _word(self, word: str) -> list[int]:
+        ids = self._parts.get(word)
+        if ids is None:
+            ids = self.merges.word(word)
+            if len(word) <= REMEMBERED:
+                if len(self._parts) >= self._cache:
+                    self._parts.clear()
+                self._parts[word] = ids
+        return ids
+
+    def _joined(self, parts: Iterator[tuple[str, bool]]) -> Iterator[list[int]]:
+        """Runs of ids of words in parts: a word that ends in its part is looked up, another streamed over its parts."""
+        for part, ends in parts:
+            yield from [self._word(part)] if ends else map(list, itertools.batched(self.merges.stream(self._symbols(part, parts)), 4096))
+
+    def _symbols(self, part: str, parts: Iterator[tuple[str, bool]]) -> Iterator[int]:
+        """Symbols of a word that begins with `part` and goes on in the next ones, taken from `parts` when wanted."""
+        inner, data, ends = self.merges.inner, part.encode("utf-8", "surrogatepass"), False
+        while not ends:
+            part, ends = next(parts)
+            more = part.encode("utf-8", "surrogatepass")
+            if more:
+                yield from map(inner.__getitem__, data)
+                data = more
+        yield from map(inner.__getitem__, data[:-1])
+        yield self.merges.last[data[-1]]
+
+    def sections(self, text: str) -> Iterator[tuple[bool, Iterator[str]]]:
+        """(whether it is a special token, its text in stretches that join) for each part of a text, in order.
+
+        The stretches of one part are to be read before the next part is asked for.
+        """
         at = 0
         for found in self._special.finditer(text) if self._special else ():
-            yield from ((False, x) for x in _stretches(text, at, found.start()))
-            yield True, found[0]
+            yield from ((False, x) for x in _joining(_stretches(text, at, found.start())))
+            yield True, iter((found[0],))
             at = found.end()
-        yield from ((False, x) for x in _stretches(text, at, len(text)))
+        yield from ((False, x) for x in _joining(_stretches(text, at, len(text))))
 
     def pieces(self, text: str, step: int = 4096) -> Iterator[list[tuple[int, str, tuple[int, ...]]]]:
         """Runs of (number of ids, ids as text, ids), one for each piece of the text, in order."""
         for special, section in self.sections(text):
+            first = next(section)
             if special:
-                made = self.merges.specials[section]
+                made = self.merges.specials[first]
                 yield [(1, str(made), (made,))]
                 continue
-            words = self.words(section)
+            if (second := next(section, None)) is not None:
+                for ids in self._joined(_parts(map(self.normal, itertools.chain((first, second), section)))):
+                    yield [(len(ids), " ".join(map(str, ids)), tuple(ids))]
+                continue
+            words = self.words(first)
             for at in range(0, len(words), step):
                 run = words[at : at + step]
                 said = list(map(self._words.get, run))
@@ -287,15 +322,54 @@ class Codec:
         return n, all_ids.hexdigest(), decoded.hexdigest()
 
 
-def _stretches(text: str, at: int, end: int) -> Iterator[str]:
-    """text[at:end] in stretches that begin at a blank."""
+def _stretches(text: str, at: int, end: int) -> Iterator[tuple[str, bool]]:
+    """(stretch, whether its last word may go on in the next) over text[at:end]."""
     while at < end:
-        cut = _BLANK.search(text, at + STRETCH, end) if at + STRETCH < end else None
+        far = at + 2 * STRETCH
+        cut = _BLANK.search(text, at + STRETCH, min(far, end)) if at + STRETCH < end else None
+        on = cut is None and far < end
+        if on:
+            cut = _INSIDE.search(text, far, end)
         stop = cut.start() if cut else end
-        yield text[at:stop]
+        yield text[at:stop], on and stop < end
         at = stop
 
 
+def _joining(stretches: Iterator[tuple[str, bool]]) -> Iterator[Iterator[str]]:
+    """The stretches in runs, each of which goes on until a stretch that ends at a blank or with the text."""
+    for first, on in stretches:
+        yield _run(first, on, stretches)
+
+
+def _run(text: str, on: bool, stretches: Iterator[tuple[str, bool]]) -> Iterator[str]:
+    yield text
+    while on:
+        text, on = next(stretches)
+        yield text
+
+
+def _parts(texts: Iterator[str]) -> Iterator[tuple[str, bool]]:
+    """(word or part of one, whether it ends there) of normalised stretches that join; what ends a word may be empty."""
+    more = None
+    for text in texts:
+        at = 0
+        if more:
+            found = more.match(text)
+            at = found.end() if found else 0
+            ends = at < len(text)
+            yield text[:at], ends
+            if not ends:
+                continue
+            more = None
+        for found in WORDS.finditer(text, at):
+            word = found[0]
+            if found.end() == len(text):
+                more = _LETTERS if _LETTERS.fullmatch(word) else _OTHERS if _OTHERS.fullmatch(word) else None
+            yield word, more is None
+    if more:
+        yield "", True
+
+
 _CODECS: dict[str, Codec] = {}
 
 

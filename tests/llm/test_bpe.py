@@ -1,5 +1,6 @@
 import hashlib
 import random
+import tracemalloc
 
 import public_tokenizers
 import pytest
@@ -124,3 +125,31 @@ def test_column_of_ids_beside_any_columns(documents, library):
     assert got.columns == ["doc_id", "text", "lang", "source", "n_chars", "a.b", "id", "n_tokens", "token_ids"]
     assert [r.token_ids for r in got.orderBy("doc_id").collect()] == [library.encode("Hello there", add_special_tokens=False).ids, []]
     assert bpe.encode_digests(frame, PATH).columns == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
+
+
+def test_words_go_on_over_stretches(library, monkeypatch):
+    """Texts without blanks are cut inside words, at any place that normalisation and contractions allow."""
+    rng = random.Random(11)
+    kinds = ["abcdeßéΣİ", "日本語文字한글", "!?-'’", "'sretvlmd", "0123½", "e\u0301\u0323a", "\u1112\u1161\u11ab", "\xa0\u3000x", "🙂é"]
+    runs = ["".join(rng.choices(rng.choice(kinds), k=rng.randint(1, 30))) for _ in range(400)]
+    texts_ = ["".join(rng.sample(runs, 25)) for _ in range(30)] + ["a" * 700 + "'s" * 40, "日" * 900 + "<|endoftext|>" + "本" * 900 + " end", "''" * 300, "\u0301" * 200]
+    want = [digests(library, t) for t in texts_]
+    for size in (1, 3, 20, 64):
+        monkeypatch.setattr(bpe, "STRETCH", size)
+        tool = bpe.Codec(bpe.load(PATH))
+        assert [tool.digests(t) for t in texts_] == want
+
+
+@pytest.mark.parametrize("letters", ["日本語文字列", "abcdefghij"])
+def test_a_text_without_blanks_takes_constant_room(library, letters):
+    """Room beside the text is the same for 800,000 characters as for 400,000, more than two stretches each."""
+    tool, peaks = bpe.Codec(bpe.load(PATH)), []
+    tool.digests(letters)
+    for n in (400_000, 800_000):
+        text = "".join(random.Random(n).choices(letters, k=n))
+        tracemalloc.start()
+        got = tool.digests(text)
+        peaks.append(tracemalloc.get_traced_memory()[1])
+        tracemalloc.stop()
+        assert got == digests(library, text)
+    assert max(peaks) < 8 << 20 and peaks[1] < 1.3 * peaks[0]
