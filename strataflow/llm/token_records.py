@@ -19,8 +19,9 @@ ordinal, byte offset, length, id, number of tokens, checksum of the ids and the
 shuffled reader draws rows from it and reads byte ranges.
 
 Encoding goes through the tokenizers library. White space starts a new word in byte-level vocabularies, so a
-text's space-led pieces encode on their own, and repeated pieces come from a bounded cache; texts with white
-space beyond the common six characters are encoded in one call.
+text's space-led pieces encode on their own, and repeated pieces come from bounded caches. Where texts can be cut
+into words of the vocabulary's pattern, a new word goes straight to the library's merges; other new pieces go
+through the whole library. Texts with white space beyond the common six characters are encoded in one call.
 
 Edge cases: a null text is encoded as an empty one and still gets its end id; null ids come first; rows that
 repeat an id are records of their own; other columns are ignored; an empty table writes no record.
@@ -33,7 +34,7 @@ import re
 import struct
 import zlib
 from array import array
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import compress
 from operator import not_
 
@@ -96,29 +97,60 @@ def unpack(payload: memoryview) -> tuple[int | None, np.ndarray]:
     return None if flags & 1 else doc_id, np.frombuffer(payload[_HEAD.size :], dtype="<u4" if flags & 2 else "<u2")
 
 
+def _byte_signs() -> dict[int, str]:
+    """Byte-level vocabularies write a byte as a printable character: some as themselves, the others from U+0100 on."""
+    same = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    others = (b for b in range(0x100) if b not in same)
+    return {b: chr(b) for b in same} | {b: chr(0x100 + n) for n, b in enumerate(others)}
+
+
+_SIGNS = _byte_signs()
+
+
+class _Words(dict):
+    """Ids of words, as bytes, made when first asked for; of two generations of `size` words it holds the young one."""
+
+    def __init__(self, encode: Callable[[str], bytes], size: int) -> None:
+        super().__init__()
+        self._encode, self._size, self._old = encode, size, {}
+
+    def __missing__(self, word: str) -> bytes:
+        ids = self._old.get(word)
+        if ids is None:
+            ids = self._encode(word)
+        if len(word) <= 64:
+            if len(self) >= self._size:
+                self._old = dict(self)
+                self.clear()
+            self[word] = ids
+        return ids
+
+
 class Encoder:
     """Texts to ids through the tokenizers library, repeated pieces from a bounded cache.
 
     Pieces are words of the vocabulary's own pattern where Python's character classes agree with it, else
-    space-led runs. The cache has two generations of `cache` pieces: a piece used again moves to the young one,
-    and the old one goes when that is full.
+    space-led runs, each kind with a cache of its own. A cache has two generations of `cache` pieces: a piece used
+    again moves to the young one, and the old one goes when that is full.
     """
 
     def __init__(self, path: str, cache: int = CACHE) -> None:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # one task, one core
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import ByteLevel
 
         self._tool = Tokenizer.from_file(path)
         self._young, self._old, self._size = {}, {}, cache
         self._special = [t.content for t in self._tool.get_added_tokens_decoder().values()]
+        self._words, self._merges = _Words(self._merged, cache), self._tool.model.tokenize
+        # With such a vocabulary the library writes a word's bytes as signs and merges them, and does nothing else.
+        cut = self._tool.pre_tokenizer
+        self._cuts_words = self._tool.normalizer is None and isinstance(cut, ByteLevel) and cut.use_regex and not cut.add_prefix_space
 
-    def _pieces(self, text: str) -> list[str] | None:
-        """The text's pieces; None if it can only be encoded as a whole."""
-        plain = not _FOREIGN.search(text)
-        if not plain and _ODD.search(text):
-            return None
-        special = any(s in text for s in self._special)
-        return (_WORDS if plain and not special else _PIECES).findall(text)
+    def _merged(self, word: str) -> bytes:
+        common = word.isascii() and word.isprintable()
+        signs = word.replace(" ", _SIGNS[32]) if common else word.encode().decode("latin-1").translate(_SIGNS)
+        return array("I", [t.id for t in self._merges(signs)]).tobytes()
 
     def _learn(self, pieces: list[str]) -> dict[str, bytes]:
         known, new = {}, []
@@ -134,9 +166,12 @@ class Encoder:
         return known
 
     def ids(self, text: str) -> np.ndarray:
-        pieces = self._pieces(text)
-        if pieces is None:
+        plain = not _FOREIGN.search(text)
+        if plain and self._cuts_words and not any(s in text for s in self._special):
+            return np.frombuffer(b"".join(map(self._words.__getitem__, _WORDS.findall(text))), dtype=np.uint32)
+        if not plain and _ODD.search(text):
             return np.array(self._tool.encode(text, add_special_tokens=False).ids, dtype=np.uint32)
+        pieces = _PIECES.findall(text)
         found = list(map(self._young.get, pieces))
         if None in found:
             missing = list(compress(range(len(found)), map(not_, found)))

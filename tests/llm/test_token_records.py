@@ -62,6 +62,26 @@ def test_one_id_has_many_files(spark, documents, tmp_path):
     assert len(got) == 401 and got[-1].doc_id == 5
 
 
+class MergesOnly:
+    """A tokenizer whose encoding of texts must not be asked for."""
+
+    def encode(self, *args, **kwargs):
+        raise AssertionError("the whole library was asked for a word")
+
+    encode_batch_fast = encode
+
+
+def test_new_words_go_straight_to_the_merges():
+    library, tool = Tokenizer.from_file(PATH), R.Encoder(PATH, cache=50)  # generations change all the time
+    tool._tool = MergesOnly()
+    rng = random.Random(4)
+    signs = [c for c in map(chr, range(0x2100)) if not R._FOREIGN.search(c)]
+    plain = ["", " ", "  a", "a  \n b ", "don't  stop'll\t\tnow 's", "a \n \nb", "x" * 4000, "é" * 200, "\x00\x7f\x80 €5 – 1.5", *signs, *(" " + c for c in signs)]
+    plain += ["".join(rng.choices(" \n\t\rab1.,'sétß–€", k=rng.randint(1, 60))) for _ in range(2000)] + ["".join(rng.choices(signs, k=40)) for _ in range(300)]
+    for text in plain * 2:
+        assert tool.ids(text).tolist() == library.encode(text, add_special_tokens=False).ids, text
+
+
 def test_damage_is_noticed():
     data = b"".join(R.frame(R.pack(i, np.arange(5) + 65_534 * i)) + R.MARK for i in range(3))
     assert [R.unpack(p)[1].tolist() for _, p in R.unframe(data)] == [(np.arange(5) + 65_534 * i).tolist() for i in range(3)]
