@@ -19,7 +19,7 @@ ordinal, byte offset, length, id, number of tokens, checksum of the ids and the
 shuffled reader draws rows from it and reads byte ranges.
 
 Encoding goes through the tokenizers library. White space starts a new word in byte-level vocabularies, so a
-text's space-led pieces encode on their own, and repeated pieces come from bounded caches. Where texts can be cut
+text's space-led pieces encode on their own, and repeated pieces come from a bounded cache. Where texts can be cut
 into words of the vocabulary's pattern, a new word goes straight to the library's merges; other new pieces go
 through the whole library. Texts with white space beyond the common six characters are encoded in one call.
 
@@ -48,7 +48,7 @@ from .common import blank_if_null, new_path, stored
 END_ID = 2
 MARK = b"\n"
 SHARD_BYTES = 16 << 20
-CACHE = 400_000
+CACHE = 300_000  # below the 349,525 entries at which a dict's table doubles
 _MASK = 0xA282EAD8
 _LENGTH, _CHECK = struct.Struct("<Q"), struct.Struct("<I")
 _HEAD = struct.Struct("<qB")
@@ -107,31 +107,35 @@ def _byte_signs() -> dict[int, str]:
 _SIGNS = _byte_signs()
 
 
-class _Words(dict):
-    """Ids of words, as bytes, made when first asked for; of two generations of `size` words it holds the young one."""
+class _Pieces(dict):
+    """Ids of pieces, as bytes; those of a word are made when first asked for. Of two generations of `size` pieces it
+    holds the young one."""
 
     def __init__(self, encode: Callable[[str], bytes], size: int) -> None:
         super().__init__()
-        self._encode, self._size, self._old = encode, size, {}
+        self._encode, self._size, self.old = encode, size, {}
 
     def __missing__(self, word: str) -> bytes:
-        ids = self._old.get(word)
+        ids = self.old.get(word)
         if ids is None:
             ids = self._encode(word)
-        if len(word) <= 64:
+        self.keep(word, ids)
+        return ids
+
+    def keep(self, piece: str, ids: bytes) -> None:
+        if len(piece) <= 64:
             if len(self) >= self._size:
-                self._old = dict(self)
+                self.old = dict(self)
                 self.clear()
-            self[word] = ids
-        return ids
+            self[piece] = ids
 
 
 class Encoder:
     """Texts to ids through the tokenizers library, repeated pieces from a bounded cache.
 
     Pieces are words of the vocabulary's own pattern where Python's character classes agree with it, else
-    space-led runs, each kind with a cache of its own. A cache has two generations of `cache` pieces: a piece used
-    again moves to the young one, and the old one goes when that is full.
+    space-led runs; a word that is a run too has the same ids. The cache has two generations of `cache` pieces: a
+    piece used again moves to the young one, and the old one goes when that is full.
     """
 
     def __init__(self, path: str, cache: int = CACHE) -> None:
@@ -140,9 +144,8 @@ class Encoder:
         from tokenizers.pre_tokenizers import ByteLevel
 
         self._tool = Tokenizer.from_file(path)
-        self._young, self._old, self._size = {}, {}, cache
         self._special = [t.content for t in self._tool.get_added_tokens_decoder().values()]
-        self._words, self._merges = _Words(self._merged, cache), self._tool.model.tokenize
+        self._known, self._merges = _Pieces(self._merged, cache), self._tool.model.tokenize
         # With such a vocabulary the library writes a word's bytes as signs and merges them, and does nothing else.
         cut = self._tool.pre_tokenizer
         self._cuts_words = self._tool.normalizer is None and isinstance(cut, ByteLevel) and cut.use_regex and not cut.add_prefix_space
@@ -155,24 +158,23 @@ class Encoder:
     def _learn(self, pieces: list[str]) -> dict[str, bytes]:
         known, new = {}, []
         for p in set(pieces):
-            ids = self._old.get(p)
+            ids = self._known.old.get(p)
             known[p] = ids
             if ids is None:
                 new.append(p)
         known.update(zip(new, (array("I", e.ids).tobytes() for e in self._tool.encode_batch_fast(new, add_special_tokens=False)), strict=True))
-        if len(self._young) + len(known) > self._size:
-            self._old, self._young = self._young, {}
-        self._young.update((p, b) for p, b in known.items() if len(p) <= 64)
+        for p, ids in known.items():
+            self._known.keep(p, ids)
         return known
 
     def ids(self, text: str) -> np.ndarray:
         plain = not _FOREIGN.search(text)
         if plain and self._cuts_words and not any(s in text for s in self._special):
-            return np.frombuffer(b"".join(map(self._words.__getitem__, _WORDS.findall(text))), dtype=np.uint32)
+            return np.frombuffer(b"".join(map(self._known.__getitem__, _WORDS.findall(text))), dtype=np.uint32)
         if not plain and _ODD.search(text):
             return np.array(self._tool.encode(text, add_special_tokens=False).ids, dtype=np.uint32)
         pieces = _PIECES.findall(text)
-        found = list(map(self._young.get, pieces))
+        found = list(map(self._known.get, pieces))
         if None in found:
             missing = list(compress(range(len(found)), map(not_, found)))
             made = self._learn([pieces[i] for i in missing])
